@@ -24,9 +24,16 @@ def read_raw_csv(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
 
 
 def write_raw_csv(df: DataFrame, path: str, entity: Entity) -> None:
-    """Write a raw entity as headered CSV (used to stage raw drops)."""
+    """Write a raw entity as headered CSV (used to stage raw drops).
+
+    Surrounding blanks are kept (the writer strips them by default), so a
+    padded or whitespace-only value survives the round trip as the raw file
+    would carry it.
+    """
     (df.write.mode("overwrite")
      .option("header", True)
+     .option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False)
      .option("quote", '"')
      .option("escape", '"')
      .csv(path))
