@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 
 from strata.config import PINNED, RunConfig
 from strata.functions.scalars import (date_parts, lineage, money_avg, money_sum,
-                                      parse_timestamp, recency_days, round_money, safe_cast,
-                                      trim_text)
+                                      recency_days, round_money, safe_cast, trim_text)
 from strata.operators import quality
 from strata.operators.dedupe import keep_first
 from strata.operators.filters import in_range, non_negative, not_blank, not_null
-from strata.oracle import AS_OF, LOAD_TS, _int_avg, _money, _money_avg, _money_sum, with_ctes
+from strata.oracle import AS_OF, LOAD_TS, _money, _money_avg, _money_sum, with_ctes
 from strata.plans.curate import CURATE
 from strata.plans.marts import (customer_rfm, daily_sales, latest_review_per_order,
                                 seller_performance)
@@ -406,4 +405,3 @@ def scalar_round_money(spark: SparkSession, sf_dir: str) -> DataFrame:
         round_money(safe_cast("freight_value", "double")).alias("freight_value"))
 
 
-_ = (parse_timestamp, _int_avg)  # re-exported helpers used by the oracle module
