@@ -1 +1 @@
-"""operators"""
+"""Relational operators: deterministic dedupe, validity filters, DQ metrics."""

@@ -1 +1,7 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The analytics this package reproduces are batch-only: every layer is a full
+overwrite of a table computed from the previous layer. There is no stream
+source, watermark, windowed aggregation or state to re-express, so no
+Structured Streaming operator is provided.
+"""
