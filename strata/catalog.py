@@ -22,12 +22,13 @@ from strata.operators.dedupe import keep_first
 from strata.operators.filters import in_range, non_negative, not_blank, not_null
 from strata.oracle import AS_OF, LOAD_TS, _money, _money_avg, _money_sum, with_ctes
 from strata.plans.curate import CURATE
-from strata.plans.marts import (customer_rfm, daily_sales, latest_review_per_order,
+from strata.plans.marts import (build_marts, customer_rfm, daily_sales, latest_review_per_order,
                                 seller_performance)
+from strata.plans.pipeline import write_layer
 from strata.plans.process import PROCESS
 from strata.session import scratch_path, use_utc
 from strata.sources.csv import read_raw_csv, write_raw_csv
-from strata.sources.layers import CURATED, LayerStore
+from strata.sources.layers import CURATED, PROCESSED, LayerStore
 from strata.sources.star_views import raw_view
 from strata.specs import ENTITIES
 
@@ -61,6 +62,18 @@ def curated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return CURATE[name](processed(spark, sf_dir, name), CFG)
 
 
+def _store(spark: SparkSession) -> LayerStore:
+    """A fresh layer store in the shared folder (one per query call)."""
+    return LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+
+
+def curated_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Curated tables written once to the shared folder and read back, as the
+    marts read them in a pipeline run (a table feeding several consumers is
+    computed once, and lineage is cut before the mart)."""
+    return write_layer(spark, _store(spark), CURATED, {n: curated(spark, sf_dir, n) for n in names})
+
+
 # -- I/O ---------------------------------------------------------------------
 def _csv_roundtrip(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     entity = ENTITIES[name]
@@ -77,7 +90,7 @@ register("src_csv_multiline", "SELECT * FROM raw_reviews")(
 
 @register("layer_roundtrip", "SELECT * FROM cur_orders")
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+    store = _store(spark)
     store.write(curated(spark, sf_dir, "orders"), CURATED, "orders")
     return store.read(spark, CURATED, "orders")
 
@@ -93,19 +106,20 @@ for _name in ENTITIES:
 # -- marts -------------------------------------------------------------------
 @register("mart_seller_performance", "SELECT * FROM mart_seller_performance")
 def mart_seller_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seller_performance(curated(spark, sf_dir, "orders"), curated(spark, sf_dir, "order_items"),
-                              curated(spark, sf_dir, "sellers"), curated(spark, sf_dir, "reviews"), CFG)
+    c = curated_tables(spark, sf_dir, "orders", "order_items", "sellers", "reviews")
+    return seller_performance(c["orders"], c["order_items"], c["sellers"], c["reviews"], CFG)
 
 
 @register("mart_customer_rfm", "SELECT * FROM mart_customer_rfm")
 def mart_customer_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_rfm(curated(spark, sf_dir, "orders"), curated(spark, sf_dir, "order_items"),
-                        curated(spark, sf_dir, "customers"), CFG)
+    c = curated_tables(spark, sf_dir, "orders", "order_items", "customers")
+    return customer_rfm(c["orders"], c["order_items"], c["customers"], CFG)
 
 
 @register("mart_daily_sales", "SELECT * FROM mart_daily_sales")
 def mart_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_sales(curated(spark, sf_dir, "orders"), curated(spark, sf_dir, "order_items"), CFG)
+    c = curated_tables(spark, sf_dir, "orders", "order_items")
+    return daily_sales(c["orders"], c["order_items"], CFG)
 
 
 # -- data quality --------------------------------------------------------------
@@ -149,8 +163,11 @@ for _t in DQ_SPECS:
     f"SELECT '{n}' AS table_name, 'curated_input_rows' AS metric, count(*) AS value FROM proc_{n} "
     f"UNION ALL SELECT '{n}', 'curated_output_rows', count(*) FROM cur_{n}" for n in ENTITIES))
 def dq_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.layer_counts({
-        n: (processed(spark, sf_dir, n), curated(spark, sf_dir, n)) for n in ENTITIES})
+    """Counts of a layered run: processed written, curated built from it."""
+    store = _store(spark)
+    proc = write_layer(spark, store, PROCESSED, {n: processed(spark, sf_dir, n) for n in ENTITIES})
+    cur = write_layer(spark, store, CURATED, {n: CURATE[n](proc[n], CFG) for n in ENTITIES})
+    return quality.layer_counts({n: (proc[n], cur[n]) for n in ENTITIES})
 
 
 @register("dq_mart_counts", "\nUNION ALL ".join(
@@ -159,11 +176,8 @@ def dq_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                    ("customer_rfm", "mart_customer_rfm"),
                    ("daily_sales_mart", "mart_daily_sales"))))
 def dq_mart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_counts({
-        "seller_performance": mart_seller_performance(spark, sf_dir),
-        "customer_rfm": mart_customer_rfm(spark, sf_dir),
-        "daily_sales_mart": mart_daily_sales(spark, sf_dir),
-    })
+    c = curated_tables(spark, sf_dir, "orders", "order_items", "sellers", "reviews", "customers")
+    return quality.row_counts(build_marts(c, CFG))
 
 
 # -- dedupe ------------------------------------------------------------------

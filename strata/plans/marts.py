@@ -71,21 +71,43 @@ def seller_performance(orders: DataFrame, order_items: DataFrame, sellers: DataF
         s = keep_first(s, ["seller_id"])
     r = latest_review_per_order(reviews)
 
-    per_seller = (
-        items.join(o, "order_id", "left")
-        .join(r, "order_id", "left")
-        .groupBy("seller_id")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.countDistinct("order_item_id").alias("total_order_items"),
-            money_sum("price").alias("total_revenue"),
-            money_avg("price").alias("avg_item_price"),
-            money_avg("freight_value").alias("avg_freight_value"),
-            int_avg("review_score").alias("avg_review_score"),
-            F.min(F.to_date("order_purchase_timestamp")).alias("min_order_date"),
-            F.max(F.to_date("order_purchase_timestamp")).alias("max_order_date"),
-        )
+    # 1. (order, seller) grain. Every measure is additive, so Spark
+    #    pre-aggregates map-side: a hot order shrinks to one row per seller
+    #    per task before any shuffle, and the join below sees at most
+    #    #sellers rows per order.
+    per_order_seller = items.groupBy("order_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.sum(F.col("price").cast(MONEY_SUM)).alias("price_sum"),
+        F.count("price").alias("price_n"),
+        F.sum(F.col("freight_value").cast(MONEY_SUM)).alias("freight_sum"),
+        F.count("freight_value").alias("freight_n"),
+    )
+    # 2. Order-level attributes (purchase date, one review) join on the order
+    #    key; each is constant per order, so item-row averages become
+    #    n_items-weighted sums.
+    enriched = per_order_seller.join(o, "order_id", "left").join(r, "order_id", "left")
+    scored_items = F.when(F.col("review_score").isNotNull(), F.col("n_items"))
+    per_seller = enriched.groupBy("seller_id").agg(
+        # (order, seller) rows are unique, so this counts distinct orders
+        F.count("order_id").alias("total_orders"),
+        F.sum("price_sum").cast("double").alias("total_revenue"),
+        F.try_divide(F.sum("price_sum").cast("double"),
+                     F.sum("price_n").cast("double")).alias("avg_item_price"),
+        F.try_divide(F.sum("freight_sum").cast("double"),
+                     F.sum("freight_n").cast("double")).alias("avg_freight_value"),
+        F.try_divide(F.sum(F.col("review_score").cast("bigint") * F.col("n_items")).cast("double"),
+                     F.sum(scored_items).cast("double")).alias("avg_review_score"),
+        F.min(F.to_date("order_purchase_timestamp")).alias("min_order_date"),
+        F.max(F.to_date("order_purchase_timestamp")).alias("max_order_date"),
     )
+    # 3. Distinct line positions per seller need the item grain; a two-column
+    #    aggregate whose partial step keeps one row per (seller, position).
+    positions = (items.groupBy("seller_id")
+                 .agg(F.countDistinct("order_item_id").alias("total_order_items"))
+                 .withColumnRenamed("seller_id", "_pos_seller_id"))
+    per_seller = (per_seller
+                  .join(positions, F.col("seller_id").eqNullSafe(F.col("_pos_seller_id")), "left")
+                  .drop("_pos_seller_id"))
     return per_seller.join(s, "seller_id", "left").select(
         "seller_id", "seller_city", "seller_state",
         "total_orders", "total_order_items", "total_revenue", "avg_item_price",
