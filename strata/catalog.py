@@ -24,7 +24,7 @@ from strata.oracle import AS_OF, LOAD_TS, _money, _money_avg, _money_sum, with_c
 from strata.plans.curate import CURATE
 from strata.plans.marts import (build_marts, customer_rfm, daily_sales, latest_review_per_order,
                                 seller_performance)
-from strata.plans.pipeline import write_layer
+from strata.plans.pipeline import RAW_CHECKS, write_layer
 from strata.plans.process import PROCESS
 from strata.session import scratch_path, use_utc
 from strata.sources.csv import read_raw_csv, write_raw_csv
@@ -123,16 +123,7 @@ def mart_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- data quality --------------------------------------------------------------
-DQ_SPECS = {
-    "orders": dict(key=("order_id",),
-                   nulls=("order_id", "customer_id", "order_purchase_timestamp")),
-    "customers": dict(key=("customer_id",),
-                      nulls=("customer_id", "customer_unique_id", "customer_city", "customer_state")),
-    "order_items": dict(key=("order_id", "order_item_id"),
-                        nulls=("order_id", "order_item_id", "product_id", "seller_id"),
-                        negatives=("price", "freight_value")),
-    "products": dict(key=None, nulls=("product_id",)),
-}
+DQ_SPECS = RAW_CHECKS
 
 
 def _dq_sql(table: str) -> str:

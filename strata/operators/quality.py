@@ -64,11 +64,11 @@ def layer_counts(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     for table, (src, out) in pairs.items():
         parts.append(_metric(src, table, "curated_input_rows"))
         parts.append(_metric(out, table, "curated_output_rows"))
-    return _union(parts)
+    return union_all(parts)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([_metric(df, name, "row_count") for name, df in tables.items()])
+    return union_all([_metric(df, name, "row_count") for name, df in tables.items()])
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -77,7 +77,7 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
             .filter(F.col("n_rows") > 1))
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
+def union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -18,12 +18,26 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import RunConfig
+from strata.operators import quality
 from strata.plans.curate import CURATE
 from strata.plans.marts import MARTS, build_marts
 from strata.plans.process import PROCESS
 from strata.sources.layers import ANALYTICS, CURATED, PROCESSED, LayerStore
 
 
+# Which raw columns each data-quality profile checks.
+RAW_CHECKS = {
+    "orders": dict(key=("order_id",),
+                   nulls=("order_id", "customer_id", "order_purchase_timestamp")),
+    "customers": dict(key=("customer_id",),
+                      nulls=("customer_id", "customer_unique_id", "customer_city", "customer_state")),
+    "order_items": dict(key=("order_id", "order_item_id"),
+                        nulls=("order_id", "order_item_id", "product_id", "seller_id"),
+                        negatives=("price", "freight_value")),
+    "products": dict(key=None, nulls=("product_id",)),
+}
+
+
 def compose_processed(raw: dict[str, DataFrame], cfg: RunConfig) -> dict[str, DataFrame]:
     return {name: fn(raw[name], cfg) for name, fn in PROCESS.items()}
 
@@ -76,8 +90,18 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], store: LayerSto
         spark, store, PROCESSED, {n: PROCESS[n](raw[n], cfg)})[n]) for n in names}
     curated = {n: timed(f"curate_{n}", lambda n=n: write_layer(
         spark, store, CURATED, {n: CURATE[n](processed[n], cfg)})[n]) for n in names}
+    parts = []
     if set(names) >= {"orders", "order_items", "sellers", "reviews", "customers"}:
-        marts = build_marts(curated, cfg)
-        for m in MARTS:
-            timed(f"mart_{m}", lambda m=m: store.write(marts[m], ANALYTICS, m))
+        built = build_marts(curated, cfg)
+        marts = {m: timed(f"mart_{m}", lambda m=m: write_layer(spark, store, ANALYTICS, {m: built[m]})[m])
+                 for m in MARTS}
+        parts.append(quality.row_counts(marts))
+    # Data-quality report of the run, one table: raw profiles (one pass per
+    # raw table), and layer / mart row counts read from the written files.
+    for n, spec in RAW_CHECKS.items():
+        if n in names:
+            parts.append(quality.raw_profile(raw[n], n, spec["key"], spec["nulls"],
+                                             spec.get("negatives", ()), processed=processed[n]))
+    parts.append(quality.layer_counts({n: (processed[n], curated[n]) for n in names}))
+    timed("dq_metrics", lambda: store.write(quality.union_all(parts), ANALYTICS, "dq_metrics"))
     return run

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.specs import Entity
+from strata.specs import ENTITIES, Entity
 
 
 def read_raw_csv(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
@@ -37,3 +37,8 @@ def write_raw_csv(df: DataFrame, path: str, entity: Entity) -> None:
      .option("quote", '"')
      .option("escape", '"')
      .csv(path))
+
+
+def read_raw_drop(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The nine raw entities of one drop, ``<root>/<entity>/`` each."""
+    return {name: read_raw_csv(spark, f"{root}/{name}", e) for name, e in ENTITIES.items()}
