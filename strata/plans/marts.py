@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import CURATED_PREFIX, RunConfig
-from strata.functions.scalars import (MONEY_SUM, int_avg, lineage, money_avg, money_sum,
+from strata.functions.scalars import (MONEY_SUM, lineage, money_avg, money_sum,
                                       recency_days, trim_text)
 from strata.operators.dedupe import keep_first
 from strata.operators.filters import not_null
