@@ -7,11 +7,14 @@ Plan choices (same results as joining everything first, fewer/lighter shuffles):
   attaching city/state equals grouping by (id, city, state) after the join,
   because each id has at most one dimension row. The fact rows therefore
   shuffle once, on the order key, and the dimension join is mart-sized.
-* All fact joins share the order key, so Catalyst reuses one hash partitioning
-  for items, orders and reviews.
-* Distinct counts use Spark's two-level distinct aggregation, whose first
-  level groups by (group key, distinct value): a hot seller or day is spread
-  over many tasks and pre-aggregated before the final per-group shuffle.
+* Fact joins are on the order key only. Before joining, items are reduced
+  with additive partial aggregates: to (order, seller) grain for seller
+  performance, to one total per order for RFM. The partial step runs
+  map-side, so a hot order collapses before any shuffle and the join sides
+  are small per key.
+* Daily sales keeps Spark's two-level distinct aggregation (three distinct
+  counts per day). Its first level groups by (day, value), so a hot day is
+  spread over many tasks and pre-aggregated before the final per-day shuffle.
 * Money sums are exact decimal sums (order-independent), averages are that
   sum over the non-null count.
 
