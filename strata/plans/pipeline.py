@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
@@ -51,11 +52,34 @@ def compose_marts(raw: dict[str, DataFrame], cfg: RunConfig) -> dict[str, DataFr
     return build_marts(compose_curated(raw, cfg), cfg)
 
 
+# Independent tables of one layer are submitted as concurrent Spark jobs, so
+# small tables and the tail tasks of big ones do not leave executors idle.
+LAYER_JOB_PARALLELISM = 4
+
+
 def write_layer(spark: SparkSession, store: LayerStore, layer: str,
-                tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Write each table, return DataFrames that read the written files."""
-    for name, df in tables.items():
-        store.write(df, layer, name)
+                tables: dict[str, DataFrame],
+                parallelism: int = LAYER_JOB_PARALLELISM) -> dict[str, DataFrame]:
+    """Write each table (independent jobs, run concurrently), then return
+    DataFrames that read the written files. Returns only when every table of
+    the layer is written: the barrier before the next layer."""
+    workers = max(1, min(parallelism, len(tables)))
+    if workers == 1:
+        for name, df in tables.items():
+            store.write(df, layer, name)
+    else:
+        def write_one(name: str, df: DataFrame) -> None:
+            # one scheduler pool per table job: FAIR shares executors between pools
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{layer}.{name}")
+            try:
+                store.write(df, layer, name)
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            futures = [pool.submit(write_one, name, df) for name, df in tables.items()]
+            for f in futures:
+                f.result()
     return {name: store.read(spark, layer, name) for name in tables}
 
 
@@ -74,8 +98,9 @@ class PipelineRun:
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], store: LayerStore,
-                 cfg: RunConfig, names: Iterable[str] | None = None) -> PipelineRun:
-    """Materialise every layer in order; returns per-step wall times."""
+                 cfg: RunConfig, names: Iterable[str] | None = None,
+                 parallelism: int = LAYER_JOB_PARALLELISM) -> PipelineRun:
+    """Materialise every layer in order; returns per-layer wall times."""
     cfg = pin_run_time(cfg)
     run = PipelineRun(store, cfg)
     names = list(names or PROCESS)
@@ -86,15 +111,15 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], store: LayerSto
         run.seconds[step] = time.perf_counter() - t0
         return out
 
-    processed = {n: timed(f"process_{n}", lambda n=n: write_layer(
-        spark, store, PROCESSED, {n: PROCESS[n](raw[n], cfg)})[n]) for n in names}
-    curated = {n: timed(f"curate_{n}", lambda n=n: write_layer(
-        spark, store, CURATED, {n: CURATE[n](processed[n], cfg)})[n]) for n in names}
+    processed = timed("process_layer", lambda: write_layer(
+        spark, store, PROCESSED, {n: PROCESS[n](raw[n], cfg) for n in names}, parallelism))
+    curated = timed("curate_layer", lambda: write_layer(
+        spark, store, CURATED, {n: CURATE[n](processed[n], cfg) for n in names}, parallelism))
     parts = []
     if set(names) >= {"orders", "order_items", "sellers", "reviews", "customers"}:
         built = build_marts(curated, cfg)
-        marts = {m: timed(f"mart_{m}", lambda m=m: write_layer(spark, store, ANALYTICS, {m: built[m]})[m])
-                 for m in MARTS}
+        marts = timed("mart_layer", lambda: write_layer(
+            spark, store, ANALYTICS, {m: built[m] for m in MARTS}, parallelism))
         parts.append(quality.row_counts(marts))
     # Data-quality report of the run, one table: raw profiles (one pass per
     # raw table), and layer / mart row counts read from the written files.

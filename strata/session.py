@@ -26,6 +26,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # concurrent per-table jobs of one layer share executors fairly
+        "spark.scheduler.mode": "FAIR",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
