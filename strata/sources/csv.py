@@ -16,11 +16,25 @@ def read_raw_csv(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     files rather than one big one.
     """
     reader = spark.read.schema(entity.raw_schema).option("header", True)
-    if entity.multiline:
-        reader = (reader.option("multiLine", True)
-                  .option("quote", '"')
-                  .option("escape", '"'))
-    return reader.csv(path)
+    if not entity.multiline:
+        return reader.csv(path)
+    df = (reader.option("multiLine", True)
+          .option("quote", '"')
+          .option("escape", '"')
+          .csv(path))
+    return spread_unsplittable(df)
+
+
+def spread_unsplittable(df: DataFrame) -> DataFrame:
+    """A multi-line CSV file is read by exactly one task. When a drop has fewer
+    files than the cluster has cores, redistribute the rows so the parsing,
+    filtering and dedupe that follow run on every core. With many files this
+    is a no-op. Round-robin repartitioning is retry-safe (Spark sorts rows
+    before assigning them), so a lost task recomputes the same partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def write_raw_csv(df: DataFrame, path: str, entity: Entity) -> None:
