@@ -51,14 +51,22 @@ def shared_dir(spark: SparkSession) -> str:
     session (tests, the bench) may fall back to a fresh temporary folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
     if d:
         return d.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect client has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    d = tempfile.mkdtemp(prefix="strata-")
+    if sc is None:
+        return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
