@@ -31,10 +31,12 @@ def spread_unsplittable(df: DataFrame) -> DataFrame:
     filtering and dedupe that follow run on every core. With many files this
     is a no-op. Round-robin repartitioning is retry-safe (Spark sorts rows
     before assigning them), so a lost task recomputes the same partitions."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a Spark Connect client cannot see partitions
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def write_raw_csv(df: DataFrame, path: str, entity: Entity) -> None:
