@@ -20,7 +20,7 @@ from strata.functions.scalars import (date_parts, lineage, money_avg, money_sum,
 from strata.operators import quality
 from strata.operators.dedupe import keep_first
 from strata.operators.filters import in_range, non_negative, not_blank, not_null
-from strata.oracle import AS_OF, LOAD_TS, _money, _money_avg, _money_sum, with_ctes
+from strata.oracle import AS_OF, LOAD_TS, sql_money, sql_money_avg, sql_money_sum, with_ctes
 from strata.plans.curate import CURATE
 from strata.plans.marts import (build_marts, customer_rfm, daily_sales, latest_review_per_order,
                                 seller_performance)
@@ -259,8 +259,8 @@ def agg_having_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("agg_sum_avg", f"""
-SELECT seller_id, {_money_sum('price')} AS total_revenue, {_money_avg('price')} AS avg_item_price,
-       {_money_avg('freight_value')} AS avg_freight_value
+SELECT seller_id, {sql_money_sum('price')} AS total_revenue, {sql_money_avg('price')} AS avg_item_price,
+       {sql_money_avg('freight_value')} AS avg_freight_value
 FROM cur_order_items GROUP BY seller_id""")
 def agg_sum_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated(spark, sf_dir, "order_items").groupBy("seller_id").agg(
@@ -291,7 +291,7 @@ def agg_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("agg_multi_distinct", f"""
 SELECT seller_id, count(DISTINCT order_id) AS n_orders, count(DISTINCT order_item_id) AS n_line_positions,
-       count(DISTINCT product_id) AS n_products, {_money_sum('price')} AS total_revenue
+       count(DISTINCT product_id) AS n_products, {sql_money_sum('price')} AS total_revenue
 FROM cur_order_items GROUP BY seller_id""")
 def agg_multi_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated(spark, sf_dir, "order_items").groupBy("seller_id").agg(
@@ -401,8 +401,8 @@ def scalar_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("scalar_round_money", f"""
-SELECT order_id, order_item_id, {_money('TRY_CAST(price AS DOUBLE)')} AS price,
-       {_money('TRY_CAST(freight_value AS DOUBLE)')} AS freight_value FROM raw_order_items""")
+SELECT order_id, order_item_id, {sql_money('TRY_CAST(price AS DOUBLE)')} AS price,
+       {sql_money('TRY_CAST(freight_value AS DOUBLE)')} AS freight_value FROM raw_order_items""")
 def scalar_round_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, sf_dir, "order_items").select(
         "order_id", "order_item_id",

@@ -36,20 +36,20 @@ def _txt(expr: str) -> str:
     return f"CAST({expr} AS VARCHAR)"
 
 
-def _money(expr: str) -> str:
+def sql_money(expr: str) -> str:
     return (f"CASE WHEN {expr} IS NULL THEN NULL ELSE COALESCE("
             f"CAST(round(TRY_CAST({expr} AS DECIMAL(38,4)), 2) AS DOUBLE), round({expr}, 2)) END")
 
 
-def _money_sum(expr: str) -> str:
+def sql_money_sum(expr: str) -> str:
     return f"CAST(sum(CAST({expr} AS DECIMAL(38,2))) AS DOUBLE)"
 
 
-def _money_avg(expr: str) -> str:
-    return f"{_money_sum(expr)} / NULLIF(CAST(count({expr}) AS DOUBLE), 0)"
+def sql_money_avg(expr: str) -> str:
+    return f"{sql_money_sum(expr)} / NULLIF(CAST(count({expr}) AS DOUBLE), 0)"
 
 
-def _int_avg(expr: str) -> str:
+def sql_int_avg(expr: str) -> str:
     return (f"CAST(sum(CAST({expr} AS BIGINT)) AS DOUBLE) / "
             f"NULLIF(CAST(count({expr}) AS DOUBLE), 0)")
 
@@ -220,7 +220,7 @@ _CUR_BODY = {
         + _cur_lineage("orders") + " FROM proc_orders"),
     "order_items": (
         f"SELECT {_trims('order_id', 'order_item_id', 'product_id', 'seller_id')}, shipping_limit_date, "
-        f"{_money('price')} AS price, {_money('freight_value')} AS freight_value, "
+        f"{sql_money('price')} AS price, {sql_money('freight_value')} AS freight_value, "
         + _cur_lineage("order_items") + " FROM proc_order_items"),
     "customers": (f"SELECT {_trims(*ENTITIES['customers'].columns)}, {_cur_lineage('customers')} "
                   "FROM proc_customers"),
@@ -230,7 +230,7 @@ _CUR_BODY = {
     "sellers": f"SELECT {_trims(*ENTITIES['sellers'].columns)}, {_cur_lineage('sellers')} FROM proc_sellers",
     "payments": (
         f"SELECT {_trims('order_id', 'payment_sequential', 'payment_type', 'payment_installments')}, "
-        f"{_money('payment_value')} AS payment_value, {_cur_lineage('payments')} FROM proc_payments"),
+        f"{sql_money('payment_value')} AS payment_value, {_cur_lineage('payments')} FROM proc_payments"),
     "reviews": (
         f"SELECT {_trims('review_id', 'order_id')}, review_score, review_comment_title, "
         "review_comment_message, TRY_CAST(review_creation_date AS TIMESTAMP) AS review_creation_date, "
@@ -298,10 +298,10 @@ WITH o AS (SELECT * FROM (SELECT trim(order_id) AS order_id, order_purchase_time
 SELECT seller_id, seller_city, seller_state,
        count(DISTINCT order_id) AS total_orders,
        count(DISTINCT order_item_id) AS total_order_items,
-       {_money_sum('price')} AS total_revenue,
-       {_money_avg('price')} AS avg_item_price,
-       {_money_avg('freight_value')} AS avg_freight_value,
-       {_int_avg('review_score')} AS avg_review_score,
+       {sql_money_sum('price')} AS total_revenue,
+       {sql_money_avg('price')} AS avg_item_price,
+       {sql_money_avg('freight_value')} AS avg_freight_value,
+       {sql_int_avg('review_score')} AS avg_review_score,
        min(CAST(order_purchase_timestamp AS DATE)) AS min_order_date,
        max(CAST(order_purchase_timestamp AS DATE)) AS max_order_date,
        {_mart_lineage('seller_performance')}
@@ -344,8 +344,8 @@ SELECT order_date,
        count(DISTINCT order_id) AS total_orders,
        count(DISTINCT customer_id) AS total_customers,
        count(DISTINCT order_item_id) AS total_items,
-       {_money_sum('price')} AS total_revenue,
-       {_money_avg('price')} AS avg_item_price,
+       {sql_money_sum('price')} AS total_revenue,
+       {sql_money_avg('price')} AS avg_item_price,
        {_mart_lineage('daily_sales_mart')}
 FROM o JOIN i USING (order_id)
 GROUP BY order_date"""

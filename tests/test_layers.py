@@ -86,3 +86,17 @@ def test_curate_is_idempotent_on_curated_data(spark, cfg):
         once = curated(spark, SF_SMALL, name)
         twice = CURATE[name](once, cfg)
         assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_layer_column_order_matches_the_oracle_order(spark, cfg):
+    """The dedupe's total order is 'every business column in schema order';
+    the oracle SQL spells the same list, so the schemas must agree."""
+    from strata.catalog import curated, processed
+    from strata.oracle import CURATED_COLS, PROCESSED_COLS
+    from strata.specs import LINEAGE_COLUMNS
+    from tests.conftest import SF_SMALL
+    for name in ENTITIES:
+        p = [c for c in processed(spark, SF_SMALL, name).columns if c not in LINEAGE_COLUMNS]
+        c = [c for c in curated(spark, SF_SMALL, name).columns if c not in LINEAGE_COLUMNS]
+        assert p == list(PROCESSED_COLS[name]), name
+        assert c == list(CURATED_COLS[name]), name
