@@ -143,11 +143,16 @@ def _dq_sql(table: str) -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _dq(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Raw profile (one grouped pass) plus the processed row count."""
+    spec = DQ_SPECS[table]
+    r = raw(spark, sf_dir, table)
+    return quality.raw_profile(r, table, spec["key"], spec["nulls"], spec.get("negatives", ()),
+                               processed=PROCESS[table](r, CFG))
+
+
 for _t in DQ_SPECS:
-    register(f"dq_{_t}", _dq_sql(_t))(
-        lambda spark, d, t=_t: quality.raw_profile(
-            raw(spark, d, t), t, DQ_SPECS[t]["key"], DQ_SPECS[t]["nulls"],
-            DQ_SPECS[t].get("negatives", ()), processed=PROCESS[t](raw(spark, d, t), CFG)))
+    register(f"dq_{_t}", _dq_sql(_t))(lambda spark, d, t=_t: _dq(spark, d, t))
 
 
 @register("dq_layer_counts", "\nUNION ALL ".join(
