@@ -24,7 +24,7 @@ from strata.oracle import AS_OF, LOAD_TS, sql_money, sql_money_avg, sql_money_su
 from strata.plans.curate import CURATE
 from strata.plans.marts import (build_marts, customer_rfm, daily_sales, latest_review_per_order,
                                 seller_performance)
-from strata.plans.pipeline import RAW_CHECKS, write_layer
+from strata.plans.layered import RAW_CHECKS, write_layer
 from strata.plans.process import PROCESS
 from strata.session import scratch_path, use_utc
 from strata.sources.csv import read_raw_csv, write_raw_csv

@@ -91,18 +91,18 @@ def pin_run_time(cfg: RunConfig) -> RunConfig:
 
 
 @dataclass
-class PipelineRun:
+class LayeredRun:
     store: LayerStore
     cfg: RunConfig
     seconds: dict[str, float] = field(default_factory=dict)
 
 
-def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], store: LayerStore,
+def run_layered(spark: SparkSession, raw: dict[str, DataFrame], store: LayerStore,
                  cfg: RunConfig, names: Iterable[str] | None = None,
-                 parallelism: int = LAYER_JOB_PARALLELISM) -> PipelineRun:
+                 parallelism: int = LAYER_JOB_PARALLELISM) -> LayeredRun:
     """Materialise every layer in order; returns per-layer wall times."""
     cfg = pin_run_time(cfg)
-    run = PipelineRun(store, cfg)
+    run = LayeredRun(store, cfg)
     names = list(names or PROCESS)
 
     def timed(step: str, fn):

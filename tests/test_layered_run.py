@@ -3,7 +3,7 @@
 import uuid
 
 from strata.catalog import QUERIES
-from strata.plans.pipeline import run_pipeline
+from strata.plans.layered import run_layered
 from strata.session import scratch_path
 from strata.sources import ANALYTICS, LayerStore, read_raw_drop, write_raw_csv
 from strata.sources.star_views import raw_views
@@ -16,12 +16,12 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_pipeline_from_csv_drop_matches_registered_marts(spark, cfg):
+def test_layered_run_from_csv_drop_matches_registered_marts(spark, cfg):
     drop = scratch_path(spark, "drop", uuid.uuid4().hex)
     for name, df in raw_views(spark, SF_SMALL).items():
         write_raw_csv(df, f"{drop}/{name}", ENTITIES[name])
     store = LayerStore(scratch_path(spark, "run", uuid.uuid4().hex))
-    run = run_pipeline(spark, read_raw_drop(spark, drop), store, cfg)
+    run = run_layered(spark, read_raw_drop(spark, drop), store, cfg)
 
     assert {"process_layer", "curate_layer", "mart_layer", "dq_metrics"} <= set(run.seconds)
     for mart, key in (("seller_performance", "mart_seller_performance"),
@@ -40,7 +40,7 @@ def test_unpinned_run_stamps_one_load_timestamp(spark):
     from strata.config import RunConfig
     store = LayerStore(scratch_path(spark, "run", uuid.uuid4().hex))
     raw = {n: df for n, df in raw_views(spark, SF_SMALL).items() if n in ("orders", "sellers")}
-    run = run_pipeline(spark, raw, store, RunConfig(), names=["orders", "sellers"])
+    run = run_layered(spark, raw, store, RunConfig(), names=["orders", "sellers"])
     stamps = set()
     for layer in ("processed_layer", "curated_layer"):
         for n in ("orders", "sellers"):
