@@ -159,11 +159,12 @@ for _t in DQ_SPECS:
     f"SELECT '{n}' AS table_name, 'curated_input_rows' AS metric, count(*) AS value FROM proc_{n} "
     f"UNION ALL SELECT '{n}', 'curated_output_rows', count(*) FROM cur_{n}" for n in ENTITIES))
 def dq_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of a layered run: processed written, curated built from it."""
-    store = _store(spark)
-    proc = write_layer(spark, store, PROCESSED, {n: processed(spark, sf_dir, n) for n in ENTITIES})
-    cur = write_layer(spark, store, CURATED, {n: CURATE[n](proc[n], CFG) for n in ENTITIES})
-    return quality.layer_counts({n: (proc[n], cur[n]) for n in ENTITIES})
+    """Input and output rows of the curate step: the processed layer is
+    written (it is the curate input), and the curated tables are counted
+    straight from their plans over it (a count needs no second write)."""
+    proc = write_layer(spark, _store(spark), PROCESSED,
+                       {n: processed(spark, sf_dir, n) for n in ENTITIES})
+    return quality.layer_counts({n: (proc[n], CURATE[n](proc[n], CFG)) for n in ENTITIES})
 
 
 @register("dq_mart_counts", "\nUNION ALL ".join(
