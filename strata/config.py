@@ -15,7 +15,7 @@ CURATED_PREFIX = "curated_layer"
 class RunConfig:
     """Parameters of one pipeline run.
 
-    ``load_ts`` / ``as_of`` default to "now" / "today" like the reference's
+    ``load_ts`` / ``as_of`` default to "now" / "today" like the original jobs'
     ``current_timestamp()`` / ``current_date()``; pin them for reproducible runs.
     """
 

@@ -1,6 +1,6 @@
 """Data-quality metrics as long-form DataFrames ``(table_name, metric, value)``.
 
-The reference runs one Spark job per metric (five scans of the raw file for
+The original jobs run one Spark job per metric (five scans of the raw file for
 orders). Here every raw metric of a table comes out of one aggregation: rows
 are first grouped by the key (partial aggregation map-side, so a hot key is
 pre-counted before the shuffle), carrying per-key row / null / negative

@@ -1,6 +1,6 @@
 """Equivalent DuckDB SQL for every registered query (the correctness oracle).
 
-The SQL restates the reference semantics directly (joins before grouping,
+The SQL restates the original semantics directly (joins before grouping,
 the marts' own dedupes kept), so it is an independent check of the Spark
 plans, not a transcript of them. Pinned parameters (load timestamp, as-of
 date) are the ones the registered queries use.

@@ -40,7 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def use_utc(spark: SparkSession) -> None:
-    """Layer timestamps are interpreted in UTC (the reference pins UTC too)."""
+    """Layer timestamps are interpreted in UTC (the original marts pin UTC too)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 

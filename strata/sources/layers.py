@@ -1,6 +1,6 @@
 """Layer tables: processed / curated / analytics, stored as Parquet directories.
 
-A layer write is a full overwrite (the reference's warehouse ``mode("overwrite")``);
+A layer write is a full overwrite (the original warehouse ``mode("overwrite")``);
 writing a layer is also what cuts lineage between layers, so a lost executor in
 a later layer recomputes from the last written layer, never from the raw drop.
 """

@@ -1,6 +1,6 @@
 """Raw-shaped entity views derived from the star-schema test tables.
 
-The reference reads nine string-typed CSV files. The test data is a TPC-H-like
+The original jobs read nine string-typed CSV files. The test data is a TPC-H-like
 star schema, so each raw entity is derived from it with Spark (all columns cast
 to text, exactly as a headered CSV would deliver them). ``dirty=True`` injects
 deterministic dirt by key arithmetic so that the process/curate rules have
