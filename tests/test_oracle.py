@@ -28,12 +28,20 @@ def test_every_query_has_oracle_sql():
     assert len(KEYS) >= 52
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "date": "DATE", "timestamp": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF_SMALL)
     cur = con.execute(entry.oracle_sql()[key])
     d_cols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(d_cols)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {c[0]: str(c[1]) for c in cur.description}
+    assert spark_types == duck_types
     assert rows_of([tuple(r) for r in df.collect()], df.columns) == rows_of(cur.fetchall(), d_cols)
 
 
