@@ -76,3 +76,19 @@ def test_layers_independent_of_input_row_order(spark, cfg):
     for name in ("orders", "order_items", "sellers", "reviews"):
         assert a[name].exceptAll(b[name]).count() == 0, name
         assert b[name].exceptAll(a[name]).count() == 0, name
+
+
+def test_clean_fixture_matches_the_surveyed_counts(spark, cfg):
+    """Row counts probed independently on the clean fixture at sf0.01."""
+    from strata.plans.layered import compose_curated, compose_processed
+    from strata.plans.marts import build_marts
+    from strata.sources.star_views import raw_views
+    from tests.conftest import SF_MID
+    raw = raw_views(spark, SF_MID, dirty=False)
+    assert compose_processed(raw, cfg)["order_items"].count() == 45832
+    marts = build_marts(compose_curated(raw, cfg), cfg)
+    assert marts["daily_sales_mart"].count() == 2399
+    assert marts["seller_performance"].count() == 100
+    assert marts["customer_rfm"].count() == 1500
+    orders = compose_curated(raw, cfg)["orders"]
+    assert orders.count() == 15000
