@@ -92,3 +92,17 @@ def test_clean_fixture_matches_the_surveyed_counts(spark, cfg):
     assert marts["customer_rfm"].count() == 1500
     orders = compose_curated(raw, cfg)["orders"]
     assert orders.count() == 15000
+
+
+def test_clean_fixture_review_and_key_facts(spark, cfg):
+    from strata.operators.quality import duplicate_keys
+    from strata.plans.layered import compose_curated
+    from strata.sources.star_views import raw_views
+    from tests.conftest import SF_MID
+    raw = raw_views(spark, SF_MID, dirty=False)
+    cur = compose_curated(raw, cfg)
+    reviews = cur["reviews"]
+    assert reviews.count() == 7116
+    assert reviews.select("order_id").distinct().count() == 4584
+    assert cur["orders"].join(cur["order_items"], "order_id", "left_anti").count() == 257
+    assert duplicate_keys(raw["order_items"], ["order_id", "order_item_id"]).count() == 11785
