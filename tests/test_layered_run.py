@@ -46,3 +46,23 @@ def test_unpinned_run_stamps_one_load_timestamp(spark):
         for n in ("orders", "sellers"):
             stamps |= {r[0] for r in store.read(spark, layer, n).select("load_timestamp").distinct().collect()}
     assert stamps == {run.cfg.load_ts}
+
+
+def test_driver_program_runs_a_drop(spark):
+    import json
+    import os
+    import subprocess
+    import sys
+    drop = scratch_path(spark, "drop", uuid.uuid4().hex)
+    for name, df in raw_views(spark, SF_SMALL).items():
+        write_raw_csv(df, f"{drop}/{name}", ENTITIES[name])
+    wh = scratch_path(spark, "wh", uuid.uuid4().hex)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run(
+        [sys.executable, "-m", "strata", "--drop", drop, "--warehouse", wh,
+         "--load-ts", "2024-01-01T00:00:00", "--as-of", "2002-01-01"],
+        cwd=root, capture_output=True, text=True, timeout=600, check=True)
+    report = json.loads(out.stdout.strip().splitlines()[-1])
+    assert set(report["seconds"]) >= {"process_layer", "curate_layer", "mart_layer", "dq_metrics"}
+    got = spark.read.parquet(f"{wh}/analytics_layer/daily_sales_mart")
+    assert _same(got, QUERIES["mart_daily_sales"](spark, SF_SMALL))
