@@ -49,3 +49,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "total_revenue" in df.columns
+
+
+@pytest.mark.parametrize("key", ["process_order_items", "curate_order_items", "scalar_try_cast",
+                                 "scalar_round_money", "mart_daily_sales", "dq_order_items"])
+def test_same_results_with_ansi_mode_off(spark, con, key):
+    """Every parse is a try_* function, so legacy (non-ANSI) sessions agree."""
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = entry.queries()[key](spark, SF_SMALL)
+        rows = rows_of([tuple(r) for r in df.collect()], df.columns)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    cur = con.execute(entry.oracle_sql()[key])
+    assert rows == rows_of(cur.fetchall(), [c[0] for c in cur.description])
