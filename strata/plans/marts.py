@@ -121,21 +121,20 @@ def seller_performance(orders: DataFrame, order_items: DataFrame, sellers: DataF
 
 def customer_rfm(orders: DataFrame, order_items: DataFrame, customers: DataFrame,
                  cfg: RunConfig, dedupe_inputs: bool = False) -> DataFrame:
-    o = (orders.select(trim_text("order_id").alias("order_id"),
-                       trim_text("customer_id").alias("customer_id"),
-                       F.col("order_purchase_date"))
-         .filter(not_null("order_id", "customer_id")))
+    # not-null checks on the source columns (trim keeps nullness): pushable
+    o = (orders.filter(not_null("order_id", "customer_id"))
+         .select(trim_text("order_id").alias("order_id"),
+                 trim_text("customer_id").alias("customer_id"),
+                 F.col("order_purchase_date")))
     item_totals = (
-        order_items.select(trim_text("order_id").alias("order_id"),
-                           trim_text("order_item_id").alias("order_item_id"),
-                           F.col("price"))
-        .filter(not_null("order_id", "order_item_id"))
+        order_items.filter(not_null("order_id", "order_item_id"))
+        .select(trim_text("order_id").alias("order_id"), F.col("price"))
         .groupBy("order_id")
         .agg(F.sum(F.col("price").cast(MONEY_SUM)).alias("order_value"))
     )
-    c = (customers.select(*[trim_text(x).alias(x) for x in
-                            ("customer_id", "customer_unique_id", "customer_city", "customer_state")])
-         .filter(not_null("customer_id")))
+    c = customers.filter(not_null("customer_id")).select(
+        *[trim_text(x).alias(x) for x in
+          ("customer_id", "customer_unique_id", "customer_city", "customer_state")])
     if dedupe_inputs:
         o = keep_first(o, ["order_id"])
         c = keep_first(c, ["customer_id"])
@@ -163,16 +162,16 @@ def customer_rfm(orders: DataFrame, order_items: DataFrame, customers: DataFrame
 
 def daily_sales(orders: DataFrame, order_items: DataFrame, cfg: RunConfig,
                 dedupe_inputs: bool = False) -> DataFrame:
-    o = (orders.select(trim_text("order_id").alias("order_id"),
-                       F.to_date("order_purchase_date").alias("order_date"),
-                       trim_text("customer_id").alias("customer_id"))
-         .filter(not_null("order_id")))
+    o = orders.filter(not_null("order_id")).select(
+        trim_text("order_id").alias("order_id"),
+        F.to_date("order_purchase_date").alias("order_date"),
+        trim_text("customer_id").alias("customer_id"))
     if dedupe_inputs:
         o = keep_first(o, ["order_id"])
-    items = (order_items.select(trim_text("order_id").alias("order_id"),
-                                trim_text("order_item_id").alias("order_item_id"),
-                                F.col("price"))
-             .filter(not_null("order_id")))
+    items = order_items.filter(not_null("order_id")).select(
+        trim_text("order_id").alias("order_id"),
+        trim_text("order_item_id").alias("order_item_id"),
+        F.col("price"))
     return (
         o.join(items, "order_id", "inner")
         .groupBy("order_date")
