@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from scripts.check_oracle import TABLES, rows_of
+from scripts.check_oracle import SPARK_TO_DUCK, TABLES, rows_of
 
 from tests.conftest import SF_SMALL
 
@@ -28,10 +28,6 @@ def test_every_query_has_oracle_sql():
     assert len(KEYS) >= 52
 
 
-SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
-                 "date": "DATE", "timestamp": "TIMESTAMP"}
-
-
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF_SMALL)
