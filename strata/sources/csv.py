@@ -15,7 +15,12 @@ def read_raw_csv(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     such a file is read by one task per file, so the raw drop should be many
     files rather than one big one.
     """
-    reader = spark.read.schema(entity.raw_schema).option("header", True)
+    # enforceSchema=False: every file's header is checked against the schema,
+    # so a file with reordered or renamed columns fails instead of being read
+    # by position under the wrong names.
+    reader = (spark.read.schema(entity.raw_schema)
+              .option("header", True)
+              .option("enforceSchema", False))
     if not entity.multiline:
         return reader.csv(path)
     df = (reader.option("multiLine", True)

@@ -52,3 +52,11 @@ def test_layer_overwrite_round_trip(spark):
     store.write(spark.range(5), CURATED, "t")
     store.write(spark.range(3), CURATED, "t")          # full replace
     assert store.read(spark, CURATED, "t").count() == 3
+
+
+def test_header_is_checked_against_the_schema(spark):
+    import pytest
+    p = scratch_path(spark, "csv", uuid.uuid4().hex, "sellers.csv")
+    _write_text(p, "seller_city,seller_id,seller_zip_code_prefix,seller_state\nc,s1,z,st\n")
+    with pytest.raises(Exception):
+        read_raw_csv(spark, p, SELLERS).collect()
