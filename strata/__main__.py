@@ -15,7 +15,8 @@ import datetime as dt
 import json
 
 from strata.config import RAW_RECORD_SOURCE, RunConfig
-from strata.plans.layered import LAYER_JOB_PARALLELISM, run_layered
+from strata.plans.layered import LAYER_JOB_PARALLELISM, LAYERS, run_layered
+from strata.specs import ENTITIES
 from strata.session import build_session
 from strata.sources.csv import read_raw_drop
 from strata.sources.layers import LayerStore
@@ -23,7 +24,8 @@ from strata.sources.layers import LayerStore
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Run raw -> processed -> curated -> marts")
-    p.add_argument("--drop", required=True, help="folder with one sub-folder of CSV files per entity")
+    p.add_argument("--drop", help="folder with one sub-folder of CSV files per entity "
+                                   "(needed when the process layer runs)")
     p.add_argument("--warehouse", required=True, help="root folder of the layer tables")
     p.add_argument("--record-source", default=RAW_RECORD_SOURCE)
     p.add_argument("--load-ts", type=dt.datetime.fromisoformat, default=None,
@@ -32,12 +34,21 @@ def main(argv: list[str] | None = None) -> None:
                    help="pin the RFM recency date (default: today)")
     p.add_argument("--parallelism", type=int, default=LAYER_JOB_PARALLELISM,
                    help="table jobs of one layer submitted at once")
+    p.add_argument("--layers", default=",".join(LAYERS),
+                   help="comma-separated subset of process,curate,marts; others are read from the warehouse")
+    p.add_argument("--tables", default=",".join(ENTITIES),
+                   help="comma-separated entities for the process / curate layers")
     a = p.parse_args(argv)
+    layers = [x for x in a.layers.split(",") if x]
+    if "process" in layers and not a.drop:
+        p.error("--drop is required when the process layer runs")
 
     spark = build_session(app_name="strata-layered-run")
     cfg = RunConfig(record_source=a.record_source, load_ts=a.load_ts, as_of=a.as_of)
-    run = run_layered(spark, read_raw_drop(spark, a.drop), LayerStore(a.warehouse), cfg,
-                      parallelism=a.parallelism)
+    raw = read_raw_drop(spark, a.drop) if "process" in layers else None
+    run = run_layered(spark, raw, LayerStore(a.warehouse), cfg,
+                      names=[x for x in a.tables.split(",") if x],
+                      parallelism=a.parallelism, layers=layers)
     print(json.dumps({"warehouse": a.warehouse, "load_ts": str(run.cfg.load_ts),
                       "seconds": {k: round(v, 2) for k, v in run.seconds.items()}}))
     spark.stop()
