@@ -186,6 +186,7 @@ def daily_sales(orders: DataFrame, order_items: DataFrame, cfg: RunConfig,
     )
 
 
+# Mart table names (also part of each mart's record_source literal).
 MARTS = ("seller_performance", "customer_rfm", "daily_sales_mart")
 
 
