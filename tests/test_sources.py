@@ -60,3 +60,13 @@ def test_header_is_checked_against_the_schema(spark):
     _write_text(p, "seller_city,seller_id,seller_zip_code_prefix,seller_state\nc,s1,z,st\n")
     with pytest.raises(Exception):
         read_raw_csv(spark, p, SELLERS).collect()
+
+
+def test_single_multiline_file_is_spread_over_all_cores(spark):
+    p = scratch_path(spark, "csv", uuid.uuid4().hex, "reviews.csv")
+    rows = "".join(f'r{i},o{i},5,t,"line\nbreak {i}",2018-01-01 00:00:00,\n' for i in range(50))
+    _write_text(p, "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+                   "review_creation_date,review_answer_timestamp\n" + rows)
+    df = read_raw_csv(spark, p, REVIEWS)
+    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.review_id for r in df.collect()) == sorted(f"r{i}" for i in range(50))
