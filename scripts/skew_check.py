@@ -1,5 +1,6 @@
 """Skew check: run the layered job on a variant where one order id and one
-seller id each hold a third of all item rows, and report per-stage task times.
+seller id each hold a third of all item rows (and one day and one customer
+each a third of all orders), and report per-stage task times.
 
 Usage: python scripts/skew_check.py [sf_dir]
 
@@ -41,7 +42,15 @@ def skewed(raw: dict) -> dict:
         F.when(k == 1, F.lit("1")).otherwise(F.col("seller_id")).alias("seller_id"),
         "shipping_limit_date", "price", "freight_value",
     )
-    return {**raw, "order_items": items}
+    orders = raw["orders"]
+    j = F.abs(F.xxhash64("order_id")) % 3
+    orders = orders.withColumns({
+        # a third of all orders on one day (daily sales), another third for one customer (RFM)
+        "order_purchase_timestamp": F.when(j == 0, F.lit("2000-01-01 00:00:00"))
+        .otherwise(F.col("order_purchase_timestamp")),
+        "customer_id": F.when(j == 1, F.lit("0")).otherwise(F.col("customer_id")),
+    })
+    return {**raw, "order_items": items, "orders": orders}
 
 
 def stage_report(event_dir: str) -> list[dict]:
@@ -103,13 +112,17 @@ def main() -> None:
     hot = (store.read(spark, "curated_layer", "order_items")
            .groupBy("order_id").count().orderBy("count", ascending=False).first())
     seller = store.read(spark, ANALYTICS, "seller_performance").filter("seller_id = '1'").first()
+    day = store.read(spark, ANALYTICS, "daily_sales_mart").orderBy("total_orders", ascending=False).first()
+    cust = store.read(spark, ANALYTICS, "customer_rfm").filter("customer_id = '0'").first()
     spark.stop()
     print(json.dumps({"uniform_seconds": round(base_total, 2),
                       "uniform_steps": {k: round(v, 2) for k, v in base_run.seconds.items()},
                       "skewed_seconds": round(total, 2),
                       "skewed_steps": {k: round(v, 2) for k, v in run.seconds.items()},
                       "hottest_curated_order": [hot["order_id"], hot["count"]],
-                      "hot_seller_orders": seller["total_orders"]}))
+                      "hot_seller_orders": seller["total_orders"],
+                      "hot_day_orders": [str(day["order_date"]), day["total_orders"]],
+                      "hot_customer_orders": cust["frequency_orders"]}))
     # Stages that read files are bound by the input layout (the test tables are
     # single row groups, read by one task); key skew shows in shuffle stages.
     report = [s for s in stage_report(events) if s["reads"] == "shuffle"]
