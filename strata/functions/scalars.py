@@ -79,9 +79,16 @@ def int_avg(c: Column | str) -> Column:
 
 
 def load_timestamp(cfg: RunConfig) -> Column:
+    """The run's load time. A pinned value is passed as text and read in the
+    session time zone (UTC), not in the driver process's local zone, which is
+    what a naive Python datetime literal would use; an aware value is
+    converted to UTC first."""
     if cfg.load_ts is None:
         return F.current_timestamp()
-    return F.lit(cfg.load_ts).cast("timestamp")
+    ts = cfg.load_ts
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp")
 
 
 def as_of_date(cfg: RunConfig) -> Column:

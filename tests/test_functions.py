@@ -73,3 +73,25 @@ def test_lineage_literals(spark, cfg):
     r = spark.range(1).select(*lineage("olist", cfg)).first()
     assert r.record_source == "olist"
     assert r.load_timestamp == cfg.load_ts
+
+
+def test_pinned_load_timestamp_ignores_the_driver_time_zone(spark):
+    import os
+    import time
+    from strata.config import RunConfig
+    from strata.functions.scalars import load_timestamp
+    cfg = RunConfig(load_ts=dt.datetime(2024, 1, 1, 12, 30))
+    aware = RunConfig(load_ts=dt.datetime(2024, 1, 1, 14, 30, tzinfo=dt.timezone(dt.timedelta(hours=2))))
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        got = spark.range(1).select(F.date_format(load_timestamp(cfg), "yyyy-MM-dd HH:mm").alias("a"),
+                                    F.date_format(load_timestamp(aware), "yyyy-MM-dd HH:mm").alias("b")).first()
+    finally:
+        if old is None:
+            os.environ.pop("TZ")
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert (got.a, got.b) == ("2024-01-01 12:30", "2024-01-01 12:30")
