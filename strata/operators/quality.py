@@ -28,7 +28,8 @@ def _long(df: DataFrame, table: str) -> DataFrame:
         F.lit(table).alias("table_name"), "metric", F.col("value").cast("bigint").alias("value"))
 
 
-def _metric(df: DataFrame, table: str, metric: str) -> DataFrame:
+def count_metric(df: DataFrame, table: str, metric: str) -> DataFrame:
+    """Row count of ``df`` as one (table_name, metric, value) row."""
     return df.agg(F.count(F.lit(1)).alias(metric)).transform(lambda d: _long(d, table))
 
 
@@ -54,7 +55,7 @@ def raw_profile(df: DataFrame, table: str, key: Sequence[str] | None,
         wide = df.agg(*per_row).withColumnRenamed(_N, "raw_rows")
     out = _long(wide, table)
     if processed is not None:
-        out = out.unionByName(_metric(processed, table, "processed_rows"))
+        out = out.unionByName(count_metric(processed, table, "processed_rows"))
     return out
 
 
@@ -83,13 +84,13 @@ def layer_counts(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Input and output rows of the curate step, per table."""
     parts = []
     for table, (src, out) in pairs.items():
-        parts.append(_metric(src, table, "curated_input_rows"))
-        parts.append(_metric(out, table, "curated_output_rows"))
+        parts.append(count_metric(src, table, "curated_input_rows"))
+        parts.append(count_metric(out, table, "curated_output_rows"))
     return union_all(parts)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    return union_all([_metric(df, name, "row_count") for name, df in tables.items()])
+    return union_all([count_metric(df, name, "row_count") for name, df in tables.items()])
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -147,8 +147,7 @@ def run_layered(spark: SparkSession, raw: dict[str, DataFrame] | None, store: La
             parts.append(quality.metrics_frame(spark, n, obs.get))
             if RAW_CHECKS[n]["key"]:   # the one metric that needs a (key-only) grouped pass
                 parts.append(quality.duplicate_key_groups(raw[n], n, RAW_CHECKS[n]["key"]))
-            parts.append(quality.row_counts({n: processed[n]}).replace("row_count", "processed_rows",
-                                                                       subset=["metric"]))
+            parts.append(quality.count_metric(processed[n], n, "processed_rows"))
     if "curate" in layers:
         source = processed or {n: store.read(spark, PROCESSED, n) for n in names}
         curated = timed("curate_layer", lambda: write_layer(
