@@ -75,9 +75,12 @@ def duplicate_key_groups(df: DataFrame, table: str, key: Sequence[str]) -> DataF
 
 
 def metrics_frame(spark, table: str, metrics: dict) -> DataFrame:
-    """A handful of already-computed counters as (table_name, metric, value)."""
-    return spark.createDataFrame([(table, k, int(v)) for k, v in metrics.items()],
-                                 "table_name string, metric string, value bigint")
+    """A handful of already-computed counters as (table_name, metric, value),
+    built from literals in one partition (JVM-side; no Python worker)."""
+    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(k).alias("metric"),
+                     F.lit(int(v)).cast("bigint").alias("value"))
+            for k, v in metrics.items()]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 def layer_counts(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
