@@ -5,7 +5,9 @@
 Reads the nine raw CSV entities from ``<drop>/<entity>/``, writes
 ``processed_layer``, ``curated_layer`` and ``analytics_layer`` (three marts and
 ``dq_metrics``) under ``<warehouse>``, and prints per-layer wall times.
-Master, executors and ``spark.checkpoint.dir`` come from the cluster.
+Master, executors and ``spark.checkpoint.dir`` come from the cluster. Only the
+driver imports this package: every transform is a JVM-side Spark expression,
+so executors need no Python code from it.
 """
 
 from __future__ import annotations
@@ -13,6 +15,11 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
+import sys
+
+if __package__ in (None, ""):  # run as a script (spark-submit strata/__main__.py)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from strata.config import RAW_RECORD_SOURCE, RunConfig
 from strata.plans.layered import LAYER_JOB_PARALLELISM, LAYERS, run_layered
