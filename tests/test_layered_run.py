@@ -82,3 +82,13 @@ def test_layers_can_run_separately(spark, cfg):
     assert set(run.seconds) == {"mart_layer", "dq_metrics"}
     got = store.read(spark, ANALYTICS, "daily_sales_mart")
     assert _same(got, QUERIES["mart_daily_sales"](spark, SF_SMALL))
+
+
+def test_driver_program_runs_as_a_script_from_any_folder(tmp_path):
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, os.path.join(root, "strata", "__main__.py"), "--help"],
+                         cwd=tmp_path, capture_output=True, text=True, timeout=120, check=True)
+    assert "--layers" in out.stdout and "--warehouse" in out.stdout
