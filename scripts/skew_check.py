@@ -99,7 +99,8 @@ def main() -> None:
     os.makedirs(events)
     spark = build_session("local[8]", 16, extra={"spark.eventLog.enabled": "true",
                                                  "spark.eventLog.dir": events})
-    spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
     def timed_run(raw, name):
         store = LayerStore(os.path.join(scratch, name))
         t0 = time.perf_counter()

@@ -15,8 +15,10 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from strata.session import build_session
     s = build_session("local[4]", shuffle_partitions=8)
-    # Tests run locally: give the session its own shared folder.
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-test-"))
+    # Use the shared folder the environment names; only where none is set,
+    # give the (local) test session its own.
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-test-"))
     yield s
     s.stop()
 

@@ -4,7 +4,8 @@ from strata.session import scratch_path, shared_dir
 def test_shared_dir_is_stable_and_comes_from_the_session(spark):
     d = shared_dir(spark)
     assert d == shared_dir(spark)                       # one folder per session
-    assert d == spark.sparkContext.getCheckpointDir().rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert d == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
     assert scratch_path(spark, "a", "b") == f"{d}/a/b"
 
 
