@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 CACHE_ENTRIES = 700_000   # distinct pre-tokens whose ids one Python worker keeps
 CACHE_CHARS = 48          # longer pre-tokens are encoded each time
 SLICE = 200_000           # pre-tokens handled at a time
+ROWS = 1_000              # documents handled at a time
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
@@ -254,37 +255,42 @@ def decode(docs: DataFrame, path: str, ids_col: str = "token_ids", out_col: str
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """Encode and decode every text; return the digests without moving ids or texts.
-
-    Columns: ``id_col``, n_tokens long, ids_sha256 (of the decimal ids joined
-    by one space), decoded_sha256 (of the decoded bytes). Rows are independent;
-    null text counts as empty; a null id is kept. Texts of any length are taken
-    in slices of pre-tokens, so memory follows the slice.
+               text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+    """Encode and decode every text: ``id_col``, n_tokens long, ids_sha256, decoded_sha256.
+
+    ids_sha256 is of the decimal ids joined by one space, decoded_sha256 of the
+    bytes that the ids give back; ``keep_ids`` adds token_ids array<int>. Rows
+    are independent; null text counts as empty; a null id is kept. Texts of
+    any length are taken in slices of pre-tokens, so without ``keep_ids``
+    memory follows the slice.
     """
     data = _vocabulary(docs.sparkSession, path)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    schema = pa.schema([("id", rows.schema["id"].dataType.simpleString() == "bigint" and pa.int64() or pa.string()),
-                        ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * keep_ids]
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(data.value, pattern)
-        for batch in batches:
-            counts = [0] * batch.num_rows
-            id_hash = [hashlib.sha256() for _ in counts]
-            text_hash = [hashlib.sha256() for _ in counts]
-            for at, ids in c.encode_all(t.as_py() for t in batch.column(1)):
-                if counts[at]:
-                    id_hash[at].update(b" ")
-                counts[at] += len(ids)
-                id_hash[at].update(" ".join(map(c.digits.__getitem__, ids)).encode())
-                text_hash[at].update(c.decode(ids))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(schema.field(0).type), pa.array(counts, pa.int64()),
-                 pa.array([h.hexdigest() for h in id_hash]), pa.array([h.hexdigest() for h in text_hash])], schema=schema)
-
-    id_type = "bigint" if schema.field(0).type == pa.int64() else "string"
-    if id_type == "string":
-        rows = rows.withColumn("id", F.col("id").cast("string"))
-    return (rows.mapInArrow(digests, f"id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-            .withColumnRenamed("id", id_col))
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                counts = [0] * batch.num_rows
+                id_hash = [hashlib.sha256() for _ in counts]
+                text_hash = [hashlib.sha256() for _ in counts]
+                kept: list[list[np.ndarray]] = [[] for _ in counts]
+                for i, ids in c.encode_all(t.as_py() for t in batch.column(1)):
+                    if counts[i]:
+                        id_hash[i].update(b" ")
+                    counts[i] += len(ids)
+                    id_hash[i].update(" ".join(map(c.digits.__getitem__, ids)).encode())
+                    text_hash[i].update(c.decode(ids))
+                    if keep_ids:
+                        kept[i].append(np.array(ids, np.int32))
+                columns = [batch.column(0), pa.array(counts, pa.int64()),
+                           pa.array([h.hexdigest() for h in id_hash]), pa.array([h.hexdigest() for h in text_hash])]
+                if keep_ids:
+                    columns.append(pa.array([np.concatenate(k) if k else [] for k in kept], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    kind = rows.schema[id_col].dataType.simpleString()
+    return rows.mapInArrow(digests, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+                           + ", token_ids array<int>" * keep_ids)

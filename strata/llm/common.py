@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,24 +26,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this job wrote, through the file system that Spark uses for it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def crc_bucket(id_col: Column, n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
-
-
-def rowwise(fn: Callable[[list], list[list]], schema: pa.Schema, rows: int = 256):
-    """A ``mapInArrow`` function from ``fn(columns as lists) -> columns as lists``.
-
-    Works on at most ``rows`` rows at a time, so a batch of long texts is never
-    held twice as Python objects.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
-                out = fn([c.to_pylist() for c in part.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, type=f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
-
-    return run

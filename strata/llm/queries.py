@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact, mix
-from strata.llm.common import table
+from strata.llm import bpe, exact, mix, simhash, toxicity
+from strata.llm.common import crc_bucket, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -24,6 +24,18 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "copy", F.col("_copies").alias("copies"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+    return groups.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, toxicity.training(table(spark, sf_dir, "labels")))
+    return (toxicity.score(docs, model)
+            .select("doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BPE_FILE, public_tokenizers.PATTERN)
 
@@ -59,10 +71,18 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
+    "op4_simhash": op4_simhash,
+    "op7_toxicity": op7_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
