@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact, mix, simhash, toxicity
+from strata.llm import bpe, exact, mix, simhash, toxicity, warc
 from strata.llm.common import crc_bucket, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -44,6 +44,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.package_round_trip(table(spark, sf_dir, "pages"))
+    return back.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 _weight = "CASE " + " ".join(f"WHEN source = '{s}' THEN {w}" for s, w in MIX_WEIGHTS.items()) + " ELSE 1.0 END"
 
 OP3_SQL = f"""
@@ -76,16 +82,28 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+OP10_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+           FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > least THEN least END AS refers_to
+FROM g
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash": op4_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_warc_zip": op10_warc_zip,
     "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
     "op3_mix_sources": OP3_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op10_warc_zip": OP10_SQL,
 }
