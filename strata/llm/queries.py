@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact, mix, simhash, toxicity, warc
+from strata.llm import bpe, exact, langid, mix, simhash, toxicity, warc
 from strata.llm.common import crc_bucket, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -17,6 +17,14 @@ BPE_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5, "src3": 0.0}
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_bucket(F.col("doc_id"), 4) == 2
+    model = langid.prototypes(docs.where(~held_out))
+    return (langid.identify(docs, model)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per copy: doc_id, source, copy, rate, copies."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -93,6 +101,7 @@ FROM g
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash": op4_simhash,
     "op7_toxicity": op7_toxicity,
