@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact, langid, mix, simhash, toxicity, warc
+from strata.llm import ann, bpe, exact, langid, mix, simhash, toxicity, warc
 from strata.llm.common import crc_bucket, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,6 +25,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
 
 
+def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per copy: doc_id, source, copy, rate, copies."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -102,6 +107,7 @@ FROM g
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_prefix_forest": op2_prefix_forest,
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash": op4_simhash,
     "op7_toxicity": op7_toxicity,
