@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, bpe, exact, langid, mix, simhash, toxicity, warc
+from strata.llm import ann, bpe, exact, langid, mix, rlz, simhash, suffix, toxicity, warc
 from strata.llm.common import crc_bucket, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -42,6 +42,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (suffix.repeated_bytes(table(spark, sf_dir, "documents"), length=400)
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
+def op6_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (rlz.repeated_words(table(spark, sf_dir, "documents"), length=13)
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, toxicity.training(table(spark, sf_dir, "labels")))
@@ -110,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_prefix_forest": op2_prefix_forest,
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash": op4_simhash,
+    "op5_suffix_array": op5_suffix_array,
+    "op6_relative_lz": op6_relative_lz,
     "op7_toxicity": op7_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,

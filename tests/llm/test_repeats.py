@@ -1,0 +1,120 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from strata.llm import dealt, rlz, suffix
+
+
+@pytest.mark.parametrize("alphabet", ["a", "ab", "abc\x00", "the quick brown"])
+@pytest.mark.parametrize("n", [0, 1, 2, 50, 700])
+def test_two_stage_sorts_suffixes(alphabet, n):
+    data = "".join(random.Random(n).choices(alphabet, k=n)).encode()
+    assert suffix.two_stage(data, 10_000).tolist() == sorted(range(n), key=lambda i: data[i:])
+
+
+@pytest.mark.parametrize("w", [1, 2, 7, 40])
+def test_window_min(w):
+    x = np.random.default_rng(w).integers(0, 50, 41).astype(np.uint64)
+    assert dealt.window_min(x, w).tolist() == [min(x[i:i + w].tolist()) for i in range(len(x) - w + 1)]
+
+
+def brute_bytes(texts, length):
+    where = {}
+    data = [(t or "").encode() for t in texts]
+    for d, t in enumerate(data):
+        for p in range(len(t) - length + 1):
+            where.setdefault(t[p:p + length], []).append((d, p))
+    gone = [np.zeros(len(t), bool) for t in data]
+    for places in where.values():
+        if len(places) > 1:
+            for d, p in places:
+                gone[d][p:p + length] = True
+    out = []
+    for t, g in zip(data, gone):
+        kept = bytes(b for b, x in zip(t, g) if not x)
+        spans = int((np.diff(np.concatenate([[0], g.astype(int)])) == 1).sum())
+        out.append((len(t), int(g.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+    return out
+
+
+def brute_words(rows, length):
+    least = {}
+    words = [[w for w in (t or "").encode().split()] for _, t in rows]
+    ids = [float("inf") if i is None else i for i, _ in rows]
+    for i, w in zip(ids, words):
+        for p in range(len(w) - length + 1):
+            k = tuple(w[p:p + length])
+            least[k] = min(least.get(k, float("inf")), i)
+    out = []
+    for i, w in zip(ids, words):
+        gone = [False] * len(w)
+        for p in range(len(w) - length + 1):
+            if least[tuple(w[p:p + length])] < i:
+                gone[p:p + length] = [True] * length
+        kept = b" ".join(x for x, g in zip(w, gone) if not g)
+        out.append((len(w), sum(gone), hashlib.sha256(kept).hexdigest(), kept.decode()))
+    return out
+
+
+def corpus(seed, vocabulary=30, docs=60):
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdeé", k=rng.randint(1, 5))) for _ in range(vocabulary)]
+    passages = [rng.choices(words, k=rng.randint(10, 40)) for _ in range(4)]
+    out = [None, "", "  \t\n ", "short", "a" * 300, "a" * 150 + "b" + "a" * 150, "x y " * 100]
+    for _ in range(docs):
+        parts = [rng.choices(words, k=rng.randint(0, 60)) for _ in range(2)]
+        if rng.random() < 0.5:
+            parts.insert(1, rng.choice(passages))
+        out.append(rng.choice([" ", "\n", "  "]).join(w for p in parts for w in p))
+    out += out[8:13] * 3 + [out[9] + " more", "more " + out[9], out[9][:-3]]
+    return out
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    monkeypatch.setattr(dealt, "UNIT_BYTES", 1500)
+    monkeypatch.setattr(dealt, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(suffix, "SHARD", 500)
+
+
+@pytest.mark.parametrize("seed,length", [(1, 20), (2, 33), (3, 90)])
+def test_repeated_bytes(spark, small_blocks, seed, length):
+    texts = corpus(seed)
+    docs = spark.createDataFrame([(i, t, 1, "z") for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string, id int, kept string").repartition(3, "doc_id")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept))
+           for r in suffix.repeated_bytes(docs, length, keep_text=True).collect()}
+    assert got == dict(enumerate(brute_bytes(texts, length)))
+    assert sum(g[1] for g in got.values()) > 0
+
+
+@pytest.mark.parametrize("seed,length", [(1, 3), (2, 5), (3, 13)])
+def test_repeated_words(spark, small_blocks, seed, length):
+    rows = [((i * 7919) % 1009, t) for i, t in enumerate(corpus(seed))]
+    rows[10] = (None, rows[10][1])
+    rows[11] = (rows[12][0], rows[12][1])
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, id int").repartition(3, "text")
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept)
+                  for r in rlz.repeated_words(docs, length, keep_text=True).collect()), key=str)
+    assert got == sorted(((i, *b) for (i, _), b in zip(rows, brute_words(rows, length))), key=str)
+    assert sum(g[2] for g in got) > 0
+
+
+def test_long_text_in_blocks(spark, monkeypatch):
+    """Blocks shorter than a text give what whole texts give."""
+    monkeypatch.setattr(dealt, "BLOCK", 256)
+    monkeypatch.setattr(dealt, "PLACE", np.uint64(255))
+    monkeypatch.setattr(dealt, "_POWERS", [])
+    texts = corpus(5)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.n_removed for r in suffix.repeated_bytes(docs, 40).collect()}
+    assert got == {i: b[1] for i, b in enumerate(brute_bytes(texts, 40))}
+    got = {r.doc_id: r.n_removed for r in rlz.repeated_words(docs, 6).collect()}
+    assert got == {i: b[1] for i, b in enumerate(brute_words(list(enumerate(texts)), 6))}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    assert suffix.repeated_bytes(docs).count() == rlz.repeated_words(docs).count() == 0
