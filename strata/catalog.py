@@ -19,6 +19,7 @@ from strata.functions.scalars import (date_parts, lineage, money_avg, money_sum,
                                       recency_days, round_money, safe_cast, trim_text)
 from strata.operators import quality
 from strata.operators.dedupe import keep_first
+from strata.operators.joins import split_join
 from strata.operators.filters import in_range, non_negative, not_blank, not_null
 from strata.oracle import AS_OF, LOAD_TS, sql_money, sql_money_avg, sql_money_sum, with_ctes
 from strata.plans.curate import CURATE
@@ -26,9 +27,9 @@ from strata.plans.marts import (build_marts, customer_rfm, daily_sales, latest_r
                                 seller_performance)
 from strata.plans.layered import RAW_CHECKS, write_layer
 from strata.plans.process import PROCESS
-from strata.session import scratch_path, use_utc
+from strata.session import scratch_folder, use_utc
 from strata.sources.csv import read_raw_csv, write_raw_csv
-from strata.sources.layers import CURATED, PROCESSED, LayerStore
+from strata.sources.layers import ANALYTICS, CURATED, PROCESSED, LayerStore
 from strata.sources.star_views import raw_view
 from strata.specs import ENTITIES
 
@@ -64,7 +65,7 @@ def curated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _store(spark: SparkSession) -> LayerStore:
     """A fresh layer store in the shared folder (one per query call)."""
-    return LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+    return LayerStore(scratch_folder(spark, "layers", uuid.uuid4().hex))
 
 
 def curated_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
@@ -77,7 +78,7 @@ def curated_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, D
 # -- I/O ---------------------------------------------------------------------
 def _csv_roundtrip(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     entity = ENTITIES[name]
-    path = scratch_path(spark, "raw_drop", f"{name}-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "raw_drop", f"{name}-{uuid.uuid4().hex}")
     write_raw_csv(raw(spark, sf_dir, name), path, entity)
     return read_raw_csv(spark, path, entity)
 
@@ -95,6 +96,23 @@ def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(spark, CURATED, "orders")
 
 
+@register("sink_processed_order_items", "SELECT * FROM proc_order_items")
+def sink_processed_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark)
+    store.write(processed(spark, sf_dir, "order_items"), PROCESSED, "order_items")
+    return store.read(spark, PROCESSED, "order_items")
+
+
+@register("sink_mart_daily_sales", "SELECT * FROM mart_daily_sales")
+def sink_mart_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written twice: the second version replaces the first."""
+    store, c = _store(spark), curated_tables(spark, sf_dir, "orders", "order_items")
+    mart = daily_sales(c["orders"], c["order_items"], CFG)
+    for df in (mart.where("total_orders > 1"), mart):
+        store.write(df, ANALYTICS, "daily_sales_mart")
+    return store.read(spark, ANALYTICS, "daily_sales_mart")
+
+
 # -- process / curate ------------------------------------------------------------
 for _name in ENTITIES:
     register(f"process_{_name}", f"SELECT * FROM proc_{_name}")(
@@ -221,28 +239,30 @@ LEFT JOIN (SELECT order_id, review_score FROM cur_reviews
                                       review_id DESC NULLS LAST, review_score ASC NULLS LAST) = 1) r
   ON i.order_id = r.order_id""")
 def join_left_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = curated(spark, sf_dir, "order_items").select("order_id", "order_item_id", "seller_id", "price")
-    o = curated(spark, sf_dir, "orders").select("order_id", "order_purchase_timestamp")
-    s = curated(spark, sf_dir, "sellers").select("seller_id", "seller_city", "seller_state")
-    r = latest_review_per_order(curated(spark, sf_dir, "reviews"))
-    return (items.join(o, "order_id", "left").join(s, "seller_id", "left").join(r, "order_id", "left")
+    t = curated_tables(spark, sf_dir, "order_items", "orders", "sellers", "reviews")
+    items = t["order_items"].select("order_id", "order_item_id", "seller_id", "price")
+    o = t["orders"].select("order_id", "order_purchase_timestamp")
+    s = t["sellers"].select("seller_id", "seller_city", "seller_state")
+    # order attributes meet at order grain; items then join once per key, and a hot order or seller may be split
+    o = o.join(latest_review_per_order(t["reviews"]), "order_id", "full_outer")
+    return (split_join(split_join(items, o, "order_id", "left"), s, "seller_id", "left")
             .select("order_id", "order_item_id", "seller_id", "price", "order_purchase_timestamp",
                     "seller_city", "seller_state", "review_score"))
 
 
-@register("join_left_preagg", """
-SELECT o.order_id, o.customer_id, CAST(t.order_value AS DOUBLE) AS order_value,
+@register("join_left_preagg", f"""
+SELECT o.order_id, o.customer_id, t.order_value,
        c.customer_unique_id, c.customer_city
 FROM cur_orders o
-LEFT JOIN (SELECT order_id, sum(CAST(price AS DECIMAL(38,2))) AS order_value
+LEFT JOIN (SELECT order_id, {sql_money_sum('price')} AS order_value
            FROM cur_order_items GROUP BY order_id) t ON o.order_id = t.order_id
 LEFT JOIN cur_customers c ON o.customer_id = c.customer_id""")
 def join_left_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = curated(spark, sf_dir, "orders").select("order_id", "customer_id")
-    t = (curated(spark, sf_dir, "order_items").groupBy("order_id")
-         .agg(money_sum("price").alias("order_value")))
-    c = curated(spark, sf_dir, "customers").select("customer_id", "customer_unique_id", "customer_city")
-    return (o.join(t, "order_id", "left").join(c, "customer_id", "left")
+    tables = curated_tables(spark, sf_dir, "orders", "order_items", "customers")
+    o = tables["orders"].select("order_id", "customer_id")
+    t = tables["order_items"].groupBy("order_id").agg(money_sum("price").alias("order_value"))
+    c = tables["customers"].select("customer_id", "customer_unique_id", "customer_city")
+    return (split_join(o.join(t, "order_id", "left"), c, "customer_id", "left")
             .select("order_id", "customer_id", "order_value", "customer_unique_id", "customer_city"))
 
 
@@ -250,10 +270,10 @@ def join_left_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o.order_id, o.order_purchase_date AS order_date, o.customer_id, i.order_item_id, i.price
 FROM cur_orders o JOIN cur_order_items i ON o.order_id = i.order_id""")
 def join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = curated(spark, sf_dir, "orders").select(
-        "order_id", F.col("order_purchase_date").alias("order_date"), "customer_id")
-    i = curated(spark, sf_dir, "order_items").select("order_id", "order_item_id", "price")
-    return o.join(i, "order_id", "inner")
+    t = curated_tables(spark, sf_dir, "orders", "order_items")
+    o = t["orders"].select("order_id", F.col("order_purchase_date").alias("order_date"), "customer_id")
+    i = t["order_items"].select("order_id", "order_item_id", "price")
+    return split_join(o, i, "order_id")
 
 
 # -- aggregates ----------------------------------------------------------------

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from strata.config import RunConfig
 
-# Money is rounded HALF_UP to cents through this exact decimal.
+# Money is rounded to cents; sums of cents are exact in this type.
 MONEY_SCALE = 2
-MONEY_EXACT = "decimal(38,4)"
 MONEY_SUM = "decimal(38,2)"
 
 
@@ -45,30 +44,49 @@ def trim_text(c: Column | str) -> Column:
 
 
 def round_money(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``round(x, 2)`` HALF_UP, computed on an exact decimal.
+    """``round(x, 2)`` HALF_UP of a double, as Spark rounds it: from the shortest
+    decimal text of the value, once. NaN and infinities stay what they are."""
+    return F.round(col_of(c), scale)
 
-    Going through a 4-place decimal removes binary noise of the double, so the
-    result equals Spark's ``round(double, 2)`` on cent/sub-cent money and is
-    reproducible in any SQL engine. Values outside the decimal range (or NaN)
-    fall back to the double rounding.
-    """
+
+def _cents(x: Column) -> tuple[Column, Column]:
+    """The value as whole cents, and whether that is exactly the value."""
+    d = x.try_cast(MONEY_SUM)
+    return d, F.coalesce(d.cast("double") == x, F.lit(False))
+
+
+def money_parts(c: Column | str, name: str) -> list[Column]:
+    """Additive aggregates from which ``money_total`` makes an exact sum later:
+    cents that are exact, how many values are not, the plain sum, the count."""
     x = col_of(c)
-    exact = F.round(x.try_cast(MONEY_EXACT), scale).cast("double")
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-        F.coalesce(exact, F.round(x, scale)))
+    d, exact = _cents(x)
+    return [F.try_sum(F.when(exact, d)).alias(f"{name}_cents"),
+            F.count_if(x.isNotNull() & ~exact).alias(f"{name}_inexact"),
+            F.sum(x).alias(f"{name}_plain"),
+            F.count(x).alias(f"{name}_n")]
 
 
-def money_sum(c: Column | str) -> Column:
-    """Exact, order-independent sum of cent amounts, returned as double.
+def money_total(name: str) -> Column:
+    """Sum over rows of ``money_parts``: exact where all values are whole cents
+    (so independent of the order of rows), else the plain sum of doubles, in
+    which NaN and infinities show. Never fails; null without a value."""
+    cents = F.try_sum(f"{name}_cents")
+    lost = F.count_if(F.col(f"{name}_cents").isNull() & (F.col(f"{name}_n") > F.col(f"{name}_inexact")))
+    return (F.when((F.sum(f"{name}_inexact") == 0) & (lost == 0) & cents.isNotNull(), cents.cast("double"))
+            .otherwise(F.sum(f"{name}_plain")))
 
-    A double sum depends on the order rows arrive in (so on partitioning); a
-    decimal sum does not, which keeps the marts reproducible run to run.
-    """
-    return F.sum(col_of(c).cast(MONEY_SUM)).cast("double")
+
+def money_sum(c: Column | str) -> Column:
+    """Sum of money in one aggregate, by the rule of ``money_total``."""
+    x = col_of(c)
+    d, exact = _cents(x)
+    cents = F.try_sum(F.when(exact, d))
+    return (F.when((F.count_if(x.isNotNull() & ~exact) == 0) & cents.isNotNull(), cents.cast("double"))
+            .otherwise(F.sum(x)))
 
 
 def money_avg(c: Column | str) -> Column:
-    """Average = exact sum / number of non-null values (null when none)."""
+    """``money_sum`` over the number of the same non-null values (null when none)."""
     return F.try_divide(money_sum(c), F.count(col_of(c)).cast("double"))
 
 

@@ -40,7 +40,8 @@ def keep_first(df: DataFrame, keys: Sequence[str],
     """One row per ``keys``: the first under ``order`` (default: every other
     business column ascending, nulls last)."""
     if order is None:
-        order = ascending(order_columns(df, keys))
+        # a table of nothing but its key has equal rows per key: any order will do
+        order = ascending(order_columns(df, keys) or keys)
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
     return (df.withColumn(_RN, F.row_number().over(w))
             .filter(F.col(_RN) == 1)

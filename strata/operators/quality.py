@@ -59,30 +59,6 @@ def raw_profile(df: DataFrame, table: str, key: Sequence[str] | None,
     return out
 
 
-def row_counters(null_cols: Sequence[str] = (), negative_cols: Sequence[str] = ()) -> list:
-    """Whole-table counters that need no grouping: rows, nulls per column,
-    negative numbers (text parsed as double). Usable with ``DataFrame.observe``."""
-    return ([F.count(F.lit(1)).alias("raw_rows")]
-            + [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_cols]
-            + [F.count_if(safe_cast(c, "double") < 0).alias(f"negative_{c}") for c in negative_cols])
-
-
-def duplicate_key_groups(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-    """Number of key values occurring more than once (null is a value): a
-    key-only grouped pass, partially aggregated map-side."""
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias(_N))
-    return _long(per_key.agg(F.count_if(F.col(_N) > 1).alias("duplicate_key_groups")), table)
-
-
-def metrics_frame(spark, table: str, metrics: dict) -> DataFrame:
-    """A handful of already-computed counters as (table_name, metric, value),
-    built from literals in one partition (JVM-side; no Python worker)."""
-    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(k).alias("metric"),
-                     F.lit(int(v)).cast("bigint").alias("value"))
-            for k, v in metrics.items()]
-    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
-
-
 def layer_counts(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Input and output rows of the curate step, per table."""
     parts = []

@@ -1,8 +1,11 @@
 """Equivalent DuckDB SQL for every registered query (the correctness oracle).
 
 The SQL restates the original semantics directly (joins before grouping,
-the marts' own dedupes kept), so it is an independent check of the Spark
-plans, not a transcript of them. Pinned parameters (load timestamp, as-of
+the marts' own dedupes kept), so it checks the Spark plans without repeating
+them. Money is rounded from the decimal text of each double, not by the chain
+that Spark runs. One choice is shared: rows are filtered before they are
+deduplicated, where the original dedupes first and keeps an arbitrary row; for
+a key with a valid row both may keep a valid one, but row counts can differ. Pinned parameters (load timestamp, as-of
 date) are the ones the registered queries use.
 
 Both engines are given the same total order for "keep one row per key":
@@ -37,16 +40,18 @@ def _txt(expr: str) -> str:
 
 
 def sql_money(expr: str) -> str:
-    return (f"CASE WHEN {expr} IS NULL THEN NULL ELSE COALESCE("
-            f"CAST(round(TRY_CAST({expr} AS DECIMAL(38,4)), 2) AS DOUBLE), round({expr}, 2)) END")
+    """Half-up to cents from the shortest decimal text; what has no such decimal (NaN, infinite, huge) stays."""
+    return (f"COALESCE(CAST(round(TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE), {expr})")
 
 
 def sql_money_sum(expr: str) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(38,2))) AS DOUBLE)"
+    """Exact where all values are finite; NaN and infinities show as in a plain sum."""
+    return (f"CASE WHEN count(*) FILTER (WHERE NOT isfinite({expr})) > 0 THEN sum({expr}) "
+            f"ELSE CAST(sum(TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,2))) AS DOUBLE) END")
 
 
 def sql_money_avg(expr: str) -> str:
-    return f"{sql_money_sum(expr)} / NULLIF(CAST(count({expr}) AS DOUBLE), 0)"
+    return f"({sql_money_sum(expr)}) / NULLIF(CAST(count({expr}) AS DOUBLE), 0)"
 
 
 def sql_int_avg(expr: str) -> str:
@@ -90,9 +95,14 @@ SELECT {_txt('l_orderkey')} AS order_id,
        {_txt('l_suppkey')} AS seller_id,
        {_txt('l_shipdate')} AS shipping_limit_date,
        CASE WHEN l_partkey % {sv.DIRT_NEGATIVE_PRICE_MOD} = 0
-            THEN {_txt('-CAST(l_extendedprice AS DECIMAL(12,2))')}
-            ELSE {_txt('CAST(l_extendedprice AS DECIMAL(12,2))')} END AS price,
-       {_txt('CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))')} AS freight_value
+            THEN {_txt('-CAST(l_extendedprice AS DECIMAL(18,2))')}
+            WHEN l_partkey % {sv.DIRT_NAN_PRICE_MOD} = 0 THEN 'NaN'
+            WHEN l_partkey % {sv.DIRT_INFINITE_PRICE_MOD} = 0 THEN 'Infinity'
+            WHEN l_partkey % {sv.DIRT_LARGE_PRICE_MOD} = 0 THEN '{sv.LARGE_PRICE}'
+            WHEN l_partkey % {sv.DIRT_SUB_CENT_MOD} = 0
+            THEN {_txt('CAST(l_extendedprice AS DECIMAL(18,2))')} || '{sv.SUB_CENT}'
+            ELSE {_txt('CAST(l_extendedprice AS DECIMAL(18,2))')} END AS price,
+       {_txt('CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(8,2))')} AS freight_value
 FROM lineitem""",
     "customers": f"""
 SELECT {_txt('c_custkey')} AS customer_id,
@@ -127,7 +137,9 @@ SELECT {_txt('event_id // 2')} AS order_id,
        {_txt('event_id % 2 + 1')} AS payment_sequential,
        CASE WHEN event_id % {sv.DIRT_NULL_PAYMENT_TYPE_MOD} = 0 THEN NULL ELSE event_type END AS payment_type,
        {_txt('event_id % 12 + 1')} AS payment_installments,
-       {_txt('CAST(value AS DECIMAL(12,2))')} AS payment_value
+       CASE WHEN event_id % {sv.DIRT_NAN_PRICE_MOD} = 0 THEN 'NaN'
+            WHEN event_id % {sv.DIRT_SUB_CENT_MOD} = 0 THEN {_txt('CAST(value AS DECIMAL(18,2))')} || '{sv.SUB_CENT}'
+            ELSE {_txt('CAST(value AS DECIMAL(18,2))')} END AS payment_value
 FROM events""",
     "reviews": f"""
 SELECT {_txt('event_id')} AS review_id,
@@ -135,7 +147,9 @@ SELECT {_txt('event_id')} AS review_id,
        CASE WHEN event_id % {sv.DIRT_BAD_SCORE_MOD} = 0 THEN 'x'
             ELSE {_txt('CAST(floor(value) AS BIGINT) % 7')} END AS review_score,
        event_type AS review_comment_title,
-       props AS review_comment_message,
+       CASE WHEN event_id % {sv.DIRT_MULTILINE_MOD} = 0
+            THEN props || chr(10) || 'second line, with "quotes"' || chr(10) || chr(10) || '"end"'
+            ELSE props END AS review_comment_message,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS review_creation_date,
        strftime(ts + INTERVAL {sv.REVIEW_ANSWER_DAYS} DAY, '%Y-%m-%d %H:%M:%S') AS review_answer_timestamp
 FROM events""",
@@ -313,7 +327,7 @@ WITH o AS (SELECT * FROM (SELECT trim(order_id) AS order_id, trim(customer_id) A
                                  order_purchase_date FROM cur_orders)
            WHERE order_id IS NOT NULL AND customer_id IS NOT NULL
            QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY customer_id, order_purchase_date) = 1),
-     t AS (SELECT order_id, sum(CAST(price AS DECIMAL(38,2))) AS order_value FROM (
+     t AS (SELECT order_id, {sql_money_sum('price')} AS order_value FROM (
              SELECT trim(order_id) AS order_id, trim(order_item_id) AS order_item_id, price FROM cur_order_items)
            WHERE order_id IS NOT NULL AND order_item_id IS NOT NULL GROUP BY order_id),
      c AS (SELECT * FROM (SELECT trim(customer_id) AS customer_id, trim(customer_unique_id) AS customer_unique_id,
@@ -324,8 +338,8 @@ WITH o AS (SELECT * FROM (SELECT trim(order_id) AS order_id, trim(customer_id) A
                                       ORDER BY customer_unique_id, customer_city, customer_state) = 1)
 SELECT customer_id, customer_unique_id, customer_city, customer_state,
        count(DISTINCT order_id) AS frequency_orders,
-       CAST(sum(order_value) AS DOUBLE) AS monetary_value,
-       CAST(sum(order_value) AS DOUBLE) / NULLIF(CAST(count(order_value) AS DOUBLE), 0) AS avg_order_value,
+       {sql_money_sum('order_value')} AS monetary_value,
+       {sql_money_avg('order_value')} AS avg_order_value,
        min(CAST(order_purchase_date AS DATE)) AS first_order_date,
        max(CAST(order_purchase_date AS DATE)) AS last_order_date,
        CAST(date_diff('day', max(CAST(order_purchase_date AS DATE)), {AS_OF}) AS INTEGER) AS recency_days,

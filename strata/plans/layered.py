@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import RunConfig
 from strata.operators import quality
@@ -130,24 +130,16 @@ def run_layered(spark: SparkSession, raw: dict[str, DataFrame] | None, store: La
     processed: dict[str, DataFrame] = {}
     curated: dict[str, DataFrame] = {}
     if "process" in layers:
-        # Row / null / negative counters of the raw tables are observed while
-        # the process layer reads them (DataFrame.observe), so the raw input is
-        # not parsed a second time for them.
-        observed, sources = {}, {}
+        processed = timed("process_layer", lambda: write_layer(
+            spark, store, PROCESSED, {n: PROCESS[n](raw[n], cfg) for n in names}, parallelism))
+        # one raw read per table gives all its metrics; counters in the process
+        # scan would keep its filters from the source, and tasks that run again
+        # would count twice
         for n in names:
-            sources[n] = raw[n]
             if n in RAW_CHECKS:
                 spec = RAW_CHECKS[n]
-                observed[n] = Observation(f"raw_profile_{n}")
-                sources[n] = raw[n].observe(observed[n], *quality.row_counters(
-                    spec["nulls"], spec.get("negatives", ())))
-        processed = timed("process_layer", lambda: write_layer(
-            spark, store, PROCESSED, {n: PROCESS[n](sources[n], cfg) for n in names}, parallelism))
-        for n, obs in observed.items():
-            parts.append(quality.metrics_frame(spark, n, obs.get))
-            if RAW_CHECKS[n]["key"]:   # the one metric that needs a (key-only) grouped pass
-                parts.append(quality.duplicate_key_groups(raw[n], n, RAW_CHECKS[n]["key"]))
-            parts.append(quality.count_metric(processed[n], n, "processed_rows"))
+                parts.append(quality.raw_profile(raw[n], n, spec["key"], spec["nulls"],
+                                                 spec.get("negatives", ()), processed=processed[n]))
     if "curate" in layers:
         source = processed or {n: store.read(spark, PROCESSED, n) for n in names}
         curated = timed("curate_layer", lambda: write_layer(

@@ -12,11 +12,13 @@ Plan choices (same results as joining everything first, fewer/lighter shuffles):
   performance, to one total per order for RFM. The partial step runs
   map-side, so a hot order collapses before any shuffle and the join sides
   are small per key.
-* Daily sales keeps Spark's two-level distinct aggregation (three distinct
-  counts per day). Its first level groups by (day, value), so a hot day is
-  spread over many tasks and pre-aggregated before the final per-day shuffle.
-* Money sums are exact decimal sums (order-independent), averages are that
-  sum over the non-null count.
+* Daily sales reduces items to one row per order before the join, so the days
+  are summed at order grain. Its distinct counts are narrow aggregates of their
+  own: customers from the matched orders, line positions from two item columns.
+  Each groups by (day, value) first, so a hot day is spread over many tasks.
+* Money sums are exact where all values are whole cents, and plain sums of
+  doubles where not (see ``money_total``); averages are that sum over the
+  count of the same values.
 
 Curated tables are unique on their keys, so the marts' own "dedupe before
 join" of orders / items / sellers / customers is a no-op on them and is only
@@ -30,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import CURATED_PREFIX, RunConfig
-from strata.functions.scalars import (MONEY_SUM, lineage, money_avg, money_sum,
-                                      recency_days, trim_text)
+from strata.functions.scalars import lineage, money_parts, money_total, recency_days, trim_text
 from strata.operators.dedupe import keep_first
 from strata.operators.filters import not_null
+from strata.operators.joins import split_join
 
 
 def _lineage(mart: str, cfg: RunConfig):
@@ -80,24 +82,21 @@ def seller_performance(orders: DataFrame, order_items: DataFrame, sellers: DataF
     #    #sellers rows per order.
     per_order_seller = items.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("n_items"),
-        F.sum(F.col("price").cast(MONEY_SUM)).alias("price_sum"),
-        F.count("price").alias("price_n"),
-        F.sum(F.col("freight_value").cast(MONEY_SUM)).alias("freight_sum"),
-        F.count("freight_value").alias("freight_n"),
+        *money_parts("price", "price"),
+        *money_parts("freight_value", "freight"),
     )
     # 2. Order-level attributes (purchase date, one review) join on the order
     #    key; each is constant per order, so item-row averages become
     #    n_items-weighted sums.
-    enriched = per_order_seller.join(o, "order_id", "left").join(r, "order_id", "left")
+    per_order = o.join(r, "order_id", "full_outer")
+    enriched = split_join(per_order_seller, per_order, "order_id", "left")
     scored_items = F.when(F.col("review_score").isNotNull(), F.col("n_items"))
     per_seller = enriched.groupBy("seller_id").agg(
         # (order, seller) rows are unique, so this counts distinct orders
         F.count("order_id").alias("total_orders"),
-        F.sum("price_sum").cast("double").alias("total_revenue"),
-        F.try_divide(F.sum("price_sum").cast("double"),
-                     F.sum("price_n").cast("double")).alias("avg_item_price"),
-        F.try_divide(F.sum("freight_sum").cast("double"),
-                     F.sum("freight_n").cast("double")).alias("avg_freight_value"),
+        money_total("price").alias("total_revenue"),
+        F.try_divide(money_total("price"), F.sum("price_n").cast("double")).alias("avg_item_price"),
+        F.try_divide(money_total("freight"), F.sum("freight_n").cast("double")).alias("avg_freight_value"),
         F.try_divide(F.sum(F.col("review_score").cast("bigint") * F.col("n_items")).cast("double"),
                      F.sum(scored_items).cast("double")).alias("avg_review_score"),
         F.min(F.to_date("order_purchase_timestamp")).alias("min_order_date"),
@@ -130,7 +129,7 @@ def customer_rfm(orders: DataFrame, order_items: DataFrame, customers: DataFrame
         order_items.filter(not_null("order_id", "order_item_id"))
         .select(trim_text("order_id").alias("order_id"), F.col("price"))
         .groupBy("order_id")
-        .agg(F.sum(F.col("price").cast(MONEY_SUM)).alias("order_value"))
+        .agg(*money_parts("price", "value"))
     )
     c = customers.filter(not_null("customer_id")).select(
         *[trim_text(x).alias(x) for x in
@@ -144,9 +143,10 @@ def customer_rfm(orders: DataFrame, order_items: DataFrame, customers: DataFrame
         .groupBy("customer_id")
         .agg(
             F.countDistinct("order_id").alias("frequency_orders"),
-            F.sum("order_value").cast("double").alias("monetary_value"),
-            F.try_divide(F.sum("order_value").cast("double"),
-                         F.count("order_value").cast("double")).alias("avg_order_value"),
+            money_total("value").alias("monetary_value"),
+            # orders without a priced item have no value and don't count
+            F.try_divide(money_total("value"),
+                         F.count_if(F.col("value_n") > 0).cast("double")).alias("avg_order_value"),
             F.min(F.to_date("order_purchase_date")).alias("first_order_date"),
             F.max(F.to_date("order_purchase_date")).alias("last_order_date"),
         )
@@ -172,21 +172,24 @@ def daily_sales(orders: DataFrame, order_items: DataFrame, cfg: RunConfig,
         trim_text("order_id").alias("order_id"),
         trim_text("order_item_id").alias("order_item_id"),
         F.col("price"))
-    return (
-        o.join(items, "order_id", "inner")
-        .groupBy("order_date")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.countDistinct("customer_id").alias("total_customers"),
-            F.countDistinct("order_item_id").alias("total_items"),
-            money_sum("price").alias("total_revenue"),
-            money_avg("price").alias("avg_item_price"),
-        )
-        .select("*", *_lineage("daily_sales_mart", cfg))
+    # 1. one row per order with items: sums are additive, and a matched order is one order
+    per_order = o.join(items.groupBy("order_id").agg(*money_parts("price", "price")), "order_id", "inner")
+    days = per_order.groupBy("order_date").agg(
+        F.count("order_id").alias("total_orders"),
+        F.countDistinct("customer_id").alias("total_customers"),
+        money_total("price").alias("total_revenue"),
+        F.try_divide(money_total("price"), F.sum("price_n").cast("double")).alias("avg_item_price"),
     )
+    # 2. distinct line positions per day from two narrow columns; a hot order's items may be split
+    positions = (split_join(items.select("order_id", "order_item_id"), o.select("order_id", "order_date"), "order_id")
+                 .groupBy("order_date").agg(F.countDistinct("order_item_id").alias("total_items"))
+                 .withColumnRenamed("order_date", "_day"))
+    return (days.join(positions, F.col("order_date").eqNullSafe(F.col("_day")), "left")
+            .select("order_date", "total_orders", "total_customers", "total_items",
+                    "total_revenue", "avg_item_price", *_lineage("daily_sales_mart", cfg)))
 
 
-# Mart table names (also part of each mart's record_source literal).
+# The marts' output columns above, and their table names (also part of each mart's record_source literal).
 MARTS = ("seller_performance", "customer_rfm", "daily_sales_mart")
 
 

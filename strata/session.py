@@ -72,3 +72,17 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared folder (``file:`` prefixes are kept as given)."""
     return "/".join([shared_dir(spark), *parts])
+
+
+def scratch_folder(spark: SparkSession, *parts: str) -> str:
+    """A folder under the shared one that goes when the driver's JVM ends.
+
+    Lazy results may read it until then, so it can't go earlier by itself;
+    long-lived drivers remove it when they are done with what reads it.
+    """
+    folder = scratch_path(spark, *parts)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return folder

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.specs import ENTITIES, Entity
 
 
-def read_raw_csv(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, entity: Entity, spread: int | None = None) -> DataFrame:
     """Scan one raw entity.
 
     Plain files are splittable, so a large CSV is read by many tasks. Entities
     with free text (reviews) need ``multiLine`` with ``"`` as quote and escape;
-    such a file is read by one task per file, so the raw drop should be many
-    files rather than one big one.
+    such a file is parsed by one task, so a large drop should be many files.
+    ``spread`` deals the rows of such an entity to so many partitions for the
+    steps that follow the parse; give it when a drop has few files.
     """
     # enforceSchema=False: every file's header is checked against the schema,
     # so a file with reordered or renamed columns fails instead of being read
@@ -27,21 +28,7 @@ def read_raw_csv(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
           .option("quote", '"')
           .option("escape", '"')
           .csv(path))
-    return spread_unsplittable(df)
-
-
-def spread_unsplittable(df: DataFrame) -> DataFrame:
-    """A multi-line CSV file is read by exactly one task. When a drop has fewer
-    files than the cluster has cores, redistribute the rows so the parsing,
-    filtering and dedupe that follow run on every core. With many files this
-    is a no-op. Round-robin repartitioning is retry-safe (Spark sorts rows
-    before assigning them), so a lost task recomputes the same partitions."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # a Spark Connect client cannot see partitions
-        return df
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(spread) if spread else df
 
 
 def write_raw_csv(df: DataFrame, path: str, entity: Entity) -> None:
@@ -60,6 +47,6 @@ def write_raw_csv(df: DataFrame, path: str, entity: Entity) -> None:
      .csv(path))
 
 
-def read_raw_drop(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def read_raw_drop(spark: SparkSession, root: str, spread: int | None = None) -> dict[str, DataFrame]:
     """The nine raw entities of one drop, ``<root>/<entity>/`` each."""
-    return {name: read_raw_csv(spark, f"{root}/{name}", e) for name, e in ENTITIES.items()}
+    return {name: read_raw_csv(spark, f"{root}/{name}", e, spread) for name, e in ENTITIES.items()}

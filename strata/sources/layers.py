@@ -1,12 +1,16 @@
 """Layer tables: processed / curated / analytics, stored as Parquet directories.
 
-A layer write is a full overwrite (the original warehouse ``mode("overwrite")``);
-writing a layer is also what cuts lineage between layers, so a lost executor in
-a later layer recomputes from the last written layer, never from the raw drop.
+A layer write replaces the whole table. Each write goes to a new version folder
+of the table, and a version counts once Spark has put its success marker there,
+so a failed job leaves the old table as it was and a reader never sees a gap.
+Writing a layer is also what cuts lineage between layers: a lost executor in a
+later layer recomputes from the last written layer, never from the raw drop.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +19,9 @@ PROCESSED = "processed_layer"
 CURATED = "curated_layer"
 ANALYTICS = "analytics_layer"
 
+SUCCESS = "_SUCCESS"
+KEEP = 2  # versions left after a write: the new one, and the one that readers may still hold
+
 
 @dataclass(frozen=True)
 class LayerStore:
@@ -23,10 +30,32 @@ class LayerStore:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def _versions(self, spark: SparkSession, layer: str, table: str) -> tuple[object, list]:
+        """The file system and the paths of the finished versions, oldest first."""
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return fs, []
+        done = [s.getPath() for s in fs.listStatus(root)
+                if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), SUCCESS))]
+        return fs, sorted(done, key=lambda p: p.getName())
+
+    def current(self, spark: SparkSession, layer: str, table: str) -> str:
+        """The folder of the newest finished version."""
+        _, done = self._versions(spark, layer, table)
+        if not done:
+            raise FileNotFoundError(f"no finished version of {layer}.{table} under {self.root}")
+        return done[-1].toString()
+
     def write(self, df: DataFrame, layer: str, table: str) -> str:
-        p = self.path(layer, table)
-        df.write.mode("overwrite").parquet(p)
+        spark = df.sparkSession
+        p = f"{self.path(layer, table)}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(p)
+        fs, done = self._versions(spark, layer, table)
+        for old in done[:-KEEP]:
+            fs.delete(old, True)
         return p
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(layer, table))
+        return spark.read.parquet(self.current(spark, layer, table))

@@ -28,6 +28,13 @@ DIRT_PADDED_CITY_MOD = 3            # customers.customer_city -> ' city '
 DIRT_BAD_SCORE_MOD = 113            # reviews.review_score -> 'x'
 DIRT_DUP_SELLER_MOD = 10            # sellers: second copy with city 'DUP'
 DIRT_NULL_PAYMENT_TYPE_MOD = 127    # payments.payment_type -> null
+DIRT_NAN_PRICE_MOD = 109            # order_items.price, payments.payment_value -> 'NaN'
+DIRT_INFINITE_PRICE_MOD = 131       # order_items.price -> 'Infinity'
+DIRT_LARGE_PRICE_MOD = 137          # order_items.price -> LARGE_PRICE
+DIRT_SUB_CENT_MOD = 7               # order_items.price, payments.payment_value -> more digits
+DIRT_MULTILINE_MOD = 5              # reviews.review_comment_message -> several lines
+LARGE_PRICE = "1234567890123.255"
+SUB_CENT = "499999"                 # appended to a two-digit price
 
 # Day offsets of the derived order timestamps.
 APPROVED_DAYS, CARRIER_DAYS, DELIVERED_DAYS, ESTIMATED_DAYS = 1, 3, 7, 14
@@ -84,7 +91,11 @@ def raw_order_items(spark: SparkSession, sf_dir: str, dirty: bool = True) -> Dat
     li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                "l_linenumber", "l_extendedprice", "l_tax", "l_shipdate")
     part = F.col("l_partkey")
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    priced = _dirty(dirty, part % DIRT_SUB_CENT_MOD == 0, F.concat(_txt(price), F.lit(SUB_CENT)), _txt(price))
+    priced = _dirty(dirty, part % DIRT_LARGE_PRICE_MOD == 0, F.lit(LARGE_PRICE), priced)
+    priced = _dirty(dirty, part % DIRT_INFINITE_PRICE_MOD == 0, F.lit("Infinity"), priced)
+    priced = _dirty(dirty, part % DIRT_NAN_PRICE_MOD == 0, F.lit("NaN"), priced)
     return li.select(
         _txt(F.col("l_orderkey")).alias("order_id"),
         _txt(F.col("l_linenumber")).alias("order_item_id"),
@@ -92,9 +103,8 @@ def raw_order_items(spark: SparkSession, sf_dir: str, dirty: bool = True) -> Dat
                _txt(part)).alias("product_id"),
         _txt(F.col("l_suppkey")).alias("seller_id"),
         _txt(F.col("l_shipdate")).alias("shipping_limit_date"),
-        _dirty(dirty, part % DIRT_NEGATIVE_PRICE_MOD == 0, _txt(-price),
-               _txt(price)).alias("price"),
-        _txt(price * F.col("l_tax").cast("decimal(4,2)")).alias("freight_value"),
+        _dirty(dirty, part % DIRT_NEGATIVE_PRICE_MOD == 0, _txt(-price), priced).alias("price"),
+        _txt(price * F.col("l_tax").cast("decimal(8,2)")).alias("freight_value"),
     )
 
 
@@ -149,13 +159,15 @@ def raw_sellers(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFra
 def raw_payments(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     e = _read(spark, sf_dir, "events", "event_id", "event_type", "value")
     k = F.col("event_id")
+    value = _txt(F.col("value").cast("decimal(18,2)"))
+    value = _dirty(dirty, k % DIRT_SUB_CENT_MOD == 0, F.concat(value, F.lit(SUB_CENT)), value)
     return e.select(
         _txt(F.expr("event_id div 2")).alias("order_id"),
         _txt(k % 2 + 1).alias("payment_sequential"),
         _dirty(dirty, k % DIRT_NULL_PAYMENT_TYPE_MOD == 0, F.lit(None).cast("string"),
                F.col("event_type")).alias("payment_type"),
         _txt(k % 12 + 1).alias("payment_installments"),
-        _txt(F.col("value").cast("decimal(12,2)")).alias("payment_value"),
+        _dirty(dirty, k % DIRT_NAN_PRICE_MOD == 0, F.lit("NaN"), value).alias("payment_value"),
     )
 
 
@@ -169,7 +181,9 @@ def raw_reviews(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFra
         _dirty(dirty, k % DIRT_BAD_SCORE_MOD == 0, F.lit("x"),
                _txt(F.floor("value") % 7)).alias("review_score"),
         F.col("event_type").alias("review_comment_title"),
-        F.col("props").alias("review_comment_message"),
+        _dirty(dirty, k % DIRT_MULTILINE_MOD == 0,
+               F.concat(F.col("props"), F.lit('\nsecond line, with "quotes"\n\n"end"')),
+               F.col("props")).alias("review_comment_message"),
         F.date_format(ts, fmt).alias("review_creation_date"),
         F.date_format(F.timestamp_add("DAY", F.lit(REVIEW_ANSWER_DAYS), ts), fmt)
         .alias("review_answer_timestamp"),
