@@ -1,0 +1,63 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from strata.llm import exact
+
+
+def brute(rows):
+    norm = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in rows]
+    groups = {}
+    for (i, _), t in zip(rows, norm):
+        groups.setdefault(t, []).append(i)
+    out = []
+    for (i, _), t in zip(rows, norm):
+        ids = [x for x in groups[t] if x is not None]
+        keep = min(ids) if ids else None
+        out.append((i, keep, len(groups[t]), i == keep, hashlib.sha256(t.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def texts():
+    rng = random.Random(5)
+    long = ["".join(rng.choices("abcdefg  \n.éß日", k=n)) for n in (400, 511, 512, 513, 4096, 30_000)]
+    return [None, "", " ", "\t\n", "a b", "a  b", "a b", "a\x1cb", "a b ", " a b", *long, *long[2:],
+            long[-1].replace(" ", "\n "), long[-1] + "x", "x" + long[-1], "日" * 10_000, "日" * 10_000]
+
+
+def test_groups(spark):
+    rows = [((i * 13) % 97, t) for i, t in enumerate(texts())] + [(None, "a b"), (None, "alone"), (500, "a b")]
+    docs = spark.createDataFrame([(*r, "c", 1) for r in rows], "doc_id bigint, text string, recipe string, tag int")
+    got = sorted((tuple(r) for r in exact.exact_groups(docs).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_chunks_join_back_and_follow_content(spark):
+    rng = random.Random(6)
+    text = "".join(rng.choices("abcdefghijklmnop rstu", k=50_000))
+    docs = spark.createDataFrame([(text,), ("zz" + text,)], "t string")
+    a, b = [r[0] for r in docs.select(exact.chunks(F.col("t"))).collect()]
+    assert "".join(a) == text and all(len(c) <= exact.MAX_CHUNK for c in a)
+    # an insertion at the front leaves nearly all chunks as they were
+    assert len(set(a) & set(b)) > 0.8 * len(a)
+
+
+def test_unverified_sees_a_collision(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text"), (2, "another")], "doc_id bigint, text string")
+    assert exact.unverified(docs).first().n == 0
+    monkeypatch.setattr(exact, "identifier", lambda c: F.lit(b"same"))
+    assert exact.unverified(docs).first().n == 1
+    import pytest
+    with pytest.raises(Exception, match="share an identifier"):
+        exact.exact_groups(docs).collect()
+
+
+def test_dedup_keeps_columns_and_one_row(spark):
+    rows = [(3, "a b", 1), (1, "a\tb", 2), (1, "a\tb", 2), (None, "a b", 3), (2, None, 4), (4, "", 5), (None, "x", 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _n int")
+    out = exact.exact_dedup(docs.withColumnRenamed("_n", "n_chars"))
+    assert out.columns == ["doc_id", "text", "n_chars"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "a\tb", 2), (2, None, 4), (None, "x", 6)], key=str)
+    assert exact.exact_dedup(docs.limit(0)).count() == exact.exact_groups(docs.limit(0)).count() == 0
