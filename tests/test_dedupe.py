@@ -55,3 +55,8 @@ def test_plan_limits_rows_before_the_shuffle(spark):
     plan = buf.getvalue()
     # the partial limit sits below the exchange: one row per key per map task
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_table_of_only_its_key(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("b", None)], "k string, n int")
+    assert sorted(map(tuple, keep_first(df, ["k", "n"]).collect()), key=str) == [("a", 1), ("b", None)]

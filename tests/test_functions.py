@@ -3,7 +3,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from strata.functions.scalars import (date_parts, int_avg, lineage, money_avg, money_sum,
+from strata.functions.scalars import (date_parts, int_avg, lineage, money_avg, money_parts, money_sum, money_total,
                                       parse_timestamp, recency_days, round_money, safe_cast,
                                       trim_text)
 
@@ -45,9 +45,41 @@ def test_round_money_half_up(spark):
     assert got[6] is None
     assert math.isnan(got[7])
     assert got[8] == 1e300
-    # Equal to Spark's own double rounding on cent/sub-cent values.
-    ref = [r[0] for r in df.select(F.round("x", 2)).collect()]
-    assert got[:6] == ref[:6]
+
+
+def test_round_money_rounds_once(spark):
+    """Six-digit values equal Spark's own rounding of the double; none is cut to fewer digits first."""
+    import random
+    rng = random.Random(1)
+    vals = [1.00499999, 0.00495, 0.00499999] + [round(rng.uniform(-1000, 1000), 6) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = df.select(round_money("x").alias("a"), F.round("x", 2).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+    assert [r.a for r in got[:3]] == [1.0, 0.0, 0.0]
+
+
+def test_money_sums_never_drop_or_fail(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("sub", 0.004), ("sub", 0.004), ("nan", nan), ("nan", 5.0), ("inf", inf), ("inf", 1.0),
+            ("big", 1e37), ("big", 1e300), ("over", 9e35), ("over", 9e35)]
+    rows += [("many", 9e35)] * 20
+    df = spark.createDataFrame(rows, "k string, p double")
+    got = {r.k: (r.s, r.a) for r in df.groupBy("k").agg(money_sum("p").alias("s"), money_avg("p").alias("a")).collect()}
+    assert got["sub"] == (0.008, 0.004)
+    assert math.isnan(got["nan"][0]) and math.isnan(got["nan"][1])
+    assert got["inf"] == (inf, inf)
+    assert got["big"] == (1e300 + 1e37, (1e300 + 1e37) / 2)
+    assert got["over"][0] == 1.8e36 and math.isclose(got["many"][0], 1.8e37)
+
+
+def test_money_parts_add_up_like_one_sum(spark):
+    nan = float("nan")
+    rows = [("a", 1, 0.1), ("a", 1, 0.2), ("a", 2, 0.3), ("b", 1, nan), ("b", 2, 1.0), ("c", 1, None),
+            ("d", 1, 0.001), ("d", 2, 0.01)]
+    df = spark.createDataFrame(rows, "k string, o int, p double")
+    parts = df.groupBy("k", "o").agg(*money_parts("p", "p"))
+    got = {r.k: r.s for r in parts.groupBy("k").agg(money_total("p").alias("s")).collect()}
+    assert got["a"] == 0.6 and math.isnan(got["b"]) and got["c"] is None and math.isclose(got["d"], 0.011)
 
 
 def test_money_sum_and_avg_exact(spark):

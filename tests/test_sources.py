@@ -62,11 +62,32 @@ def test_header_is_checked_against_the_schema(spark):
         read_raw_csv(spark, p, SELLERS).collect()
 
 
-def test_single_multiline_file_is_spread_over_all_cores(spark):
+def test_failed_write_leaves_the_old_table(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    store = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+    store.write(spark.range(5), CURATED, "t")
+    bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("no")).cast("long"))
+                                .otherwise(F.col("id")).alias("id"))
+    before = store.read(spark, CURATED, "t")
+    with pytest.raises(Exception):
+        store.write(bad, CURATED, "t")
+    assert store.read(spark, CURATED, "t").count() == 5
+    store.write(spark.range(2), CURATED, "t")
+    assert store.read(spark, CURATED, "t").count() == 2
+    assert before.count() == 5          # a reader of the version before is not cut off
+    store.write(spark.range(1), CURATED, "t")
+    assert len(store._versions(spark, CURATED, "t")[1]) == 2
+    with pytest.raises(FileNotFoundError):
+        store.read(spark, CURATED, "missing")
+
+
+def test_single_multiline_file_can_be_spread(spark):
     p = scratch_path(spark, "csv", uuid.uuid4().hex, "reviews.csv")
     rows = "".join(f'r{i},o{i},5,t,"line\nbreak {i}",2018-01-01 00:00:00,\n' for i in range(50))
     _write_text(p, "review_id,order_id,review_score,review_comment_title,review_comment_message,"
                    "review_creation_date,review_answer_timestamp\n" + rows)
-    df = read_raw_csv(spark, p, REVIEWS)
-    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    df = read_raw_csv(spark, p, REVIEWS, spread=3)
+    assert df.rdd.getNumPartitions() == 3
+    assert read_raw_csv(spark, p, REVIEWS).rdd.getNumPartitions() == 1
     assert sorted(r.review_id for r in df.collect()) == sorted(f"r{i}" for i in range(50))
