@@ -8,9 +8,12 @@ The variant is derived from the given tables: every third item row is moved
 to order "0" (its item id made unique -- order id and line, digits only -- so
 the rows survive dedupe and reach the marts as one hot order), and another
 third to seller "1". The unskewed data runs first in the same process for
-comparison. Spark's event log is written to a fresh scratch folder; for each
-stage the script prints the task count, the slowest and the median task.
-A stage whose slowest task dwarfs its median would be the skew bottleneck.
+comparison. Both read a drop of FILES files per table, with broadcasts off and
+a low skew threshold, so that joins are sort-merge joins as they are at scale
+and a hot partition counts as skewed at this size. Spark's event log is
+written to a fresh scratch folder; the script prints the joins that adaptive
+execution split, and for each shuffle stage the task count, the slowest and the
+median task.
 """
 
 from __future__ import annotations
@@ -53,9 +56,27 @@ def skewed(raw: dict) -> dict:
     return {**raw, "order_items": items, "orders": orders}
 
 
-def stage_report(event_dir: str) -> list[dict]:
+FILES = 16
+
+
+def many_files(spark, raw: dict, folder: str) -> dict:
+    for name, df in raw.items():
+        df.repartition(FILES).write.parquet(f"{folder}/{name}")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in raw}
+
+
+def split_joins(plan: dict) -> int:
+    own = plan["nodeName"].startswith("SortMergeJoin") and "skew=true" in plan["nodeName"] + plan["simpleString"]
+    return int(own) + sum(split_joins(c) for c in plan["children"])
+
+
+def merge_joins(plan: dict) -> int:
+    return int(plan["nodeName"].startswith("SortMergeJoin")) + sum(merge_joins(c) for c in plan["children"])
+
+
+def stage_report(event_dir: str) -> tuple[list[dict], dict]:
     import zstandard
-    stages, tasks, reads = {}, {}, {}
+    stages, tasks, reads, plans = {}, {}, {}, {}
     for f in glob.glob(f"{event_dir}/*/events_*") + glob.glob(f"{event_dir}/*"):
         if os.path.isdir(f):
             continue
@@ -67,6 +88,8 @@ def stage_report(event_dir: str) -> list[dict]:
             text = raw.decode()
         for line in text.splitlines():
             e = json.loads(line)
+            if "sparkPlanInfo" in e:
+                plans[e["executionId"]] = e["sparkPlanInfo"]  # the last one ran
             if e["Event"] == "SparkListenerStageCompleted":
                 si = e["Stage Info"]
                 stages[si["Stage ID"]] = si["Stage Name"].split(" at ")[0]
@@ -83,7 +106,8 @@ def stage_report(event_dir: str) -> list[dict]:
             out.append({"stage": sid, "tasks": len(ts), "max_ms": max(ts),
                         "median_ms": statistics.median(ts),
                         "reads": "shuffle" if reads.get(sid) else "files"})
-    return out
+    return out, {"sort_merge_joins": sum(map(merge_joins, plans.values())),
+                 "split_by_aqe": sum(map(split_joins, plans.values()))}
 
 
 def main() -> None:
@@ -98,7 +122,12 @@ def main() -> None:
     events = os.path.join(scratch, "events")
     os.makedirs(events)
     spark = build_session("local[8]", 16, extra={"spark.eventLog.enabled": "true",
-                                                 "spark.eventLog.dir": events})
+                                                 "spark.eventLog.dir": events,
+                                                 "spark.sql.autoBroadcastJoinThreshold": "-1",
+                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                                                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                                                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"})
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
     def timed_run(raw, name):
@@ -107,9 +136,21 @@ def main() -> None:
         run = run_layered(spark, raw, store, CFG)
         return store, run, time.perf_counter() - t0
 
-    timed_run(raw_views(spark, sf_dir), "warm-up")                             # JIT/codegen, untimed
-    _, base_run, base_total = timed_run(raw_views(spark, sf_dir), "uniform")   # same process, for scale
-    store, run, total = timed_run(skewed(raw_views(spark, sf_dir)), "skewed")
+    plain = many_files(spark, raw_views(spark, sf_dir), os.path.join(scratch, "drop"))
+    hot_drop = many_files(spark, skewed(raw_views(spark, sf_dir)), os.path.join(scratch, "hot_drop"))
+    timed_run(plain, "warm-up")                             # JIT/codegen, untimed
+    _, base_run, base_total = timed_run(plain, "uniform")   # same process, for scale
+    store, run, total = timed_run(hot_drop, "skewed")
+    # the join queries' own shape over the skewed tables
+    from pyspark.sql import functions as F
+
+    from strata.operators.joins import split_join
+    items = store.read(spark, "curated_layer", "order_items").select("order_id", "order_item_id", "seller_id", "price")
+    sides = {"order_id": store.read(spark, "curated_layer", "orders").select("order_id", "customer_id"),
+             "seller_id": store.read(spark, "curated_layer", "sellers").select("seller_id", "seller_city")}
+    for key, side in sides.items():
+        split_join(items, side.groupBy(key).agg(*[F.min(c).alias(c) for c in side.columns if c != key]), key, "left") \
+            .write.format("noop").mode("overwrite").save()
     hot = (store.read(spark, "curated_layer", "order_items")
            .groupBy("order_id").count().orderBy("count", ascending=False).first())
     seller = store.read(spark, ANALYTICS, "seller_performance").filter("seller_id = '1'").first()
@@ -126,7 +167,9 @@ def main() -> None:
                       "hot_customer_orders": cust["frequency_orders"]}))
     # Stages that read files are bound by the input layout (the test tables are
     # single row groups, read by one task); key skew shows in shuffle stages.
-    report = [s for s in stage_report(events) if s["reads"] == "shuffle"]
+    stages, joins = stage_report(events)
+    print(json.dumps(joins))
+    report = [s for s in stages if s["reads"] == "shuffle"]
     worst = sorted(report, key=lambda s: s["max_ms"], reverse=True)
     for s in worst[:8]:
         print(json.dumps(s))
