@@ -316,7 +316,7 @@ SHINGLE = 3
 
 
 def signature(text: str) -> list[int]:
-    """Four min-hashes over the text's word triples; near copies share at least one of them."""
+    """Four min-hashes over the text's word triples; near copies share at least two of them."""
     words = WORDS.findall(text.lower())
     if not words:
         return [0, 0, 0, 0]
@@ -327,7 +327,7 @@ def signature(text: str) -> list[int]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 8_000, max_clean: int = 20_000,
-        support: int = 5, features: int = 2_000, precision: float = 0.9,
+        support: int = 5, features: int = 2_000, precision: float = 0.9, chance: float = 1e-6,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """The language model of all ``docs`` and word weights from a bounded sample of ``labels``.
 
@@ -335,10 +335,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 8_000, max_clean: i
     with the least md5; an id with several labels is toxic if one says so; null
     ids or labels teach nothing. Of near copies in the sample one teaches (else
     every word of a document copied a thousand times would look telling). A
-    feature counts if ``support`` toxic documents hold it and at least
-    ``precision`` of its documents, weighted back to all labels, are toxic; at
-    most ``features`` are kept, those with most documents. Without labels every
-    score is the base rate.
+    feature counts if ``support`` toxic documents hold it, at least
+    ``precision`` of its documents, weighted back to all labels, are toxic, and
+    so many would be toxic with a probability below ``chance`` (Chernoff bound)
+    if it said nothing; at most ``features`` are kept, those with most
+    documents. Without labels every score is the base rate.
     """
     language = language_model(docs, text_col)
     truth = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -361,14 +362,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 8_000, max_clean: i
                                              ["id", "y", "s"])
 
     kind = sample.schema["id"].dataType.simpleString()
-    seen: set[tuple[int, int, int]] = set()
+    seen: dict[tuple[int, int, int], int] = {}
     used, held = [], Counter()
     for r in sorted(sample.mapInArrow(sign, f"id {kind}, y int, s array<bigint>").collect()):
         marks = [(r.y, k, v) for k, v in enumerate(r.s)]
-        if seen.isdisjoint(marks):
+        shared = Counter(seen[m] for m in marks if m in seen)
+        if not shared or max(shared.values()) < 2:
             used.append(r.id)
             held[r.y] += 1
-        seen.update(marks)
+        first = shared.most_common(1)[0][0] if shared and max(shared.values()) > 1 else len(used)
+        for m in marks:
+            seen.setdefault(m, first)
     scale = {y: sizes[y] / max(held[y], 1) for y in (0, 1)}
     taught = docs.sparkSession.createDataFrame([(i,) for i in used], f"id {kind}")
     sample = sample.join(F.broadcast(taught), "id", "left_semi").select("y", "t")
@@ -392,11 +396,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 8_000, max_clean: i
                     yield flush()
         yield flush()
 
+    if not held[0] or not held[1]:
+        return model
+    # n * KL(share of toxic among the feature's documents || share in the sample)
+    n, p0 = F.col("toxic") + F.col("clean"), held[1] / (held[0] + held[1])
+    share = F.col("toxic") / n
+    surprise = n * (share * F.log(share / p0)
+                    + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - p0))).otherwise(0.0))
     # a toxic document weighs sizes[1] / held[1], a clean one sizes[0] / held[0]
     toxic, clean = F.col("toxic") * scale[1], F.col("clean") * scale[0]
     for r in (sample.mapInArrow(count, "f string, toxic bigint, clean bigint").groupBy("f")
               .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-              .where((F.col("toxic") >= support) & (toxic >= precision * (toxic + clean)))
+              .where((F.col("toxic") >= support) & (toxic >= precision * (toxic + clean))
+                     & (share > p0) & (surprise >= -math.log(chance)))
               .orderBy(F.desc("toxic"), "clean", "f").limit(features).collect()):
         model.weights[r.f] = (r.toxic * scale[1] + 0.5) / (r.toxic * scale[1] + r.clean * scale[0] + 1)
     model.base = min(model.base, 0.49)

@@ -20,14 +20,14 @@ COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigin
 def corpus():
     rng = random.Random(12)
     rows = []
-    for i in range(240):
+    for i in range(900):
         rows.append((i, sentence(rng, rng.choice(BAD) if i % 5 == 0 else None, 60), f"src{rng.randrange(6)}"))
-    for i in range(240, 300):  # exact and near copies, some with other white space
-        t = rows[rng.randrange(240)][1]
+    for i in range(900, 1000):  # exact and near copies, some with other white space
+        t = rows[rng.randrange(900)][1]
         kind = i % 3
         rows.append((i, t if kind == 0 else t.replace(" ", "\n ", 3) if kind == 1 else t + " " + rng.choice(["a", "b"]),
                      f"src{rng.randrange(6)}"))
-    return rows + [(300, None, "src1"), (301, "", "src2"), (302, "  ", None), (303, "one", "src0")]
+    return rows + [(1300, None, "src1"), (1301, "", "src2"), (1302, "  ", None), (1303, "one", "src0")]
 
 
 def brute(rows, reference):  # noqa: F811

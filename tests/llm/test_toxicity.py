@@ -122,9 +122,9 @@ def test_without_labels(spark):
 
 def test_drop_toxic_keeps_columns(spark):
     rng = random.Random(9)
-    rows = [(i, sentence(rng, rng.choice(BAD) if i % 4 == 0 else None), "en", f"s{i}", i) for i in range(300)]
+    rows = [(i, sentence(rng, rng.choice(BAD) if i % 4 == 0 else None), "en", f"s{i}", i) for i in range(900)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(900)], "doc_id bigint, toxic int")
     out = tox.drop_toxic(docs, labels)
     assert out.columns == docs.columns
-    assert sorted(r.doc_id for r in out.collect()) == [i for i in range(300) if i % 4]
+    assert sorted(r.doc_id for r in out.collect()) == [i for i in range(900) if i % 4]
