@@ -44,12 +44,11 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, default: flo
         weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(weight)
     counts = (docs.groupBy(F.col(source_col).alias("source")).agg(F.count(F.lit(1)).alias("n_rows"))
               .withColumn("w", weight))
-    total = counts.agg(F.sum("n_rows").cast("double").alias("rows_all"), F.sum("w").alias("w_all"))
-    # the totals are one row, whatever the size of the input
-    return (counts.join(F.broadcast(total))
-            .select("source", "n_rows",
-                    F.when(F.col("w_all") > 0, F.col("w") / F.col("w_all") * F.lit(float(size)) * F.col("rows_all")
-                           / F.col("n_rows")).otherwise(F.lit(0.0)).alias("rate")))
+    rows_all = counts.select(F.sum("n_rows").cast("double")).scalar()
+    w_all = counts.select(F.sum("w")).scalar()
+    return counts.select("source", "n_rows",
+                         F.when(w_all > 0, F.col("w") / w_all * F.lit(float(size)) * rows_all / F.col("n_rows"))
+                         .otherwise(F.lit(0.0)).alias("rate"))
 
 
 def with_copies(docs: DataFrame, weights: dict[str, float] | None = None, default: float = 1.0,
