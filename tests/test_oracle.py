@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strata import catalog
 from scripts.check_oracle import SPARK_TO_DUCK, TABLES, rows_of
 
 from tests.conftest import SF_SMALL
 
-KEYS = sorted(entry.queries())
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -24,14 +26,15 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
-    assert len(KEYS) >= 52
+    assert set(ORACLE) == set(QUERIES)
+    assert len(KEYS) >= 54
+    assert entry.queries().items() >= QUERIES.items() and entry.oracle_sql().items() >= ORACLE.items()
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = entry.queries()[key](spark, SF_SMALL)
-    cur = con.execute(entry.oracle_sql()[key])
+    df = QUERIES[key](spark, SF_SMALL)
+    cur = con.execute(ORACLE[key])
     d_cols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(d_cols)
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
@@ -53,9 +56,9 @@ def test_same_results_with_ansi_mode_off(spark, con, key):
     """Every parse is a try_* function, so legacy (non-ANSI) sessions agree."""
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        df = entry.queries()[key](spark, SF_SMALL)
+        df = QUERIES[key](spark, SF_SMALL)
         rows = rows_of([tuple(r) for r in df.collect()], df.columns)
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
-    cur = con.execute(entry.oracle_sql()[key])
+    cur = con.execute(ORACLE[key])
     assert rows == rows_of(cur.fetchall(), [c[0] for c in cur.description])
