@@ -7,10 +7,13 @@ mostly share an anchor; such a run and its symbols make a segment.
 
 1. announce  each unit (some texts of one scan task) sends its distinct anchor
              hashes, packed, to the bucket of each hash;
-   answer    the bucket returns one bit per hash: met elsewhere or not;
+   answer    the bucket returns two bits per hash: met elsewhere or not, and
+             whether more than HOT segments share it;
 2. present   the unit sends its distinct segments under hashes met elsewhere;
-   resolve   the bucket finds the equal windows among them and returns one bit
-             per window;
+             of hot ones it sends a 128-bit digest of each window instead, to
+             the bucket of the digest, so that the many segments at the edges
+             of a passage that a third of all texts hold don't meet in one task;
+   resolve   the bucket finds the equal windows and returns one bit for each;
 3. apply     the unit turns the bits into covered symbols of each text.
 
 Texts are read three times and never shuffled; what moves are eight bytes for
@@ -23,6 +26,7 @@ checksums: a source that yields other rows on the next scan stops the job.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -42,6 +46,7 @@ from strata.session import shared_dir
 UNIT_BYTES = 8 << 20      # text of one unit (a longer text is a unit of its own)
 BUCKET_BYTES = 16 << 20   # text for each bucket
 BLOCK = 1 << 20           # symbols hashed at a time
+HOT = 20_000              # segments under one anchor that may meet in one task
 PLACE = np.uint64(BLOCK - 1)
 
 
@@ -108,8 +113,8 @@ class Unit:
         self.number, self.kind, self.ids = number, kind, ids
         self.docs = [kind.prepare((t or "").encode("utf-8")) for t in texts]
         self.doc, self.first, self.last, self.hash = self._segments()
-        self.anchors, self.inverse, counts = np.unique(self.hash, return_inverse=True, return_counts=True)
-        self.several = counts > 1
+        self.anchors, self.inverse, self.counts = np.unique(self.hash, return_inverse=True, return_counts=True)
+        self.several = self.counts > 1
 
     def _segments(self) -> tuple[np.ndarray, ...]:
         """Text number, first and last window start, and anchor hash of each segment."""
@@ -147,10 +152,44 @@ class Unit:
         shift = (at - starts)[piece[a]]
         return d[piece[a]], own[a] + shift, own[b] + shift, hashes[anchor[a]]
 
+    def _weigh(self, weights: list[int], e: int, d: int) -> None:
+        """Note one more occurrence, in text ``d``, of the content numbered ``e``."""
+        if e == len(weights):
+            weights.append(self.ids[d] if self.kind.least_id else 1)
+        elif self.kind.least_id:
+            weights[e] = min(weights[e], self.ids[d])
+        else:
+            weights[e] += 1
+
+    def covered_here(self, weight: int, d: int) -> bool:
+        """Whether this unit alone covers what text ``d`` holds: an equal one under a smaller id, or a second one."""
+        return self.ids[d] > weight if self.kind.least_id else weight > 1
+
+    def windows(self, hot: np.ndarray) -> tuple[dict[bytes, int], dict[int, list[int]], list[int]]:
+        """Distinct windows under hot anchors: digest -> number, the numbers of each segment's windows, weights."""
+        index: dict[bytes, int] = {}
+        of: dict[int, list[int]] = {}
+        weights: list[int] = []
+        known: dict[bytes, list[int]] = {}
+        window = self.kind.window
+        for s in np.flatnonzero(hot[self.inverse]).tolist():
+            d, a, b = int(self.doc[s]), int(self.first[s]), int(self.last[s])
+            content = self.docs[d].cut(a, b + window)
+            own = known.get(content)
+            if own is None:
+                own = known[content] = [
+                    index.setdefault(hashlib.blake2b(self.docs[d].cut(at, at + window), digest_size=16).digest(), len(index))
+                    for at in range(a, b + 1)]
+            of[s] = own
+            # new numbers come in order, so each is weighed where it is first met
+            for e in own:
+                self._weigh(weights, e, d)
+        return index, of, weights
+
     def entries(self, met: np.ndarray) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, list[int]]:
-        """Distinct segments whose anchor was met elsewhere: content -> number, and of each segment the number or -1;
+        """Distinct segments whose anchor counts as met: content -> number, and of each segment the number or -1;
         their hashes and weights."""
-        chosen = np.flatnonzero(met[self.inverse] | self.several[self.inverse])
+        chosen = np.flatnonzero(met[self.inverse])
         of = np.full(len(self.doc), -1)
         index: dict[bytes, int] = {}
         hashes, weights = [], []
@@ -161,11 +200,7 @@ class Unit:
             of[s] = e
             if e == len(hashes):
                 hashes.append(h)
-                weights.append(self.ids[d] if self.kind.least_id else 1)
-            elif self.kind.least_id:
-                weights[e] = min(weights[e], self.ids[d])
-            else:
-                weights[e] += 1
+            self._weigh(weights, e, d)
         return index, of, np.array(hashes, np.uint64), weights
 
 
@@ -209,6 +244,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield held
 
 
+EMPTY = dict.fromkeys(("hashes", "weights", "lengths", "texts", "digests", "digest_weights"), b"")
+PRESENT = "bucket int, task int, unit int, " + ", ".join(f"{c} binary" for c in EMPTY)
+PRESENT_SCHEMA = pa.schema([*((c, pa.int32()) for c in ("bucket", "task", "unit")), *((c, pa.binary()) for c in EMPTY)])
 REPLY = "task int, unit int, bucket int, crc bigint, bits binary"
 REPLY_SCHEMA = pa.schema([("task", pa.int32()), ("unit", pa.int32()), ("bucket", pa.int32()),
                           ("crc", pa.int64()), ("bits", pa.binary())])
@@ -240,11 +278,19 @@ class Replies:
         return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
-def _met(unit: Unit, replies: Replies, buckets: int) -> np.ndarray:
+def _met(unit: Unit, replies: Replies, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the unit's anchors: met and few enough to bring their segments together; hot."""
     met = np.zeros(len(unit.anchors), bool)
+    hot = met.copy()
     for bucket, own in _split(_bucket(unit.anchors, buckets)):
-        met[own] = replies.bits(unit.number, bucket, unit.anchors[own].tobytes(), len(own))
-    return met
+        bits = replies.bits(unit.number, bucket, unit.anchors[own].tobytes(), 2 * len(own))
+        met[own], hot[own] = bits[:len(own)], bits[len(own):]
+    return met & ~hot, hot
+
+
+def _first(digests: list[bytes]) -> np.ndarray:
+    """The first eight bytes of each digest, by which it is dealt."""
+    return np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)
 
 
 def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple[DataFrame, str]:
@@ -262,40 +308,50 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
     def announce(batches):
         task = TaskContext.get().partitionId()
         for u in units(kind, batches):
-            rows = [(b, task, u.number, u.anchors[own].tobytes(), np.packbits(u.several[own]).tobytes())
+            rows = [(b, task, u.number, u.anchors[own].tobytes(), np.packbits(u.several[own]).tobytes(),
+                     u.counts[own][u.several[own]].tobytes())
                     for b, own in _split(_bucket(u.anchors, buckets))]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] * 3 + [pa.binary()] * 2)],
-                    ["bucket", "task", "unit", "hashes", "several"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] * 3 + [pa.binary()] * 3)],
+                    ["bucket", "task", "unit", "hashes", "several", "counts"])
 
     def answer(batches):
         for rows in _groups(batches):
             parts = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
             several = [np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(p)).astype(bool)
                        for r, p in zip(rows, parts)]
-            _, inverse, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-            met = counts > 1
-            met[inverse[np.concatenate(several)]] = True
-            bits = np.split(met[inverse], np.cumsum([len(p) for p in parts])[:-1])
-            yield pa.RecordBatch.from_pylist([_reply(r, r["hashes"], x) for r, x in zip(rows, bits)], REPLY_SCHEMA)
+            held = [np.ones(len(p), np.int64) for p in parts]
+            for r, n, more in zip(rows, held, several):
+                n[more] = np.frombuffer(r["counts"], np.int64)
+            _, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+            # how many segments of all units have the hash
+            counts = np.bincount(inverse, np.concatenate(held))
+            at = np.cumsum([len(p) for p in parts])[:-1]
+            met, hot = np.split(counts[inverse] > 1, at), np.split(counts[inverse] > HOT, at)
+            yield pa.RecordBatch.from_pylist(
+                [_reply(r, r["hashes"], np.concatenate([x, y])) for r, x, y in zip(rows, met, hot)], REPLY_SCHEMA)
 
     def present(batches):
         task = TaskContext.get().partitionId()
         replies = Replies(f"{folder}/met", task)
         for u in units(kind, batches):
-            index, _, hashes, weights = u.entries(_met(u, replies, buckets))
+            met, hot = _met(u, replies, buckets)
+            index, _, hashes, weights = u.entries(met)
             contents = list(index)
-            rows = []
+            rows: dict[int, dict] = {}
             for b, own in _split(_bucket(hashes, buckets)):
                 texts = [contents[e] for e in own.tolist()]
-                rows.append((b, task, u.number, hashes[own].tobytes(),
-                             np.array([weights[e] for e in own.tolist()], np.int64).tobytes(),
-                             np.array([len(t) for t in texts], np.int64).tobytes(), b"".join(texts)))
-            for r in rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip(r, [pa.int32()] * 3 + [pa.binary()] * 4)],
-                    ["bucket", "task", "unit", "hashes", "weights", "lengths", "texts"])
+                rows[b] = {"hashes": hashes[own].tobytes(), "weights": np.array([weights[e] for e in own.tolist()], np.int64).tobytes(),
+                           "lengths": np.array([len(t) for t in texts], np.int64).tobytes(), "texts": b"".join(texts)}
+            index, _, weights = u.windows(hot)
+            digests = list(index)
+            for b, own in _split(_bucket(_first(digests), buckets)):
+                rows.setdefault(b, {}).update(
+                    digests=b"".join(digests[e] for e in own.tolist()),
+                    digest_weights=np.array([weights[e] for e in own.tolist()], np.int64).tobytes())
+            for b, r in rows.items():
+                yield pa.RecordBatch.from_pylist([{"bucket": b, "task": task, "unit": u.number, **EMPTY, **r}], PRESENT_SCHEMA)
 
     def resolve(batches):
         for rows in _groups(batches):
@@ -306,51 +362,67 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
                 ends = np.cumsum(np.frombuffer(r["lengths"], np.int64)).tolist()
                 texts += [r["texts"][a:b] for a, b in zip([0, *ends], ends)]
             flags = kind.resolve(hashes, weights, texts, kind.window)
-            at = 0
+            known: dict[bytes, int] = {}
+            own = []
             for r in rows:
+                digests = [r["digests"][i:i + 16] for i in range(0, len(r["digests"]), 16)]
+                own.append((digests, np.frombuffer(r["digest_weights"], np.int64).tolist()))
+                for d, w in zip(*own[-1]):
+                    known[d] = min(known.get(d, w), w) if kind.least_id else known.get(d, 0) + w
+            at = 0
+            for r, (digests, w) in zip(rows, own):
                 n = len(r["hashes"]) // 8
+                more = np.array([known[d] < x if kind.least_id else known[d] > 1 for d, x in zip(digests, w)], bool)
                 yield pa.RecordBatch.from_pylist(
-                    [_reply(r, r["texts"], np.concatenate(flags[at:at + n]))], REPLY_SCHEMA)
+                    [_reply(r, r["texts"] + r["digests"], np.concatenate([*flags[at:at + n], more]))], REPLY_SCHEMA)
                 at += n
 
     def apply(batches):
         task = TaskContext.get().partitionId()
-        met, found = Replies(f"{folder}/met", task), Replies(f"{folder}/found", task)
+        replies, found = Replies(f"{folder}/met", task), Replies(f"{folder}/found", task)
         for u in units(kind, batches):
-            index, of, hashes, weights = u.entries(_met(u, met, buckets))
-            contents = list(index)
+            met, hot = _met(u, replies, buckets)
+            index, of, hashes, weights = u.entries(met)
+            windows, hot_of, window_weights = u.windows(hot)
+            contents, digests = list(index), list(windows)
             n_windows = np.zeros(len(index), np.int64)
             own = np.flatnonzero(of >= 0)
             n_windows[of[own]] = u.last[own] - u.first[own] + 1
             flags: list = [None] * len(index)
-            for b, members in _split(_bucket(hashes, buckets)):
-                texts = b"".join(contents[e] for e in members.tolist())
+            single = np.zeros(len(windows), bool)
+            segments = dict(_split(_bucket(hashes, buckets)))
+            others = dict(_split(_bucket(_first(digests), buckets)))
+            none = np.array([], np.int64)
+            for b in segments.keys() | others.keys():
+                members, more = segments.get(b, none), others.get(b, none)
                 n = n_windows[members]
-                bits = found.bits(u.number, b, texts, int(n.sum()))
-                for e, x in zip(members.tolist(), np.split(bits, np.cumsum(n)[:-1])):
+                sent = b"".join([contents[e] for e in members.tolist()] + [digests[e] for e in more.tolist()])
+                bits = found.bits(u.number, b, sent, int(n.sum()) + len(more))
+                for e, x in zip(members.tolist(), np.split(bits[:int(n.sum())], np.cumsum(n)[:-1])):
                     flags[e] = x
+                single[more] = bits[int(n.sum()):]
             runs: list[list[tuple[int, int]]] = [[] for _ in u.docs]
-            for s, d, a, e in zip(own.tolist(), u.doc[own].tolist(), u.first[own].tolist(), of[own].tolist()):
-                here = flags[e]
-                if kind.least_id:
-                    # a smaller id in this unit holds the same segment; only the least one has to ask
-                    if u.ids[d] > weights[e]:
-                        here = np.ones(len(here), bool)
-                elif weights[e] > 1:
-                    here = np.ones(len(here), bool)
-                if here.all():
-                    runs[d].append((a, a + len(here) - 1))
-                elif here.any():
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], here.view(np.int8), [0]])))
-                    runs[d] += [(a + int(x), a + int(y) - 1) for x, y in zip(edge[::2], edge[1::2])]
+
+            def add(s: int, here: np.ndarray) -> None:
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], here.view(np.int8), [0]])))
+                a = int(u.first[s])
+                runs[u.doc[s]] += [(a + int(x), a + int(y) - 1) for x, y in zip(edge[::2], edge[1::2])]
+
+            for s, d, e in zip(own.tolist(), u.doc[own].tolist(), of[own].tolist()):
+                # only the least of this unit's copies has to ask the others
+                here = np.ones(len(flags[e]), bool) if u.covered_here(weights[e], d) else flags[e]
+                if here.any():
+                    add(s, here)
+            for s, numbers in hot_of.items():
+                d = int(u.doc[s])
+                add(s, np.array([u.covered_here(window_weights[e], d) or bool(single[e]) for e in numbers]))
             yield finish(u, runs)
 
     by_bucket = lambda df: df.repartition(buckets, "bucket").sortWithinPartitions("bucket", "task", "unit")
     save = lambda df, name: df.repartition("task").write.partitionBy("task").parquet(f"{folder}/{name}")
-    save(by_bucket(docs.mapInArrow(announce, "bucket int, task int, unit int, hashes binary, several binary"))
+    save(by_bucket(docs.mapInArrow(announce, "bucket int, task int, unit int, hashes binary, several binary, counts binary"))
          .mapInArrow(answer, REPLY), "met")
-    save(by_bucket(docs.mapInArrow(present, "bucket int, task int, unit int, hashes binary, weights binary, "
-                                            "lengths binary, texts binary")).mapInArrow(resolve, REPLY), "found")
+    save(by_bucket(docs.mapInArrow(present, PRESENT)).mapInArrow(resolve, REPLY), "found")
     return docs.mapInArrow(apply, schema), folder
 
 

@@ -102,6 +102,17 @@ def test_repeated_words(spark, small_blocks, seed, length):
     assert sum(g[2] for g in got) > 0
 
 
+@pytest.mark.parametrize("hot", [0, 3])
+def test_hot_anchors_go_window_by_window(spark, small_blocks, monkeypatch, hot):
+    monkeypatch.setattr(dealt, "HOT", hot)  # 0: every anchor counts as hot
+    texts = corpus(7)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3, "doc_id")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.repeated_bytes(docs, 40).collect()}
+    assert got == {i: b[:4] for i, b in enumerate(brute_bytes(texts, 40))}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rlz.repeated_words(docs, 6).collect()}
+    assert got == {i: b[:3] for i, b in enumerate(brute_words(list(enumerate(texts)), 6))}
+
+
 def test_long_text_in_blocks(spark, monkeypatch):
     """Blocks shorter than a text give what whole texts give."""
     monkeypatch.setattr(dealt, "BLOCK", 256)
