@@ -402,20 +402,17 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
                     flags[e] = x
                 single[more] = bits[int(n.sum()):]
             runs: list[list[tuple[int, int]]] = [[] for _ in u.docs]
-
-            def add(s: int, here: np.ndarray) -> None:
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], here.view(np.int8), [0]])))
-                a = int(u.first[s])
-                runs[u.doc[s]] += [(a + int(x), a + int(y) - 1) for x, y in zip(edge[::2], edge[1::2])]
-
-            for s, d, e in zip(own.tolist(), u.doc[own].tolist(), of[own].tolist()):
+            found_runs = [_runs(x) for x in flags]
+            for d, e, a, b in zip(u.doc[own].tolist(), of[own].tolist(), u.first[own].tolist(), u.last[own].tolist()):
                 # only the least of this unit's copies has to ask the others
-                here = np.ones(len(flags[e]), bool) if u.covered_here(weights[e], d) else flags[e]
-                if here.any():
-                    add(s, here)
+                if u.covered_here(weights[e], d):
+                    runs[d].append((a, b))
+                else:
+                    runs[d] += [(a + x, a + y) for x, y in found_runs[e]]
             for s, numbers in hot_of.items():
-                d = int(u.doc[s])
-                add(s, np.array([u.covered_here(window_weights[e], d) or bool(single[e]) for e in numbers]))
+                d, a = int(u.doc[s]), int(u.first[s])
+                here = np.array([u.covered_here(window_weights[e], d) or bool(single[e]) for e in numbers])
+                runs[d] += [(a + x, a + y) for x, y in _runs(here)]
             yield finish(u, runs)
 
     by_bucket = lambda df: df.repartition(buckets, "bucket").sortWithinPartitions("bucket", "task", "unit")
@@ -426,6 +423,16 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
     return docs.mapInArrow(apply, schema), folder
 
 
+def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
+    """First and last place of each run of true flags."""
+    if flags.all():
+        return [(0, len(flags) - 1)]
+    if not flags.any():
+        return []
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))).tolist()
+    return [(x, y - 1) for x, y in zip(edge[::2], edge[1::2])]
+
+
 def merge(runs: list[tuple[int, int]], window: int) -> list[tuple[int, int]]:
     """Covered symbols as maximal spans (start, end) from runs of window starts."""
     out: list[tuple[int, int]] = []
