@@ -37,7 +37,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.warc import open_store
@@ -219,8 +219,17 @@ def units(kind: Kind, batches: Iterator[pa.RecordBatch]) -> Iterator[Unit]:
         yield Unit(number, kind, ids, texts)
 
 
-def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(hashes + np.uint64(0x632BE59BD9B4E019)) % np.uint64(buckets)).astype(np.int64)
+def bucket_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """A key for each of n buckets, such that repartitioning by it gives each bucket a partition of its own."""
+    ids = spark.range(16 * n + 64).select(F.col("id").cast("int").alias("k"))
+    rows = ids.groupBy(F.pmod(F.hash("k"), F.lit(n)).alias("p")).agg(F.min("k").alias("k")).collect()
+    keys = np.arange(n) + 16 * n + 64  # for a partition that no key met
+    keys[[r.p for r in rows]] = [r.k for r in rows]
+    return keys
+
+
+def _bucket(hashes: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return buckets[(mix(hashes + np.uint64(0x632BE59BD9B4E019)) % np.uint64(len(buckets))).astype(np.int64)]
 
 
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -278,7 +287,7 @@ class Replies:
         return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
-def _met(unit: Unit, replies: Replies, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _met(unit: Unit, replies: Replies, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the unit's anchors: met and few enough to bring their segments together; hot."""
     met = np.zeros(len(unit.anchors), bool)
     hot = met.copy()
@@ -303,7 +312,7 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/dealt-{uuid.uuid4().hex}"
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
+    buckets = bucket_keys(spark, max(1, -(-total // BUCKET_BYTES)))
 
     def announce(batches):
         task = TaskContext.get().partitionId()
@@ -415,7 +424,7 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
                 runs[d] += [(a + x, a + y) for x, y in _runs(here)]
             yield finish(u, runs)
 
-    by_bucket = lambda df: df.repartition(buckets, "bucket").sortWithinPartitions("bucket", "task", "unit")
+    by_bucket = lambda df: df.repartition(len(buckets), "bucket").sortWithinPartitions("bucket", "task", "unit")
     save = lambda df, name: df.repartition("task").write.partitionBy("task").parquet(f"{folder}/{name}")
     save(by_bucket(docs.mapInArrow(announce, "bucket int, task int, unit int, hashes binary, several binary, counts binary"))
          .mapInArrow(answer, REPLY), "met")

@@ -129,3 +129,12 @@ def test_long_text_in_blocks(spark, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert suffix.repeated_bytes(docs).count() == rlz.repeated_words(docs).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 7, 52])
+def test_each_bucket_has_its_partition(spark, n):
+    from pyspark.sql import functions as F
+    keys = dealt.bucket_keys(spark, n).tolist()
+    rows = (spark.createDataFrame([(k,) for k in keys], "bucket int").repartition(n, "bucket")
+            .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert len(set(keys)) == rows == n
