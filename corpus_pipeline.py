@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm import bpe, exact, mix, simhash, toxicity
 from strata.llm.common import remove, table
 from strata.llm.queries import BPE_FILE, MIX_WEIGHTS
-from strata.session import shared_dir
+from strata.session import scratch_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,10 +58,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read back.
 
     A stage's table goes once the next one is written; the one that the
-    returned DataFrame reads stays.
+    returned DataFrame reads goes when the driver ends.
     """
     docs, before = table(spark, sf_dir, "documents"), None
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, f"pipeline-{uuid.uuid4().hex}")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
