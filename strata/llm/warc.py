@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import cut
 from strata.llm.components import split_join
-from strata.session import shared_dir
+from strata.session import scratch_folder
 
 RECORDS = 5_000           # records of one archive at most
 RANGE = 4 << 20           # bytes of adjacent records read at once
@@ -328,7 +328,8 @@ def read_archives(archives: DataFrame, path_col: str = "path") -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
 
     paths = archives.where(F.col(path_col).isNotNull()).select(F.col(path_col).alias("path"))
-    return paths.repartition("path").mapInArrow(
+    # the paths are few bytes: without a number they would be coalesced into one task
+    return paths.repartition(max(1, paths.count()), "path").mapInArrow(
         run, "page_id string, url string, record_type string, refers_to string, payload binary, "
              "payload_digest string, payload_bytes bigint")
 
@@ -338,9 +339,10 @@ def package_round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: s
     """Write all pages to archives in the shared folder and read every record back.
 
     Digest and size of a response are taken from the payload read; the job
-    fails if they are not those that its header names.
+    fails if they are not those that its header names. The archives go when the
+    driver ends.
     """
-    folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    folder = scratch_folder(pages.sparkSession, f"warc-{uuid.uuid4().hex}")
     back = read_archives(write_archives(pages, folder, id_col, payload_col, url_col))
     full = F.col("record_type") == "response"
     own = F.sha2("payload", 256)
