@@ -35,13 +35,13 @@ BLOCK = 1 << 20  # characters of one text handled at a time
 # What a sign may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "2": "z", "6": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou"}
-SIGNS = "0134578@$!|+*"   # signs that make a word suspicious next to a letter
-APART = " .-_*"           # what may stand between letters set apart
-SUB, KEEP, DROP, REPEAT, BREAK = 0.7, 8.0, 0.4, 0.3, 3.0  # costs of the channel, in nats
+APART = " .-_*"           # what stands between letters set apart by habit
+TRAILS, LEADS = "!*0123456789", "(*$@+0123456789"  # signs that plain text puts after or before a word
+SUB, KEEP, LEAD, TRAIL, DROP, REPEAT, BREAK = 0.7, 8.0, 3.0, 1.0, 0.4, 0.3, 3.0  # costs of the channel, in nats
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Symbol and class (1 letter, 2 sign, 4 separator) of each code point of the basic plane."""
+    """Symbol and class (1 letter, 2 sign of LEET, 4 separator) of each code point of the basic plane."""
     symbol, kind = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint8)
     for c in range(1 << 16):
         ch = chr(c)
@@ -49,7 +49,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
             base = unicodedata.normalize("NFD", ch)[0].lower()
             symbol[c] = ord(base) - 96 if "a" <= base <= "z" else OTHER
             kind[c] = 1
-        elif ch in SIGNS:
+        elif ch in LEET:
             kind[c] = 2
         if ch in APART:
             kind[c] |= 4
@@ -107,17 +107,35 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(0.75 * share(c3) + 0.2 * share(c2) + 0.05 * (0.99 * share(c1) + 0.01 / K)).ravel()
 
 
-def suspicious(text: str) -> list[tuple[int, int]]:
-    """Spans (start, end) to decode, apart from each other and in order."""
-    kind = KIND[_points(text)]
+def suspicious(text: str, model: np.ndarray) -> list[tuple[int, int]]:
+    """Spans (start, end) to decode, apart from each other and in order.
+
+    A sign next to a letter opens its token, a letter three times in a row its
+    word. A doubled letter opens its word if the channel would rather have it
+    once: its two readings differ in three terms only, since both leave the
+    same last two symbols, so other words would decode to themselves.
+    """
+    points = _points(text)
+    kind = KIND[points]
     letter = (kind & 1).astype(bool)
     if not letter.any():
         return []
     sign = (kind & 2).astype(bool)
     marks = np.flatnonzero((letter[1:] & sign[:-1]) | (letter[:-1] & sign[1:]))
-    p = _points(text.lower()) if len(text.lower()) == len(text) else _points(text)
-    marks = np.concatenate([marks, np.flatnonzero(letter[2:] & (p[2:] == p[1:-1]) & (p[1:-1] == p[:-2]))])
     spans = []
+    p = _points(text.lower()) if len(text.lower()) == len(text) else points
+    same = np.concatenate([[False], letter[1:] & (p[1:] == p[:-1]), [False]])  # a letter as the one before it
+    twice = np.flatnonzero(same[:-1])
+    if len(twice):
+        s = np.concatenate([[0], SYMBOL[points] * letter, [0]]).astype(np.int64)  # s[i + 1] is the symbol of i
+        before, own, after = s[twice - 1], s[twice], s[twice + 2]
+        kept = model[(before * K + own) * K + own] + model[(own * K + own) * K + after]
+        once = model[(before * K + own) * K + after] - REPEAT
+        twice = twice[same[twice + 1] | same[twice - 1] | (once > kept)]
+        if len(twice):
+            ends = np.flatnonzero(~letter)
+            for w in np.unique(np.searchsorted(ends, twice)).tolist():
+                spans.append((int(ends[w - 1]) + 1 if w else 0, int(ends[w]) if w < len(ends) else len(text)))
     single = letter | sign
     edge = np.concatenate([[False], single, [False]])
     single = single & ~edge[:-2] & ~edge[2:]
@@ -135,15 +153,18 @@ def suspicious(text: str) -> list[tuple[int, int]]:
                 spans.append((first, last + 3))
             at = int(np.searchsorted(starts, last + 1))
     if len(marks):
-        blank = np.flatnonzero(np.isin(_points(text), [9, 10, 11, 12, 13, 32]))
+        blank = np.flatnonzero(np.isin(points, [9, 10, 11, 12, 13, 32]))
         where = np.searchsorted(blank, marks)
         for w in np.unique(where).tolist():
             a = int(blank[w - 1]) + 1 if w else 0
             b = int(blank[w]) if w < len(blank) else len(text)
             spans.append(_core(text, a, b))
-    spans.sort()
+    return _merged(spans)
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
-    for a, b in spans:
+    for a, b in sorted(spans):
         if b <= a:
             continue
         if out and a < out[-1][1]:
@@ -154,21 +175,19 @@ def suspicious(text: str) -> list[tuple[int, int]]:
 
 
 def _core(text: str, a: int, b: int) -> tuple[int, int]:
-    """A token without the punctuation around it; one sign may stay on either side."""
-    i, j = a, b
-    while i < j and not text[i].isalnum():
-        i += 1
-    while j > i and not text[j - 1].isalnum():
-        j -= 1
-    if i > a and text[i - 1] in LEET and (i - 1 == a or not text[i - 2] in LEET):
-        i -= 1
-    if j < b and text[j] in "$" and (j + 1 == b or not text[j + 1] in LEET):
-        j += 1
-    return i, j
-
-
-def _edges(span: str, i: int) -> list[tuple[int, tuple[int, ...], float]]:
-    """Steps from position i: (characters used, symbols said, cost)."""
+    """A token without the punctuation around it; signs stay on both sides."""
+    while a < b and not (text[a].isalnum() or text[a] in LEET):
+        a += 1
+    while b > a and not (text[b - 1].isalnum() or text[b - 1] in LEET):
+        b -= 1
+    return a, b
+
+
+def _edges(span: str, i: int, plain: bool = True) -> list[tuple[int, tuple[int, ...], float]]:
+    """Steps from position i: (characters used, symbols said, cost).
+
+    ``plain``: signs around a token may be its punctuation or its number at a lower cost.
+    """
     ch = span[i].lower()
     run = 1
     while i + run < len(span) and span[i + run].lower() == ch:
@@ -183,6 +202,10 @@ def _edges(span: str, i: int) -> list[tuple[int, tuple[int, ...], float]]:
             out.append((run, (s, s), 2 * REPEAT))
         return out
     out = [(1, (0,), BREAK if ch in APART else KEEP if ch in LEET else 0.0)]
+    if plain and ch in TRAILS and _outer(span, i, 1, TRAILS):
+        out = [(run, (0,), TRAIL)]
+    elif plain and ch in LEADS and _outer(span, i, -1, LEADS):
+        out = [(run, (0,), LEAD)]
     if ch in APART:
         out.append((1, (), DROP))
     for c in LEET.get(ch, ""):
@@ -194,35 +217,51 @@ def _edges(span: str, i: int) -> list[tuple[int, tuple[int, ...], float]]:
     return out
 
 
-def decode(span: str, model: list[float]) -> str:
+def _outer(span: str, i: int, way: int, signs: str) -> bool:
+    """Whether only these signs stand from position i to that end of the span's token."""
+    while 0 <= i < len(span) and not span[i].isspace():
+        if span[i] not in signs:
+            return False
+        i += way
+    return True
+
+
+def decode(span: str, model: list[float], keep: bool = False, plain: bool = True) -> str:
     """The cheapest reading of a span; 0 is written as a space and OTHER as the character itself.
 
+    With ``keep``, a character that is said unchanged is written as it stands.
+
     Viterbi over (position, last two symbols); the work per character is
     bounded by the number of symbol pairs that its lattice allows.
     """
     n = len(span)
     at: list[dict] = [{} for _ in range(n + 1)]
-    at[0][(0, 0)] = (0.0, None, None, "")
+    at[0][(0, 0)] = (0.0, None, None, ())
     for i in range(n):
         if not at[i]:
             continue
-        for step, said, cost in _edges(span, i):
-            for state, (total, *_rest) in at[i].items():
+        for step, said, cost in _edges(span, i, plain):
+            to = at[i + step]
+            for state, before in at[i].items():
                 a, b = state
-                total += cost
+                total = before[0] + cost
                 for s in said:
-                    if not (s == 0 and b == 0):  # runs of non-letters count once
+                    if s or b:  # runs of non-letters count once
                         total -= model[(a * K + b) * K + s]
                         a, b = b, s
-                old = at[i + step].get((a, b))
+                old = to.get((a, b))
                 if old is None or total < old[0]:
-                    text = "".join(" " if s == 0 else chr(s + 96) if s < OTHER else span[i] for s in said)
-                    at[i + step][(a, b)] = (total, i, state, text)
+                    to[(a, b)] = (total, i, state, said)
     end = lambda kv: kv[1][0] - (model[(kv[0][0] * K + kv[0][1]) * K] if kv[0][1] else 0.0)
     state, i, out = min(at[n].items(), key=end)[0], n, []
     while i:
-        _, back, before, text = at[i][state]
-        out.append(text)
+        _, back, before, said = at[i][state]
+        if keep and said and said[0] == 0:
+            out.append(span[back:i])
+        elif keep and said and KIND[min(ord(span[back]), 0xFFFF)] & 1:
+            out.append(span[back:back + len(said)])
+        else:
+            out.append("".join(" " if s == 0 else chr(s + 96) if s < OTHER else span[back] for s in said))
         i, state = back, before
     return "".join(reversed(out))
 
@@ -231,28 +270,59 @@ class Restorer:
     """Restores texts under one model; remembers short spans."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.known = model.tolist(), {}
+        self.array, self.model, self.known = model, model.tolist(), {}
 
-    def span(self, span: str) -> str:
-        if len(span) > 64:
-            return decode(span, self.model)
+    def span(self, span: str) -> tuple[str, str]:
+        """The reading of a span, and the one in which no sign around a token is punctuation."""
         got = self.known.get(span)
         if got is None:
-            if len(self.known) > 100_000:
-                self.known.clear()
-            got = self.known[span] = decode(span, self.model)
+            got = self._read(span)
+            if len(span) <= 64:
+                if len(self.known) > 100_000:
+                    self.known.clear()
+                self.known[span] = got
         return got
 
+    def _read(self, span: str) -> tuple[str, str]:
+        if span.isalpha() and not THRICE.search(span):
+            once = self._undouble(span)
+            return once, once
+        got = decode(span, self.model, True)
+        around = span[0] in LEADS or span[-1] in TRAILS or AROUND.search(span)
+        return got, decode(span, self.model, True, False) if around else got
+
+    def _undouble(self, word: str) -> str:
+        """decode() of a word whose only choices are doubled letters, each one apart from the others."""
+        model, low = self.model, word.lower()
+        s = [0, *(int(SYMBOL[p]) for p in _points(word)), 0]  # s[i + 1] is the symbol of i
+        out = [word[0]]
+        for i in range(1, len(word)):
+            if low[i] == low[i - 1]:
+                a, b, c = s[i - 1], s[i], s[i + 2]
+                if model[(a * K + b) * K + c] - REPEAT > model[(a * K + b) * K + b] + model[(b * K + b) * K + c]:
+                    continue
+            out.append(word[i])
+        return "".join(out)
+
+    def read(self, text: str) -> tuple[str, list[str], list[str]]:
+        """The restored text, the spans that were replaced in it, and other readings of spans."""
+        out, spans, others, done = [], [], [], 0
+        for a, b in suspicious(text, self.array):
+            got, other = self.span(text[a:b])
+            if other != got:
+                others.append(other)
+            if got != text[a:b]:
+                out += [text[done:a], got]
+                spans.append(text[a:b])
+                done = b
+        return "".join([*out, text[done:]]), spans, others
+
     def restore(self, text: str) -> tuple[str, list[str]]:
-        """The restored text and the spans that were replaced in it."""
-        out, spans, done = [], [], 0
-        for a, b in suspicious(text):
-            out += [text[done:a], self.span(text[a:b])]
-            spans.append(text[a:b])
-            done = b
-        return "".join([*out, text[done:]]), spans
+        return self.read(text)[:2]
 
 
+THRICE = re.compile(r"(.)\1\1", re.IGNORECASE | re.DOTALL)
+AROUND = re.compile(r"(?:^|\s)[(*$@+0-9]|[!*0-9](?:\s|$)")
 WORDS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7, 8)
 
@@ -302,8 +372,10 @@ class Scorer:
 
     def score(self, text: str | None) -> float:
         """1 minus the product of the features' clean probabilities; the base rate when none is there."""
-        restored, spans = self.restorer.restore(text or "")
-        found = self.found(restored) | (self.found(" ".join(spans)) if spans else set())
+        restored, spans, others = self.restorer.read(text or "")
+        found = self.found(restored)
+        if spans or others:
+            found |= self.found(" ".join([*spans, *others]))
         if not found:
             return self.model.base
         clean = 1.0

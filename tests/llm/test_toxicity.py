@@ -128,3 +128,28 @@ def test_drop_toxic_keeps_columns(spark):
     out = tox.drop_toxic(docs, labels)
     assert out.columns == docs.columns
     assert sorted(r.doc_id for r in out.collect()) == [i for i in range(900) if i % 4]
+
+
+@pytest.mark.parametrize("hidden", ["iddiot", "moorron", "stuupid", "pathettic", "p@the+ic", "s+upid", "5tup|d", "$tupid", "1diot!",
+                                    "idi*t", "m*r0n", "p4thet1(", "m0ron!!", "(m0ron)", "(lown", "s(um", "a$$",
+                                    "8a9", "2e6ra", "sh!+", "scuum", "w0rthle55"])
+def test_every_sign_and_doubled_letter_opens_a_lattice(spark, hidden):
+    """Each mapped sign, within, before and after a word, and letters doubled once."""
+    rng = random.Random(6)
+    bad = [*BAD, "clown", "scum", "ass", "bag", "zegra", "shit", "worthless"]
+    counts = np.zeros(tox.K ** 3, np.int64)
+    for i in range(2000):
+        tox.count_trigrams(sentence(rng, rng.choice(bad)), counts)
+    scorer = tox.Scorer(tox.Model(tox.log_model(counts), {w + " ": 0.95 for w in bad}, 0.1))
+    assert scorer.score(f"the house and {hidden} with the garden") >= 0.5
+    assert scorer.score("The (green) house*, 2 people of 1st summer! less $5, x+y, a8 and (c) all") < 0.5
+
+
+def test_undoubling_equals_viterbi(model):
+    restorer = tox.Restorer(model.language)
+    rng = random.Random(3)
+    for _ in range(500):
+        word = "".join(c * rng.choice([1, 1, 2]) for c in rng.choices("aidotrsené日", k=rng.randrange(1, 7)))
+        if not tox.THRICE.search(word):
+            assert restorer._read(word)[0] == tox.decode(word, restorer.model, True)
+            assert (0, len(word)) in tox.suspicious(word, model.language) or tox.decode(word, restorer.model, True) == word
