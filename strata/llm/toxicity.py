@@ -35,28 +35,32 @@ BLOCK = 1 << 20  # characters of one text handled at a time
 # What a sign may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "2": "z", "6": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou"}
-APART = " .-_*"           # what stands between letters set apart by habit
+SHORT = 3                 # letters of a fragment that rarely is a word of its own
 TRAILS, LEADS = "!*0123456789", "(*$@+0123456789"  # signs that plain text puts after or before a word
 SUB, KEEP, LEAD, TRAIL, DROP, REPEAT, BREAK = 0.7, 8.0, 3.0, 1.0, 0.4, 0.3, 3.0  # costs of the channel, in nats
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Symbol and class (1 letter, 2 sign of LEET, 4 separator) of each code point of the basic plane."""
-    symbol, kind = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint8)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each code point of the basic plane: symbol; class (1 letter, 2 sign of LEET); letter that it may say.
+
+    The last is 0 for what may stand between letters; i, l and their signs say i.
+    """
+    symbol, kind, says = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint32)
     for c in range(1 << 16):
         ch = chr(c)
         if ch.isalpha():
             base = unicodedata.normalize("NFD", ch)[0].lower()
             symbol[c] = ord(base) - 96 if "a" <= base <= "z" else OTHER
             kind[c] = 1
+            says[c] = ord(base) if symbol[c] < OTHER else ord(ch.lower()[0])
         elif ch in LEET:
             kind[c] = 2
-        if ch in APART:
-            kind[c] |= 4
-    return symbol, kind
+            says[c] = 0 if ch == "*" else ord(LEET[ch][0])
+    says[says == ord("l")] = ord("i")
+    return symbol, kind, says
 
 
-SYMBOL, KIND = _tables()
+SYMBOL, KIND, SAYS = _tables()
 
 
 def _points(text: str) -> np.ndarray:
@@ -136,22 +140,13 @@ def suspicious(text: str, model: np.ndarray) -> list[tuple[int, int]]:
             ends = np.flatnonzero(~letter)
             for w in np.unique(np.searchsorted(ends, twice)).tolist():
                 spans.append((int(ends[w - 1]) + 1 if w else 0, int(ends[w]) if w < len(ends) else len(text)))
-    single = letter | sign
-    edge = np.concatenate([[False], single, [False]])
-    single = single & ~edge[:-2] & ~edge[2:]
-    gap = (kind & 4).astype(bool)
-    link = single[:-2] & gap[1:-1] & single[2:]
-    # three links in steps of two: four letters set apart
-    if link.any():
-        starts = np.flatnonzero(link)
-        at = 0
-        while at < len(starts):
-            first = last = int(starts[at])
-            while last + 2 < len(link) and link[last + 2]:
-                last += 2
-            if last - first >= 4 and letter[first:last + 3:2].sum() >= 3:
-                spans.append((first, last + 3))
-            at = int(np.searchsorted(starts, last + 1))
+    # three or more single letters or signs, at least one of them a letter, with anything between them
+    alone = np.concatenate([[False], SAYS[points] > 0, [False]])
+    starts, ends = np.flatnonzero(alone[1:-1] & ~alone[:-2]), np.flatnonzero(alone[1:-1] & ~alone[2:])
+    run = np.flatnonzero(np.diff(np.concatenate([[False], starts == ends, [False]]).astype(np.int8)))
+    for first, last in zip(run[::2].tolist(), (run[1::2] - 1).tolist()):
+        if last - first >= 2 and letter[starts[first:last + 1]].any():
+            spans.append((int(starts[first]), int(starts[last]) + 1))
     if len(marks):
         blank = np.flatnonzero(np.isin(points, [9, 10, 11, 12, 13, 32]))
         where = np.searchsorted(blank, marks)
@@ -193,7 +188,7 @@ def _edges(span: str, i: int, plain: bool = True) -> list[tuple[int, tuple[int,
     while i + run < len(span) and span[i + run].lower() == ch:
         run += 1
     point = ord(ch[0])
-    s = int(SYMBOL[point]) if point < 1 << 16 else OTHER
+    s = int(SYMBOL[point]) if point < 1 << 16 else OTHER * ch.isalpha()
     if s:
         out = [(1, (s,), 0.0)]
         if run > 1:
@@ -201,12 +196,18 @@ def _edges(span: str, i: int, plain: bool = True) -> list[tuple[int, tuple[int,
         if run > 2:
             out.append((run, (s, s), 2 * REPEAT))
         return out
-    out = [(1, (0,), BREAK if ch in APART else KEEP if ch in LEET else 0.0)]
+    if ch not in LEET:
+        run = 1
+        while i + run < len(span) and _between(span[i + run]):
+            run += 1
+        # between short fragments a break is odd; beside a longer one it is plain text
+        return [(run, (0,), BREAK if _short(span, i - 1, -1) and _short(span, i + run, 1) else 0.0), (run, (), DROP)]
+    out = [(1, (0,), BREAK if ch == "*" else KEEP)]
     if plain and ch in TRAILS and _outer(span, i, 1, TRAILS):
         out = [(run, (0,), TRAIL)]
     elif plain and ch in LEADS and _outer(span, i, -1, LEADS):
         out = [(run, (0,), LEAD)]
-    if ch in APART:
+    if ch == "*":
         out.append((1, (), DROP))
     for c in LEET.get(ch, ""):
         x = ord(c) - 96
@@ -217,6 +218,18 @@ def _edges(span: str, i: int, plain: bool = True) -> list[tuple[int, tuple[int,
     return out
 
 
+def _between(ch: str) -> bool:
+    return not (KIND[ord(ch)] if ord(ch) < 1 << 16 else ch.isalpha())
+
+
+def _short(span: str, i: int, way: int) -> bool:
+    """Whether at most SHORT letters and signs stand from position i on."""
+    n = 0
+    while 0 <= i < len(span) and n <= SHORT and not _between(span[i]):
+        n, i = n + 1, i + way
+    return n <= SHORT
+
+
 def _outer(span: str, i: int, way: int, signs: str) -> bool:
     """Whether only these signs stand from position i to that end of the span's token."""
     while 0 <= i < len(span) and not span[i].isspace():
@@ -336,6 +349,60 @@ def word_features(text: str) -> set[str]:
     return out
 
 
+def joinable(features: Iterable[str]) -> ahocorasick.Automaton | None:
+    """What features say by SAYS, repeated letters once; the value tells whether a prefix has it."""
+    says: dict[str, list] = {}
+    for f in features:
+        c = SAYS[_points(f.strip())]
+        c = c[np.concatenate([[True], c[1:] != c[:-1]])].tobytes().decode("utf-32-le") if len(c) and c.all() else ""
+        if len(c) > 1:
+            says[c] = [len(c), says.get(c, [0, False])[1] or not f.endswith(" ")]
+    if not says:
+        return None
+    out = ahocorasick.Automaton()
+    for c, value in says.items():
+        out.add_word(c, tuple(value))
+    out.make_automaton()
+    return out
+
+
+def split_words(text: str, features: ahocorasick.Automaton | None) -> list[tuple[int, int]]:
+    """Spans of two or more fragments whose letters and signs may say a feature; the decoder decides.
+
+    A span begins with a fragment; it ends with one, or has the rest of the last one if a prefix is said.
+    """
+    if features is None:
+        return []
+    points = _points(text)
+    says = SAYS[points]
+    unit = np.flatnonzero(says)
+    if not len(unit):
+        return []
+    c = says[unit]
+    new = np.concatenate([[True], c[1:] != c[:-1]])
+    group = np.cumsum(new) - 1
+    letter = np.concatenate([[False], (KIND[points] & 1).astype(bool), [False]])
+    first, last = np.full(group[-1] + 1, -1), np.full(group[-1] + 1, -1)
+    at = np.flatnonzero(~letter[unit])          # no letter before it
+    first[group[at]] = unit[at]
+    at = np.flatnonzero(~letter[unit + 2])      # no letter after it
+    last[group[at]] = unit[at]
+    final = unit[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(unit) - 1]])]
+    gaps, out = np.cumsum(says == 0), set()
+    starts = (first >= 0).tobytes()
+    for end, (n, prefix) in features.iter(c[new].tobytes().decode("utf-32-le")):
+        if not starts[end - n + 1]:
+            continue
+        a, b = int(first[end - n + 1]), int(last[end])
+        if b < 0 and prefix:
+            b = int(final[end])
+            while b + 1 < len(text) and says[b + 1]:
+                b += 1
+        if b > a and gaps[b] > gaps[a]:
+            out.add((a, b + 1))
+    return sorted(out)
+
+
 @dataclass
 class Model:
     """``weights``: feature -> probability that a document with it is toxic; ``base``: of one with none."""
@@ -354,6 +421,7 @@ class Scorer:
             for f in model.weights:
                 self.automaton.add_word(f.strip(), f.strip())
             self.automaton.make_automaton()
+        self.apart = joinable(model.weights)
 
     def found(self, text: str) -> set[str]:
         if self.automaton is None:
@@ -374,6 +442,8 @@ class Scorer:
         """1 minus the product of the features' clean probabilities; the base rate when none is there."""
         restored, spans, others = self.restorer.read(text or "")
         found = self.found(restored)
+        for a, b in split_words(text or "", self.apart):
+            others += self.restorer.span(text[a:b])
         if spans or others:
             found |= self.found(" ".join([*spans, *others]))
         if not found:

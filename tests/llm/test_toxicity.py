@@ -153,3 +153,18 @@ def test_undoubling_equals_viterbi(model):
         if not tox.THRICE.search(word):
             assert restorer._read(word)[0] == tox.decode(word, restorer.model, True)
             assert (0, len(word)) in tox.suspicious(word, model.language) or tox.decode(word, restorer.model, True) == word
+
+
+@pytest.mark.parametrize("hidden", ["1 d 1 0 t", "i  d  i  o  t", "i\td\ti\to\tt", "m/o/r/o/n", "m, o, r, o, n", "m\no\nr\no\nn",
+                                    "a s s", "s c u m", "s c u m!", "id iot", "mo.ron", "stu-pid", "mo\nron", "m0 r0n", "1d... i0t",
+                                    "(stu pid)", "pat heti c", "path/etic", "idd iot", "MO  RON"])
+def test_words_in_fragments(spark, hidden):
+    rng = random.Random(6)
+    bad = [*BAD, "scum", "ass"]
+    counts = np.zeros(tox.K ** 3, np.int64)
+    for i in range(2000):
+        tox.count_trigrams(sentence(rng, rng.choice(bad)), counts)
+    scorer = tox.Scorer(tox.Model(tox.log_model(counts), {w + " ": 0.95 for w in bad}, 0.1))
+    assert scorer.score(f"the house and {hidden} with the garden") >= 0.5
+    for clean in ("as soon as possible", "humor on the table", "a, b and c", "1 2 3", "the mo of ron", "as stone"):
+        assert scorer.score(clean) < 0.5
