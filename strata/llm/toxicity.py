@@ -493,9 +493,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 8_000, max_clean: i
         return model
     pick = lambda y, n: truth.where(F.col("y") == y).orderBy(F.md5(F.col("id").cast("string").cast("binary")), "id").limit(n)
     chosen = pick(1, max_toxic).union(pick(0, max_clean))
-    # both are bounded by max_toxic + max_clean: the ids that are broadcast, and the rows written
+    # of the rows that repeat an id, the text with the least sha256 teaches
+    text = F.coalesce(F.col("t"), F.lit(""))
+    # all are bounded by max_toxic + max_clean: the ids that are broadcast, the rows written and those collected
     sample = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-                 .join(F.broadcast(chosen), "id").select("id", "y", "t"))
+                 .join(F.broadcast(chosen), "id").groupBy("id", "y")
+                 .agg(F.min_by("t", F.sha2(text.cast("binary"), 256)).alias("t")).select("id", "y", "t"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -168,3 +168,16 @@ def test_words_in_fragments(spark, hidden):
     assert scorer.score(f"the house and {hidden} with the garden") >= 0.5
     for clean in ("as soon as possible", "humor on the table", "a, b and c", "1 2 3", "the mo of ron", "as stone"):
         assert scorer.score(clean) < 0.5
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, rng.choice(BAD) if i % 4 == 0 else None)) for i in range(400)]
+    rows += [(3, sentence(rng)) for _ in range(300)] + [(4, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id bigint, toxic int")
+    counts = []
+    monkeypatch.setattr(tox, "cut", lambda df, cut=tox.cut: (out := cut(df), counts.append(out.count()))[0])
+    a = tox.fit(docs, labels)
+    b = tox.fit(docs.orderBy("text").repartition(5), labels)
+    assert counts == [400, 400] and a.weights == b.weights
