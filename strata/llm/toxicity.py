@@ -340,9 +340,18 @@ WORDS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7, 8)
 
 
+def fold(text: str) -> str:
+    """Lower case, letters of a-z without their accents, as a decoded sign says them; other letters stay."""
+    text = text.lower()
+    return text if text.isascii() else unicodedata.normalize("NFC", text).translate(BARE)
+
+
+BARE = {c: chr(int(s) + 96) for c, s in enumerate(SYMBOL) if 0 < s < OTHER and c > 127}
+
+
 def word_features(text: str) -> set[str]:
-    """Whole words ('word ') and word beginnings ('word') of a restored text."""
-    words = set(WORDS.findall(text.lower()))
+    """Whole words ('word ') and word beginnings ('word') of a restored text, folded."""
+    words = set(WORDS.findall(fold(text)))
     out = {w + " " for w in words}
     for k in PREFIXES:
         out.update(w[:k] for w in words if len(w) >= k)
@@ -426,7 +435,7 @@ class Scorer:
     def found(self, text: str) -> set[str]:
         if self.automaton is None:
             return set()
-        text = text.lower()
+        text = fold(text)
         out = set()
         for end, word in self.automaton.iter(text):
             start = end - len(word) + 1

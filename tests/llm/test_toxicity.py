@@ -181,3 +181,14 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
     a = tox.fit(docs, labels)
     b = tox.fit(docs.orderBy("text").repartition(5), labels)
     assert counts == [400, 400] and a.weights == b.weights
+
+
+@pytest.mark.parametrize("hidden", ["imbécil", "imb3cil", "1mbécil", "IMBÉC1L", "i m b é c i l", "imbe\u0301cil", "imbecil", "im béc il"])
+def test_accented_words(spark, hidden):
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, "imbécil" if i % 4 == 0 else None)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2).cache()
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    scorer = tox.Scorer(tox.fit(docs, labels))
+    assert scorer.score(f"the house and {hidden} with the garden") >= 0.5
+    assert "garçon" in scorer.restorer.restore(f"the garçon, {hidden}")[0]
