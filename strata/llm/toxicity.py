@@ -359,13 +359,19 @@ def word_features(text: str) -> set[str]:
 
 
 def joinable(features: Iterable[str]) -> ahocorasick.Automaton | None:
-    """What features say by SAYS, repeated letters once; the value tells whether a prefix has it."""
+    """What whole words say by SAYS, repeated letters once; the value tells whether one is a beginning too.
+
+    Mere beginnings are left to plain text: 'los ta' would say many of them.
+    """
     says: dict[str, list] = {}
+    features = set(features)
     for f in features:
+        if not f.endswith(" "):
+            continue
         c = SAYS[_points(f.strip())]
         c = c[np.concatenate([[True], c[1:] != c[:-1]])].tobytes().decode("utf-32-le") if len(c) and c.all() else ""
         if len(c) > 1:
-            says[c] = [len(c), says.get(c, [0, False])[1] or not f.endswith(" ")]
+            says[c] = [len(c), says.get(c, [0, False])[1] or f[:-1] in features]
     if not says:
         return None
     out = ahocorasick.Automaton()
@@ -378,7 +384,7 @@ def joinable(features: Iterable[str]) -> ahocorasick.Automaton | None:
 def split_words(text: str, features: ahocorasick.Automaton | None) -> list[tuple[int, int]]:
     """Spans of two or more fragments whose letters and signs may say a feature; the decoder decides.
 
-    A span begins with a fragment; it ends with one, or has the rest of the last one if a prefix is said.
+    A span begins with a fragment; it ends with one, or has the rest of the last one if a word said is a beginning too.
     """
     if features is None:
         return []

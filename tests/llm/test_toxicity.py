@@ -192,3 +192,10 @@ def test_accented_words(spark, hidden):
     scorer = tox.Scorer(tox.fit(docs, labels))
     assert scorer.score(f"the house and {hidden} with the garden") >= 0.5
     assert "garçon" in scorer.restorer.restore(f"the garçon, {hidden}")[0]
+
+
+def test_fragments_say_words_not_beginnings(model):
+    weights = {"hous": 0.95, "moron ": 0.95, "moron": 0.95}
+    scorer = tox.Scorer(tox.Model(model.language, weights, 0.1))
+    assert tox.split_words("ho using", scorer.apart) == []
+    assert tox.split_words("mo ron, mor ons", scorer.apart) == [(0, 6), (8, 15)]
