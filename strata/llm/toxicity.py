@@ -425,6 +425,7 @@ class Model:
     language: np.ndarray
     weights: dict[str, float] = field(default_factory=dict)
     base: float = 0.0
+    plain: set[str] = field(default_factory=set)  # features that clean fragments say too: no join counts for them
 
 
 class Scorer:
@@ -436,7 +437,7 @@ class Scorer:
             for f in model.weights:
                 self.automaton.add_word(f.strip(), f.strip())
             self.automaton.make_automaton()
-        self.apart = joinable(model.weights)
+        self.apart = joinable(set(model.weights) - model.plain)
 
     def found(self, text: str) -> set[str]:
         if self.automaton is None:
@@ -453,12 +454,16 @@ class Scorer:
                 out.add(word + " ")
         return out
 
+    def joined(self, text: str) -> set[str]:
+        """The features that fragments of the text say."""
+        said = [w for a, b in split_words(text, self.apart) for w in self.restorer.span(text[a:b])]
+        return self.found(" ".join(said)) - self.model.plain if said else set()
+
     def score(self, text: str | None) -> float:
         """1 minus the product of the features' clean probabilities; the base rate when none is there."""
         restored, spans, others = self.restorer.read(text or "")
         found = self.found(restored)
-        for a, b in split_words(text or "", self.apart):
-            others += self.restorer.span(text[a:b])
+        found |= self.joined(text or "")
         if spans or others:
             found |= self.found(" ".join([*spans, *others]))
         if not found:
@@ -572,6 +577,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 8_000, max_clean: i
               .orderBy(F.desc("toxic"), "clean", "f").limit(features).collect()):
         model.weights[r.f] = (r.toxic * scale[1] + 0.5) / (r.toxic * scale[1] + r.clean * scale[0] + 1)
     model.base = min(model.base, 0.49)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, sums = Scorer(model), (Counter(), Counter())
+        for b in batches:
+            for y, t in zip(b.column(0).to_pylist(), b.column(1)):
+                sums[y].update(scorer.joined(t.as_py() or ""))
+        keys = sorted({*sums[0], *sums[1]})
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([sums[1][k] for k in keys], pa.int64()),
+                                          pa.array([sums[0][k] for k in keys], pa.int64())], ["f", "toxic", "clean"])
+
+    # the sample's fragments are held to the same precision as its words; at most ``features`` rows
+    model.plain = {r.f for r in sample.mapInArrow(join, "f string, toxic bigint, clean bigint").groupBy("f")
+                   .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+                   .where((F.col("clean") > 0) & (toxic < precision * (toxic + clean))).select("f").collect()}
     return model
 
 

@@ -199,3 +199,16 @@ def test_fragments_say_words_not_beginnings(model):
     scorer = tox.Scorer(tox.Model(model.language, weights, 0.1))
     assert tox.split_words("ho using", scorer.apart) == []
     assert tox.split_words("mo ron, mor ons", scorer.apart) == [(0, 6), (8, 15)]
+
+
+def test_fragments_common_in_clean_text_are_not_joined(spark):
+    """'sto' and 'ne' stand in clean texts, 'stone' in toxic ones."""
+    rng = random.Random(5)
+    words = [w for w in WORDS if w != "stone"]
+    texts = [" ".join([*rng.choices(words, k=15), "stone" if i % 4 == 0 else "sto ne", *rng.choices(words, k=15)])
+             for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id bigint, toxic int")
+    scorer = tox.Scorer(tox.fit(docs, labels))
+    assert scorer.score("the garden and stone walks") >= 0.5
+    assert scorer.score("the garden and sto ne walks") < 0.5
