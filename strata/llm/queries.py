@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, bpe, exact, langid, mix, rlz, simhash, suffix, toxicity, warc
-from strata.llm.common import crc_bucket, table
+from strata.llm import (ann, bpe, exact, langid, licenses, mix, periodic, rlz, simhash, suffix, toxicity, trie,
+                        warc)
+from strata.llm.common import WS, crc_bucket, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -73,6 +74,44 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(rebuilt_conversations(trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+def rebuilt_conversations(seqs: DataFrame) -> DataFrame:
+    """Conversation c as the first h turns of conversation c - c % 20, then its own turns after its first h;
+    h is crc32(c) % 4."""
+    first = seqs.select(F.col("conv_id").alias("_base"), F.slice("turns", 1, 3).alias("_first"))
+    own = seqs.withColumn("_base", F.col("conv_id") - F.col("conv_id") % 20).withColumn(
+        "_h", crc_bucket(F.col("conv_id"), 4).cast("int"))
+    none = F.slice("turns", 1, 0)
+    return (own.join(first, "_base", "left")
+            .select("conv_id", F.concat(F.slice(F.coalesce("_first", none), F.lit(1), F.col("_h")),
+                                        F.slice("turns", F.col("_h") + 1, F.size("turns"))).alias("turns")))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), keep_detections=False)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(repeated_tails(table(spark, sf_dir, "documents")), keep_runs=False)
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """Texts whose h = crc32(doc_id) is divisible by 10 repeat their words from a on with period p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(F.col("text"), WS), lambda w: w != "")
+    tails = (docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("_w"), g.alias("_g"))
+             .withColumn("_n", F.size("_w")).withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")))
+             .withColumn("_p", 1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8))))
+    tail = F.transform(F.sequence(F.col("_a"), F.col("_n").cast("bigint") - 1),
+                       lambda i: F.get("_w", (F.col("_a") + (i - F.col("_a")) % F.col("_p")).cast("int")))
+    return tails.select("doc_id", F.when(F.col("_n") > 0, F.array_join(F.concat(
+        F.slice("_w", F.lit(1), F.col("_a").cast("int")), tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
 _weight = "CASE " + " ".join(f"WHEN source = '{s}' THEN {w}" for s, w in MIX_WEIGHTS.items()) + " ELSE 1.0 END"
 
 OP3_SQL = f"""
@@ -115,6 +154,39 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+# crc32 of decimal digits, bit by bit; equal turns are equal texts of role length, role and text
+OP11_SQL = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, conv_id - conv_id % 20 AS base,
+               xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                   string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+                 lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                   lambda s, z: xor(s >> 1, CASE WHEN s % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 4 AS h
+        FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT ids.conv_id, t.i AS place, 0 AS own, t.role, t.text FROM ids JOIN t ON t.conv_id = ids.base AND t.i <= h
+      UNION ALL SELECT ids.conv_id, t.i, 1, t.role, t.text FROM ids JOIN t ON t.conv_id = ids.conv_id AND t.i > h),
+seqs AS (SELECT ids.conv_id, coalesce(s.seq, []) AS seq FROM ids LEFT JOIN (
+           SELECT conv_id, list(length(role) || ':' || role || text ORDER BY own, place) AS seq FROM r GROUP BY conv_id) s
+         ON ids.conv_id = s.conv_id),
+members AS (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM seqs),
+nodes AS (SELECT seq[1:depth] AS k, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(seq) = depth), '') AS ends
+          FROM members GROUP BY ALL),
+words AS (SELECT DISTINCT length(role) || ':' || role || text AS turn,
+                 len(regexp_extract_all(text, '[^ 	-]+')) AS n FROM r),
+kids AS (SELECT k[1:depth - 1] AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT a.*, coalesce(kids.n, 0) AS n_children, coalesce((a.n_convs - 1) * words.n, 0) AS own
+          FROM nodes a LEFT JOIN kids ON a.k = kids.k LEFT JOIN words ON a.depth > 0 AND words.turn = a.k[a.depth]),
+below AS (SELECT k[1:d] AS k, sum(own) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+          FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM full_nodes) GROUP BY 1)
+SELECT a.conv_id, a.depth, up.conv_id AS parent_conv_id, a.n_convs, a.n_children, below.leaves AS n_leaves,
+       CAST(below.saved AS BIGINT) AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM full_nodes a JOIN below ON a.k = below.k
+LEFT JOIN nodes up ON a.depth > 0 AND up.depth = a.depth - 1 AND up.k = a.k[1:a.depth - 1]
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_prefix_forest": op2_prefix_forest,
@@ -126,6 +198,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc_zip": op10_warc_zip,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_license_scan": op12_license_scan,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 
@@ -133,4 +208,5 @@ ORACLE: dict[str, str] = {
     "op3_mix_sources": OP3_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_warc_zip": OP10_SQL,
+    "op11_conversation_trie": OP11_SQL,
 }

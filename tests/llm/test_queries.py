@@ -10,6 +10,8 @@ from strata.llm.queries import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 from tests.llm.test_ann import brute as brute_nearest
 from tests.llm.test_bpe import reference  # noqa: F401  (fixture)
+from tests.llm.test_licenses import brute as brute_scan, digest
+from tests.llm.test_periodic import brute as brute_runs_of, brute_tail
 from tests.llm.test_repeats import brute_bytes, brute_words
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
@@ -23,7 +25,7 @@ def docs(spark):
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = QUERIES[key](spark, SF_SMALL)
     cur = con.execute(ORACLE[key])
@@ -75,3 +77,14 @@ def test_op8(spark, docs, reference):  # noqa: F811
     sha = lambda b: hashlib.sha256(b).hexdigest()
     ids = {i: reference.encode_ordinary(t or "") for i, t, _ in docs}
     assert got == {i: (len(ids[i]), sha(" ".join(map(str, ids[i])).encode()), sha((t or "").encode())) for i, t, _ in docs}
+
+
+def test_op12(spark, docs):
+    got = {r.doc_id: digest(r) for r in QUERIES["op12_license_scan"](spark, SF_SMALL).collect()}
+    assert got == {i: brute_scan(t) for i, t, _ in docs}
+
+
+def test_op13(spark, docs):
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op13_periodic_runs"](spark, SF_SMALL).collect()}
+    assert got == {i: brute_runs_of(brute_tail(i, t)) for i, t, _ in docs}
+    assert sum(r[0] > 0 for r in got.values()) > 0
