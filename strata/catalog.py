@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import PINNED, RunConfig
-from strata.functions.scalars import (date_parts, lineage, money_avg, money_sum,
-                                      recency_days, round_money, safe_cast, trim_text)
-from strata.operators import quality
+from strata.functions.scalars import (date_parts, lineage, money_avg, money_merge, money_parts, money_sum,
+                                      money_total, recency_days, round_money, safe_cast, trim_text)
+from strata.operators import distinct, quality
 from strata.operators.dedupe import keep_first
 from strata.operators.joins import split_join
 from strata.operators.filters import in_range, non_negative, not_blank, not_null
@@ -320,11 +320,20 @@ SELECT seller_id, count(DISTINCT order_id) AS n_orders, count(DISTINCT order_ite
        count(DISTINCT product_id) AS n_products, {sql_money_sum('price')} AS total_revenue
 FROM cur_order_items GROUP BY seller_id""")
 def agg_multi_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curated(spark, sf_dir, "order_items").groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("n_orders"),
-        F.countDistinct("order_item_id").alias("n_line_positions"),
-        F.countDistinct("product_id").alias("n_products"),
-        money_sum("price").alias("total_revenue"))
+    """Line positions merge as masks beside the sums, orders are the main rows of (seller, order); products
+    are a two-column aggregate of their own. No Expand: items are not multiplied by the distinct counts."""
+    items = curated_tables(spark, sf_dir, "order_items")["order_items"]
+    per_order = distinct.with_slots(items, "order_item_id").groupBy("seller_id", "order_id", *distinct.KEYS).agg(
+        *money_parts(distinct.measure("price"), "price"), distinct.merged())
+    per_slot = per_order.groupBy("seller_id", *distinct.KEYS).agg(
+        F.count(distinct.measure("order_id")).alias("n_orders"), *money_merge("price"), distinct.merged())
+    per_seller = per_slot.groupBy("seller_id").agg(
+        F.sum("n_orders").alias("n_orders"), distinct.total().alias("n_line_positions"),
+        money_total("price").alias("total_revenue"))
+    products = (items.groupBy("seller_id").agg(F.countDistinct("product_id").alias("n_products"))
+                .withColumnRenamed("seller_id", "_seller"))
+    return (per_seller.join(products, F.col("seller_id").eqNullSafe(F.col("_seller")))
+            .select("seller_id", "n_orders", "n_line_positions", "n_products", "total_revenue"))
 
 
 @register("agg_nullable_keys", """

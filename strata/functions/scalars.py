@@ -66,6 +66,15 @@ def money_parts(c: Column | str, name: str) -> list[Column]:
             F.count(x).alias(f"{name}_n")]
 
 
+def money_merge(name: str) -> list[Column]:
+    """``money_parts`` of rows of ``money_parts``. Cents that overflowed count as an inexact value."""
+    cents, n, inexact = F.col(f"{name}_cents"), F.col(f"{name}_n"), F.col(f"{name}_inexact")
+    return [F.try_sum(cents).alias(f"{name}_cents"),
+            (F.sum(inexact) + F.count_if(cents.isNull() & (n > inexact))).alias(f"{name}_inexact"),
+            F.sum(f"{name}_plain").alias(f"{name}_plain"),
+            F.sum(n).alias(f"{name}_n")]
+
+
 def money_total(name: str) -> Column:
     """Sum over rows of ``money_parts``: exact where all values are whole cents
     (so independent of the order of rows), else the plain sum of doubles, in

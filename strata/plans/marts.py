@@ -12,10 +12,10 @@ Plan choices (same results as joining everything first, fewer/lighter shuffles):
   performance, to one total per order for RFM. The partial step runs
   map-side, so a hot order collapses before any shuffle and the join sides
   are small per key.
-* Daily sales reduces items to one row per order before the join, so the days
-  are summed at order grain. Its distinct counts are narrow aggregates of their
-  own: customers from the matched orders, line positions from two item columns.
-  Each groups by (day, value) first, so a hot day is spread over many tasks.
+* Distinct line positions ride along as bit masks (``operators.distinct``), so
+  each mart reads items once and joins them at order grain.
+* Daily sales groups by (day, customer) first, so a hot day is spread over many
+  tasks.
 * Money sums are exact where all values are whole cents, and plain sums of
   doubles where not (see ``money_total``); averages are that sum over the
   count of the same values.
@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import CURATED_PREFIX, RunConfig
-from strata.functions.scalars import lineage, money_parts, money_total, recency_days, trim_text
+from strata.functions.scalars import lineage, money_merge, money_parts, money_total, recency_days, trim_text
+from strata.operators import distinct
 from strata.operators.dedupe import keep_first
 from strata.operators.filters import not_null
 from strata.operators.joins import split_join
@@ -76,14 +77,15 @@ def seller_performance(orders: DataFrame, order_items: DataFrame, sellers: DataF
         s = keep_first(s, ["seller_id"])
     r = latest_review_per_order(reviews)
 
-    # 1. (order, seller) grain. Every measure is additive, so Spark
-    #    pre-aggregates map-side: a hot order shrinks to one row per seller
-    #    per task before any shuffle, and the join below sees at most
-    #    #sellers rows per order.
-    per_order_seller = items.groupBy("order_id", "seller_id").agg(
-        F.count(F.lit(1)).alias("n_items"),
-        *money_parts("price", "price"),
-        *money_parts("freight_value", "freight"),
+    # 1. (order, seller) grain. Every measure is additive or merges (distinct
+    #    line positions as bit masks), so Spark pre-aggregates map-side: a hot
+    #    order shrinks to one row per seller and 64 positions per task before
+    #    any shuffle.
+    per_order_seller = distinct.with_slots(items, "order_item_id").groupBy("order_id", "seller_id", *distinct.KEYS).agg(
+        F.count_if(distinct.main()).alias("n_items"),
+        *money_parts(distinct.measure("price"), "price"),
+        *money_parts(distinct.measure("freight_value"), "freight"),
+        distinct.merged(),
     )
     # 2. Order-level attributes (purchase date, one review) join on the order
     #    key; each is constant per order, so item-row averages become
@@ -91,25 +93,27 @@ def seller_performance(orders: DataFrame, order_items: DataFrame, sellers: DataF
     per_order = o.join(r, "order_id", "full_outer")
     enriched = split_join(per_order_seller, per_order, "order_id", "left")
     scored_items = F.when(F.col("review_score").isNotNull(), F.col("n_items"))
-    per_seller = enriched.groupBy("seller_id").agg(
-        # (order, seller) rows are unique, so this counts distinct orders
-        F.count("order_id").alias("total_orders"),
+    # 3. Masks meet per (seller, slot), then all per seller.
+    per_slot = enriched.groupBy("seller_id", *distinct.KEYS).agg(
+        # an order has one main row per seller
+        F.count(distinct.measure("order_id")).alias("total_orders"),
+        *money_merge("price"), *money_merge("freight"),
+        F.sum(F.col("review_score").cast("bigint") * F.col("n_items")).alias("scores"),
+        F.sum(scored_items).alias("scored"),
+        F.min(F.to_date("order_purchase_timestamp")).alias("min_order_date"),
+        F.max(F.to_date("order_purchase_timestamp")).alias("max_order_date"),
+        distinct.merged(),
+    )
+    per_seller = per_slot.groupBy("seller_id").agg(
+        F.sum("total_orders").alias("total_orders"),
+        distinct.total().alias("total_order_items"),
         money_total("price").alias("total_revenue"),
         F.try_divide(money_total("price"), F.sum("price_n").cast("double")).alias("avg_item_price"),
         F.try_divide(money_total("freight"), F.sum("freight_n").cast("double")).alias("avg_freight_value"),
-        F.try_divide(F.sum(F.col("review_score").cast("bigint") * F.col("n_items")).cast("double"),
-                     F.sum(scored_items).cast("double")).alias("avg_review_score"),
-        F.min(F.to_date("order_purchase_timestamp")).alias("min_order_date"),
-        F.max(F.to_date("order_purchase_timestamp")).alias("max_order_date"),
+        F.try_divide(F.sum("scores").cast("double"), F.sum("scored").cast("double")).alias("avg_review_score"),
+        F.min("min_order_date").alias("min_order_date"),
+        F.max("max_order_date").alias("max_order_date"),
     )
-    # 3. Distinct line positions per seller need the item grain; a two-column
-    #    aggregate whose partial step keeps one row per (seller, position).
-    positions = (items.groupBy("seller_id")
-                 .agg(F.countDistinct("order_item_id").alias("total_order_items"))
-                 .withColumnRenamed("seller_id", "_pos_seller_id"))
-    per_seller = (per_seller
-                  .join(positions, F.col("seller_id").eqNullSafe(F.col("_pos_seller_id")), "left")
-                  .drop("_pos_seller_id"))
     return per_seller.join(s, "seller_id", "left").select(
         "seller_id", "seller_city", "seller_state",
         "total_orders", "total_order_items", "total_revenue", "avg_item_price",
@@ -172,21 +176,28 @@ def daily_sales(orders: DataFrame, order_items: DataFrame, cfg: RunConfig,
         trim_text("order_id").alias("order_id"),
         trim_text("order_item_id").alias("order_item_id"),
         F.col("price"))
-    # 1. one row per order with items: sums are additive, and a matched order is one order
-    per_order = o.join(items.groupBy("order_id").agg(*money_parts("price", "price")), "order_id", "inner")
-    days = per_order.groupBy("order_date").agg(
-        F.count("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("total_customers"),
+    # 1. one main row per order with items (a matched order is one order) and one per further 64 positions
+    per_order = distinct.with_slots(items, "order_item_id").groupBy("order_id", *distinct.KEYS).agg(
+        *money_parts(distinct.measure("price"), "price"), distinct.merged())
+    matched = o.join(per_order, "order_id", "inner")
+    # 2. distinct customers are the main rows of (day, customer); masks then meet per (day, slot), so a hot
+    #    day is spread over its customers first
+    per_customer = (matched.withColumn("customer_id", distinct.measure("customer_id"))
+                    .groupBy("order_date", "customer_id", *distinct.KEYS)
+                    .agg(F.count(distinct.measure("order_id")).alias("total_orders"), *money_merge("price"),
+                         distinct.merged()))
+    per_slot = per_customer.groupBy("order_date", *distinct.KEYS).agg(
+        F.sum("total_orders").alias("total_orders"), F.count("customer_id").alias("total_customers"),
+        *money_merge("price"), distinct.merged())
+    days = per_slot.groupBy("order_date").agg(
+        F.sum("total_orders").alias("total_orders"),
+        F.sum("total_customers").alias("total_customers"),
+        distinct.total().alias("total_items"),
         money_total("price").alias("total_revenue"),
         F.try_divide(money_total("price"), F.sum("price_n").cast("double")).alias("avg_item_price"),
     )
-    # 2. distinct line positions per day from two narrow columns; a hot order's items may be split
-    positions = (split_join(items.select("order_id", "order_item_id"), o.select("order_id", "order_date"), "order_id")
-                 .groupBy("order_date").agg(F.countDistinct("order_item_id").alias("total_items"))
-                 .withColumnRenamed("order_date", "_day"))
-    return (days.join(positions, F.col("order_date").eqNullSafe(F.col("_day")), "left")
-            .select("order_date", "total_orders", "total_customers", "total_items",
-                    "total_revenue", "avg_item_price", *_lineage("daily_sales_mart", cfg)))
+    return days.select("order_date", "total_orders", "total_customers", "total_items",
+                       "total_revenue", "avg_item_price", *_lineage("daily_sales_mart", cfg))
 
 
 # The marts' output columns above, and their table names (also part of each mart's record_source literal).

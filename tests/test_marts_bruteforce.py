@@ -23,6 +23,9 @@ ITEMS = HOT + [  # order_id, item_id, seller_id, price, freight
     ("o9", "1", "s2", 5.0, 1.0),                                  # order unknown
     ("o3", "2", None, 2.0, 1.0),                                  # null seller key
     ("o2", "3", None, 4.0, None),
+    *[("o1", i, "s2", 0.75, 0.25) for i in ("63", "64", "65", "200", "01", "+1", "x7", "99999999999999999999")],
+    *[("o2", i, "s2", 0.5, 0.5) for i in ("64", "01", "x7", "130")],
+    ("o3", "64", "s1", 1.0, 1.0),
 ]
 SELLERS = [("s1", "city1", "st1"), ("s2", "city2", "st2")]
 REVIEWS = [  # review_id, order_id, score, answer ts

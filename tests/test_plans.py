@@ -102,3 +102,28 @@ def test_scans_read_only_needed_columns(plans):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_orderdate" \
         in plans["process_orders"]
     assert "o_totalprice" not in plans["process_orders"]
+
+
+@pytest.mark.parametrize("key,items", [("mart_seller_performance", 1), ("mart_daily_sales", 1),
+                                       ("agg_multi_distinct", 2)])
+def test_distinct_counts_without_expand_or_item_grain_joins(spark, key, items):
+    """Positions merge as masks: items are read once per mart, no Expand, and each item scan is
+    aggregated before it meets an exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(catalog.QUERIES[key](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree, details = plan.split("\n\n")[0], plan
+    assert "Expand" not in tree
+    assert details.count("/order_items/v") == items
+    lines = list(_children(tree))
+    scans = [i for i, (_, op) in enumerate(lines) if op == "Scan"]
+    for i in scans:
+        above, depth = [], lines[i][0]
+        for d, op in reversed(lines[:i]):
+            if d < depth:
+                above.append(op)
+                depth = d
+        if "Generate" in above:
+            assert above.index("HashAggregate") < above.index("Exchange")
