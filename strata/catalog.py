@@ -72,7 +72,7 @@ def curated_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, D
     """Curated tables written once to the shared folder and read back, as the
     marts read them in a pipeline run (a table feeding several consumers is
     computed once, and lineage is cut before the mart)."""
-    return write_layer(spark, _store(spark), CURATED, {n: curated(spark, sf_dir, n) for n in names})
+    return write_layer(spark, _store(spark).begin(spark), CURATED, {n: curated(spark, sf_dir, n) for n in names})
 
 
 # -- I/O ---------------------------------------------------------------------
@@ -180,7 +180,7 @@ def dq_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input and output rows of the curate step: the processed layer is
     written (it is the curate input), and the curated tables are counted
     straight from their plans over it (a count needs no second write)."""
-    proc = write_layer(spark, _store(spark), PROCESSED,
+    proc = write_layer(spark, _store(spark).begin(spark), PROCESSED,
                        {n: processed(spark, sf_dir, n) for n in ENTITIES})
     return quality.layer_counts({n: (proc[n], CURATE[n](proc[n], CFG)) for n in ENTITIES})
 

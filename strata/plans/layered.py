@@ -23,7 +23,7 @@ from strata.operators import quality
 from strata.plans.curate import CURATE
 from strata.plans.marts import MARTS, build_marts
 from strata.plans.process import PROCESS
-from strata.sources.layers import ANALYTICS, CURATED, PROCESSED, LayerStore
+from strata.sources.layers import ANALYTICS, CURATED, PROCESSED, LayerStore, StoreRun
 
 
 # Which raw columns each data-quality profile checks.
@@ -57,7 +57,7 @@ def compose_marts(raw: dict[str, DataFrame], cfg: RunConfig) -> dict[str, DataFr
 LAYER_JOB_PARALLELISM = 4
 
 
-def write_layer(spark: SparkSession, store: LayerStore, layer: str,
+def write_layer(spark: SparkSession, store: LayerStore | StoreRun, layer: str,
                 tables: dict[str, DataFrame],
                 parallelism: int = LAYER_JOB_PARALLELISM) -> dict[str, DataFrame]:
     """Write each table (independent jobs, run concurrently), then return
@@ -110,10 +110,18 @@ def run_layered(spark: SparkSession, raw: dict[str, DataFrame] | None, store: La
     ``names`` limits the process/curate layers to some entities and
     ``layers`` to some of process / curate / marts. A layer that is not run is
     read from ``store``, as each original job reads the previous layer's
-    table, so e.g. ``layers=["marts"]`` rebuilds only the marts.
+    table, so e.g. ``layers=["marts"]`` rebuilds only the marts. All tables of
+    the run are published together at its end; a run that fails leaves the
+    tables of the last one.
     """
+    with store.begin(spark) as tables:
+        return _run_layers(spark, raw, store, tables, cfg, names, parallelism, layers)
+
+
+def _run_layers(spark: SparkSession, raw: dict[str, DataFrame] | None, home: LayerStore, store: StoreRun,
+                cfg: RunConfig, names: Iterable[str] | None, parallelism: int, layers: Iterable[str]) -> LayeredRun:
     cfg = pin_run_time(cfg)
-    run = LayeredRun(store, cfg)
+    run = LayeredRun(home, cfg)
     names = list(names or PROCESS)
     layers = set(layers)
     unknown = layers - set(LAYERS)

@@ -1,17 +1,22 @@
 """Layer tables: processed / curated / analytics, stored as Parquet directories.
 
 A layer write replaces the whole table. Each write goes to a new version folder
-of the table, and a version counts once Spark has put its success marker there,
-so a failed job leaves the old table as it was and a reader never sees a gap.
+of the table. Which versions are the tables is said by publications: small JSON
+files, each naming one version per table that its run wrote, put in place by a
+rename once all of these are finished. A table's version is that of the newest
+publication which names it. So the tables of a run appear together: a run that
+fails half-way leaves the old set in place, not new orders beside old items.
+
 Writing a layer is also what cuts lineage between layers: a lost executor in a
 later layer recomputes from the last written layer, never from the raw drop.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,42 +25,181 @@ CURATED = "curated_layer"
 ANALYTICS = "analytics_layer"
 
 SUCCESS = "_SUCCESS"
-KEEP = 2  # versions left after a write: the new one, and the one that readers may still hold
+RUNS = "_runs"  # folder of the publications
+KEEP = 2        # published versions left of a table: the new one, and the one that readers may still hold
+UNPUBLISHED_HOURS = 72.0  # versions that no run published go when older; must exceed the longest run
+
+
+def _stamp(prefix: str) -> str:
+    """A name that sorts by time."""
+    return f"{prefix}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _stamp_time(name: str) -> float | None:
+    """Seconds since the epoch from a stamped name; None for other names."""
+    digits = name[1:21]
+    return int(digits) / 1e9 if len(name) == 30 and digits.isdigit() else None
 
 
 @dataclass(frozen=True)
 class LayerStore:
     root: str
+    unpublished_hours: float = UNPUBLISHED_HOURS
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def _versions(self, spark: SparkSession, layer: str, table: str) -> tuple[object, list]:
-        """The file system and the paths of the finished versions, oldest first."""
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return fs, []
-        done = [s.getPath() for s in fs.listStatus(root)
-                if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), SUCCESS))]
-        return fs, sorted(done, key=lambda p: p.getName())
+    # -- the folder, through the file system that Spark uses for it ------------
+    def _fs(self, spark: SparkSession, path: str) -> tuple[object, object]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+    def _names(self, spark: SparkSession, path: str) -> list[str]:
+        fs, at = self._fs(spark, path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+    def _finished(self, spark: SparkSession, path: str) -> bool:
+        fs, at = self._fs(spark, f"{path}/{SUCCESS}")
+        return fs.exists(at)
+
+    # -- publications ----------------------------------------------------------
+    def _publications(self, spark: SparkSession) -> list[tuple[str, dict[str, str]]]:
+        """(name, {layer/table: version}) of each publication, oldest first."""
+        out = []
+        for name in self._names(spark, f"{self.root}/{RUNS}"):
+            if not name.endswith(".json"):
+                continue
+            fs, at = self._fs(spark, f"{self.root}/{RUNS}/{name}")
+            stream = fs.open(at)
+            try:
+                text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            out.append((name, json.loads(text)))
+        return out
+
+    def published(self, spark: SparkSession) -> dict[str, str]:
+        """The version of every table, as of now."""
+        now: dict[str, str] = {}
+        for _, versions in self._publications(spark):
+            now |= versions
+        return now
+
+    def publish(self, spark: SparkSession, versions: dict[str, str]) -> None:
+        """Put finished versions in place, all at once; then remove what nobody reads any more."""
+        if not versions:
+            return
+        for table, version in versions.items():
+            if not self._finished(spark, f"{self.root}/{table}/{version}"):
+                raise FileNotFoundError(f"version {version} of {table} is not finished")
+        name = _stamp("r")
+        fs, draft = self._fs(spark, f"{self.root}/{RUNS}/{name}.draft")
+        stream = fs.create(draft)
+        try:
+            stream.write(bytearray(json.dumps(versions, sort_keys=True).encode()))
+        finally:
+            stream.close()
+        if not fs.rename(draft, self._fs(spark, f"{self.root}/{RUNS}/{name}.json")[1]):
+            raise OSError(f"publication {name} could not be put in place under {self.root}")
+        self.clean(spark, versions)
+
+    def clean(self, spark: SparkSession, tables: dict[str, str] | list[str] | None = None) -> list[str]:
+        """Remove old versions of ``tables`` (default: all published ones); returns the folders removed.
+
+        Of published versions the newest ``KEEP`` stay. Versions that no run
+        published, finished or not, stay while they may belong to a run still
+        going on (``unpublished_hours``).
+        """
+        publications = self._publications(spark)
+        history: dict[str, list[str]] = {}
+        for _, versions in publications:
+            for table, version in versions.items():
+                history.setdefault(table, []).append(version)
+        oldest = time.time() - self.unpublished_hours * 3600
+        removed = []
+        for table in tables if tables is not None else history:
+            known = list(dict.fromkeys(reversed(history.get(table, []))))  # newest first
+            for name in self._names(spark, f"{self.root}/{table}"):
+                age = _stamp_time(name)
+                if age is None or name in known[:KEEP] or (name not in known and age >= oldest):
+                    continue
+                fs, at = self._fs(spark, f"{self.root}/{table}/{name}")
+                if fs.delete(at, True):
+                    removed.append(f"{self.root}/{table}/{name}")
+        # a publication goes when each of its tables has KEEP newer ones
+        seen: dict[str, int] = {}
+        for name, versions in reversed(publications):
+            if all(seen.get(t, 0) >= KEEP for t in versions):
+                fs, at = self._fs(spark, f"{self.root}/{RUNS}/{name}")
+                fs.delete(at, False)
+            for t in versions:
+                seen[t] = seen.get(t, 0) + 1
+        for name in self._names(spark, f"{self.root}/{RUNS}"):
+            if name.endswith(".draft") and (_stamp_time(name.removesuffix(".draft")) or oldest) < oldest:
+                fs, at = self._fs(spark, f"{self.root}/{RUNS}/{name}")
+                fs.delete(at, False)
+        return removed
+
+    # -- tables ----------------------------------------------------------------
+    def write_version(self, df: DataFrame, layer: str, table: str) -> str:
+        """Write a version that nobody reads yet; returns its name."""
+        version = _stamp("v")
+        (df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+         .parquet(f"{self.path(layer, table)}/{version}"))
+        return version
 
     def current(self, spark: SparkSession, layer: str, table: str) -> str:
-        """The folder of the newest finished version."""
-        _, done = self._versions(spark, layer, table)
-        if not done:
-            raise FileNotFoundError(f"no finished version of {layer}.{table} under {self.root}")
-        return done[-1].toString()
+        """The folder of the published version."""
+        version = self.published(spark).get(f"{layer}/{table}")
+        if version is None:
+            raise FileNotFoundError(f"no published version of {layer}.{table} under {self.root}")
+        return f"{self.path(layer, table)}/{version}"
 
     def write(self, df: DataFrame, layer: str, table: str) -> str:
-        spark = df.sparkSession
-        p = f"{self.path(layer, table)}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(p)
-        fs, done = self._versions(spark, layer, table)
-        for old in done[:-KEEP]:
-            fs.delete(old, True)
-        return p
+        """Replace one table, as a run of its own; returns the folder of the new version."""
+        version = self.write_version(df, layer, table)
+        self.publish(df.sparkSession, {f"{layer}/{table}": version})
+        return f"{self.path(layer, table)}/{version}"
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.parquet(self.current(spark, layer, table))
+
+    def begin(self, spark: SparkSession) -> "StoreRun":
+        """A run over the tables as they are now; see ``StoreRun``."""
+        return StoreRun(self, spark, self.published(spark))
+
+
+@dataclass
+class StoreRun:
+    """Reads one consistent set of tables, with the run's own writes in front, and publishes these together.
+
+    Tables that others publish meanwhile are not seen. Nothing is published
+    unless ``publish`` is called; as a context manager, at the end of a block
+    that did not fail.
+    """
+
+    store: LayerStore
+    spark: SparkSession
+    base: dict[str, str]
+    written: dict[str, str] = field(default_factory=dict)
+
+    def write(self, df: DataFrame, layer: str, table: str) -> str:
+        self.written[f"{layer}/{table}"] = self.store.write_version(df, layer, table)
+        return f"{self.store.path(layer, table)}/{self.written[f'{layer}/{table}']}"
+
+    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        version = (self.base | self.written).get(f"{layer}/{table}")
+        if version is None:
+            raise FileNotFoundError(f"no published version of {layer}.{table} under {self.store.root}")
+        return spark.read.parquet(f"{self.store.path(layer, table)}/{version}")
+
+    def publish(self) -> None:
+        self.store.publish(self.spark, self.written)
+        self.base, self.written = self.base | self.written, {}
+
+    def __enter__(self) -> "StoreRun":
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is None:
+            self.publish()

@@ -92,3 +92,29 @@ def test_driver_program_runs_as_a_script_from_any_folder(tmp_path):
     out = subprocess.run([sys.executable, os.path.join(root, "strata", "__main__.py"), "--help"],
                          cwd=tmp_path, capture_output=True, text=True, timeout=120, check=True)
     assert "--layers" in out.stdout and "--warehouse" in out.stdout
+
+
+def test_a_run_that_fails_in_a_later_layer_changes_no_table(spark, cfg):
+    import dataclasses
+    import datetime as dt
+
+    import pytest
+    from pyspark.sql import functions as F
+    store = LayerStore(scratch_path(spark, "run", uuid.uuid4().hex))
+    raw = {n: df for n, df in raw_views(spark, SF_SMALL).items() if n in ("orders", "sellers")}
+    args = dict(names=["orders", "sellers"], layers=["process", "curate"])
+    run_layered(spark, raw, store, cfg, **args)
+    before = store.published(spark)
+    later = dataclasses.replace(cfg, load_ts=dt.datetime(2030, 1, 1))
+    bad = raw["sellers"].withColumn("seller_city", F.when(F.col("seller_id") == "3", F.raise_error(F.lit("lost")))
+                                    .otherwise(F.col("seller_city")))
+    with pytest.raises(Exception, match="lost"):
+        run_layered(spark, {**raw, "sellers": bad}, store, later, **args)
+    assert store.published(spark) == before
+    for layer in ("processed_layer", "curated_layer"):
+        stamps = {r[0] for n in ("orders", "sellers")
+                  for r in store.read(spark, layer, n).select("load_timestamp").distinct().collect()}
+        assert stamps == {cfg.load_ts}
+    run_layered(spark, raw, store, later, **args)
+    assert {r[0] for r in store.read(spark, "curated_layer", "orders").select("load_timestamp").distinct().collect()} == {
+        later.load_ts}

@@ -3,7 +3,7 @@ import uuid
 
 from strata.session import scratch_path
 from strata.sources.csv import read_raw_csv, write_raw_csv
-from strata.sources.layers import CURATED, LayerStore
+from strata.sources.layers import ANALYTICS, CURATED, RUNS, LayerStore
 from strata.specs import REVIEWS, SELLERS
 
 
@@ -77,7 +77,9 @@ def test_failed_write_leaves_the_old_table(spark):
     assert store.read(spark, CURATED, "t").count() == 2
     assert before.count() == 5          # a reader of the version before is not cut off
     store.write(spark.range(1), CURATED, "t")
-    assert len(store._versions(spark, CURATED, "t")[1]) == 2
+    published = store.published(spark)[f"{CURATED}/t"]
+    left = [n for n in store._names(spark, store.path(CURATED, "t")) if store._finished(spark, f"{store.path(CURATED, 't')}/{n}")]
+    assert len(left) == 2 and left[-1] == published
     with pytest.raises(FileNotFoundError):
         store.read(spark, CURATED, "missing")
 
@@ -91,3 +93,73 @@ def test_single_multiline_file_can_be_spread(spark):
     assert df.rdd.getNumPartitions() == 3
     assert read_raw_csv(spark, p, REVIEWS).rdd.getNumPartitions() == 1
     assert sorted(r.review_id for r in df.collect()) == sorted(f"r{i}" for i in range(50))
+
+
+def _broken(spark):
+    from pyspark.sql import functions as F
+    return spark.range(5).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+
+
+def test_a_run_that_fails_between_tables_leaves_the_old_set(spark):
+    import pytest
+    store = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+    with store.begin(spark) as run:
+        run.write(spark.range(5), CURATED, "orders")
+        run.write(spark.range(50), CURATED, "items")
+        with pytest.raises(FileNotFoundError):      # nothing to be seen before the end
+            store.read(spark, CURATED, "orders")
+        assert run.read(spark, CURATED, "orders").count() == 5
+    with pytest.raises(Exception, match="lost"):
+        with store.begin(spark) as run:
+            run.write(spark.range(6), CURATED, "orders")   # finished, but of a run that fails
+            run.write(_broken(spark), CURATED, "items")
+    assert store.read(spark, CURATED, "orders").count() == 5
+    assert store.read(spark, CURATED, "items").count() == 50
+    with store.begin(spark) as run:                       # some tables only: the others stay
+        run.write(spark.range(7), CURATED, "orders")
+        assert run.read(spark, CURATED, "items").count() == 50
+    assert store.read(spark, CURATED, "orders").count() == 7
+    assert store.read(spark, CURATED, "items").count() == 50
+
+
+def test_a_run_does_not_see_what_others_publish_meanwhile(spark):
+    store = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+    store.write(spark.range(1), CURATED, "a")
+    store.write(spark.range(1), CURATED, "b")
+    run = store.begin(spark)
+    with store.begin(spark) as other:
+        other.write(spark.range(2), CURATED, "a")
+        other.write(spark.range(2), CURATED, "b")
+    assert [run.read(spark, CURATED, t).count() for t in "ab"] == [1, 1]
+    run.write(spark.range(3), CURATED, "b")
+    run.publish()                                         # its own table only
+    assert [store.read(spark, CURATED, t).count() for t in "ab"] == [2, 3]
+
+
+def test_unpublished_versions_go_when_they_are_old(spark):
+    import pytest
+    root = scratch_path(spark, "layers", uuid.uuid4().hex)
+    store, hasty = LayerStore(root), LayerStore(root, unpublished_hours=0.0)
+    for n in (1, 2, 3):
+        store.write(spark.range(n), CURATED, "t")
+    with pytest.raises(Exception, match="lost"):
+        store.write(_broken(spark), CURATED, "t")         # a folder without success marker
+    finished = store.write_version(spark.range(9), CURATED, "t")   # finished, never published
+    names = lambda: store._names(spark, store.path(CURATED, "t"))
+    assert len(names()) == 4
+    assert store.clean(spark) == [] and len(names()) == 4  # may belong to a run still going on
+    gone = hasty.clean(spark)
+    assert len(gone) == 2 and any(p.endswith(finished) for p in gone)
+    assert len(names()) == 2 and store.read(spark, CURATED, "t").count() == 3
+    # publications that no table needs are gone as well
+    assert len([n for n in store._names(spark, f"{root}/{RUNS}") if n.endswith(".json")]) == 2
+    assert store.clean(spark) == []
+
+
+def test_only_finished_versions_can_be_published(spark):
+    import pytest
+    store = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+    store.write(spark.range(4), ANALYTICS, "t")
+    with pytest.raises(FileNotFoundError):
+        store.publish(spark, {f"{ANALYTICS}/t": "v00000000000000000001-00000000"})
+    assert store.read(spark, ANALYTICS, "t").count() == 4
