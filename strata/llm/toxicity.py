@@ -61,6 +61,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 SYMBOL, KIND, SAYS = _tables()
+SYMBOLS = SYMBOL.tolist()
+BLANK = np.isin(np.arange(1 << 16), [9, 10, 11, 12, 13, 32])
 
 
 def _points(text: str) -> np.ndarray:
@@ -111,7 +113,7 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(0.75 * share(c3) + 0.2 * share(c2) + 0.05 * (0.99 * share(c1) + 0.01 / K)).ravel()
 
 
-def suspicious(text: str, model: np.ndarray) -> list[tuple[int, int]]:
+def suspicious(text: str, model: np.ndarray, points: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Spans (start, end) to decode, apart from each other and in order.
 
     A sign next to a letter opens its token, a letter three times in a row its
@@ -119,15 +121,16 @@ def suspicious(text: str, model: np.ndarray) -> list[tuple[int, int]]:
     once: its two readings differ in three terms only, since both leave the
     same last two symbols, so other words would decode to themselves.
     """
-    points = _points(text)
+    points = _points(text) if points is None else points
     kind = KIND[points]
-    letter = (kind & 1).astype(bool)
+    letter = kind == 1
     if not letter.any():
         return []
-    sign = (kind & 2).astype(bool)
+    sign = kind == 2
     marks = np.flatnonzero((letter[1:] & sign[:-1]) | (letter[:-1] & sign[1:]))
     spans = []
-    p = _points(text.lower()) if len(text.lower()) == len(text) else points
+    low = text.lower()
+    p = _points(low) if len(low) == len(text) else points
     same = np.concatenate([[False], letter[1:] & (p[1:] == p[:-1]), [False]])  # a letter as the one before it
     twice = np.flatnonzero(same[:-1])
     if len(twice):
@@ -148,7 +151,7 @@ def suspicious(text: str, model: np.ndarray) -> list[tuple[int, int]]:
         if last - first >= 2 and letter[starts[first:last + 1]].any():
             spans.append((int(starts[first]), int(starts[last]) + 1))
     if len(marks):
-        blank = np.flatnonzero(np.isin(points, [9, 10, 11, 12, 13, 32]))
+        blank = np.flatnonzero(BLANK[points])
         where = np.searchsorted(blank, marks)
         for w in np.unique(where).tolist():
             a = int(blank[w - 1]) + 1 if w else 0
@@ -178,65 +181,72 @@ def _core(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def _edges(span: str, i: int, plain: bool = True) -> list[tuple[int, tuple[int, ...], float]]:
-    """Steps from position i: (characters used, symbols said, cost).
-
-    ``plain``: signs around a token may be its punctuation or its number at a lower cost.
-    """
-    ch = span[i].lower()
-    run = 1
-    while i + run < len(span) and span[i + run].lower() == ch:
-        run += 1
-    point = ord(ch[0])
-    s = int(SYMBOL[point]) if point < 1 << 16 else OTHER * ch.isalpha()
-    if s:
-        out = [(1, (s,), 0.0)]
-        if run > 1:
-            out.append((run, (s,), REPEAT))
-        if run > 2:
-            out.append((run, (s, s), 2 * REPEAT))
-        return out
-    if ch not in LEET:
-        run = 1
-        while i + run < len(span) and _between(span[i + run]):
-            run += 1
-        # between short fragments a break is odd; beside a longer one it is plain text
-        return [(run, (0,), BREAK if _short(span, i - 1, -1) and _short(span, i + run, 1) else 0.0), (run, (), DROP)]
-    out = [(1, (0,), BREAK if ch == "*" else KEEP)]
-    if plain and ch in TRAILS and _outer(span, i, 1, TRAILS):
-        out = [(run, (0,), TRAIL)]
-    elif plain and ch in LEADS and _outer(span, i, -1, LEADS):
-        out = [(run, (0,), LEAD)]
-    if ch == "*":
-        out.append((1, (), DROP))
-    for c in LEET.get(ch, ""):
-        x = ord(c) - 96
-        cost = SUB + math.log(len(LEET[ch]))
-        out.append((1, (x,), cost))
-        if run > 1:
-            out += [(run, (x,), cost + REPEAT), (run, (x, x), cost + REPEAT)]
-    return out
-
-
 def _between(ch: str) -> bool:
     return not (KIND[ord(ch)] if ord(ch) < 1 << 16 else ch.isalpha())
 
 
-def _short(span: str, i: int, way: int) -> bool:
-    """Whether at most SHORT letters and signs stand from position i on."""
-    n = 0
-    while 0 <= i < len(span) and n <= SHORT and not _between(span[i]):
-        n, i = n + 1, i + way
-    return n <= SHORT
+class Lattice:
+    """Steps through a span; what they ask of their surroundings is found in two sweeps over it.
+
+    ``plain``: signs around a token may be its punctuation or its number at a lower cost.
+    """
+
+    def __init__(self, span: str, plain: bool = True):
+        n = len(span)
+        self.plain = plain
+        self.low = [c.lower() for c in span]
+        apart = [_between(c) for c in span]
+        self.run, self.gap = [1] * (n + 1), [0] * (n + 2)      # equal characters, and no letter or sign, from here on
+        right, self.trail = [0] * (n + 2), [True] * (n + 1)    # letters and signs; only TRAILS up to the token's end
+        for i in range(n - 1, -1, -1):
+            if i + 1 < n and self.low[i] == self.low[i + 1]:
+                self.run[i] = self.run[i + 1] + 1
+            if apart[i]:
+                self.gap[i] = self.gap[i + 1] + 1
+            else:
+                right[i] = right[i + 1] + 1
+            self.trail[i] = span[i].isspace() or (span[i] in TRAILS and self.trail[i + 1])
+        left, self.lead = [0] * (n + 1), [True] * (n + 1)      # of what ends before here
+        for i in range(n):
+            left[i + 1] = 0 if apart[i] else left[i] + 1
+            self.lead[i + 1] = span[i].isspace() or (span[i] in LEADS and self.lead[i])
+        self.left, self.right = left, right
+
+    def steps(self, i: int) -> list[tuple[int, tuple[int, ...], float]]:
+        """Steps from position i: (characters used, symbols said, cost)."""
+        ch, run = self.low[i], self.run[i]
+        point = ord(ch[0])
+        s = SYMBOLS[point] if point < 1 << 16 else OTHER * ch.isalpha()
+        if s:
+            out = [(1, (s,), 0.0)]
+            if run > 1:
+                out.append((run, (s,), REPEAT))
+            if run > 2:
+                out.append((run, (s, s), 2 * REPEAT))
+            return out
+        if ch not in LEET:
+            run = 1 + self.gap[i + 1]
+            # between short fragments a break is odd; beside a longer one it is plain text
+            odd = self.left[i] <= SHORT and self.right[i + run] <= SHORT
+            return [(run, (0,), BREAK if odd else 0.0), (run, (), DROP)]
+        out = [(1, (0,), BREAK if ch == "*" else KEEP)]
+        if self.plain and ch in TRAILS and self.trail[i]:
+            out = [(run, (0,), TRAIL)]
+        elif self.plain and ch in LEADS and self.lead[i + 1]:
+            out = [(run, (0,), LEAD)]
+        if ch == "*":
+            out.append((1, (), DROP))
+        for c in LEET.get(ch, ""):
+            x = ord(c) - 96
+            cost = SUB + LEET_COST[ch]
+            out.append((1, (x,), cost))
+            if run > 1:
+                out += [(run, (x,), cost + REPEAT), (run, (x, x), cost + REPEAT)]
+        return out
 
 
-def _outer(span: str, i: int, way: int, signs: str) -> bool:
-    """Whether only these signs stand from position i to that end of the span's token."""
-    while 0 <= i < len(span) and not span[i].isspace():
-        if span[i] not in signs:
-            return False
-        i += way
-    return True
+LEET_COST = {ch: math.log(len(letters)) for ch, letters in LEET.items()}
+SETTLE = 4096  # positions after which what all paths share is written out
 
 
 def decode(span: str, model: list[float], keep: bool = False, plain: bool = True) -> str:
@@ -245,29 +255,47 @@ def decode(span: str, model: list[float], keep: bool = False, plain: bool = True
     With ``keep``, a character that is said unchanged is written as it stands.
 
     Viterbi over (position, last two symbols); the work per character is
-    bounded by the number of symbol pairs that its lattice allows.
+    bounded by the number of symbol pairs that its lattice allows. Every
+    ``SETTLE`` positions the part that all open paths have in common is
+    written out, so a long span holds no more than the part still open.
     """
     n = len(span)
-    at: list[dict] = [{} for _ in range(n + 1)]
-    at[0][(0, 0)] = (0.0, None, None, ())
+    lattice = Lattice(span, plain)
+    at: dict[int, dict] = {0: {0: (0.0, None, 0, ())}}  # by position; a state is first symbol * K + second
+    out, settled, check = [], (0, 0), SETTLE
     for i in range(n):
-        if not at[i]:
+        here = at.get(i)
+        if not here:
             continue
-        for step, said, cost in _edges(span, i, plain):
-            to = at[i + step]
-            for state, before in at[i].items():
-                a, b = state
-                total = before[0] + cost
+        if i >= check:
+            settled = _settle(span, at, i, settled, keep, out)
+            check = i + SETTLE
+        for step, said, cost in lattice.steps(i):
+            to = at.get(i + step)
+            if to is None:
+                to = at[i + step] = {}
+            for state, before in here.items():
+                total, end = before[0] + cost, state
                 for s in said:
-                    if s or b:  # runs of non-letters count once
-                        total -= model[(a * K + b) * K + s]
-                        a, b = b, s
-                old = to.get((a, b))
+                    if s or end % K:  # runs of non-letters count once
+                        end = end * K + s
+                        total -= model[end]
+                        end %= PAIRS
+                old = to.get(end)
                 if old is None or total < old[0]:
-                    to[(a, b)] = (total, i, state, said)
-    end = lambda kv: kv[1][0] - (model[(kv[0][0] * K + kv[0][1]) * K] if kv[0][1] else 0.0)
-    state, i, out = min(at[n].items(), key=end)[0], n, []
-    while i:
+                    to[end] = (total, i, state, said)
+    last = min(at[n].items(), key=lambda kv: kv[1][0] - (model[kv[0] * K] if kv[0] % K else 0.0))[0]
+    out += _written(span, at, n, last, settled[0], keep)
+    return "".join(out)
+
+
+PAIRS = K * K
+
+
+def _written(span: str, at: dict[int, dict], i: int, state: int, stop: int, keep: bool) -> list[str]:
+    """What the path into this state says from position ``stop`` on."""
+    out = []
+    while i > stop:
         _, back, before, said = at[i][state]
         if keep and said and said[0] == 0:
             out.append(span[back:i])
@@ -276,7 +304,28 @@ def decode(span: str, model: list[float], keep: bool = False, plain: bool = True
         else:
             out.append("".join(" " if s == 0 else chr(s + 96) if s < OTHER else span[back] for s in said))
         i, state = back, before
-    return "".join(reversed(out))
+    return out[::-1]
+
+
+def _settle(span: str, at: dict[int, dict], i: int, settled: tuple[int, int], keep: bool,
+            out: list[str]) -> tuple[int, int]:
+    """Write out what all paths open at position i share, and forget it; returns where that ends."""
+    open_ends = [(j, state) for j, states in at.items() if j >= i for state in states]
+    path = set()
+    j, state = open_ends[0]
+    while j > settled[0]:
+        path.add((j, state))
+        _, j, state = at[j][state][:3]
+    path.add((j, state))
+    common = open_ends[0]
+    for j, state in open_ends:
+        while (j, state) not in path:
+            _, j, state = at[j][state][:3]
+        common = min(common, (j, state))
+    out += _written(span, at, *common, settled[0], keep)
+    for j in [j for j in at if j < common[0]]:
+        del at[j]
+    return common
 
 
 class Restorer:
@@ -307,7 +356,7 @@ class Restorer:
     def _undouble(self, word: str) -> str:
         """decode() of a word whose only choices are doubled letters, each one apart from the others."""
         model, low = self.model, word.lower()
-        s = [0, *(int(SYMBOL[p]) for p in _points(word)), 0]  # s[i + 1] is the symbol of i
+        s = [0, *[SYMBOLS[min(ord(c), 0xFFFF)] for c in word], 0]  # s[i + 1] is the symbol of i
         out = [word[0]]
         for i in range(1, len(word)):
             if low[i] == low[i - 1]:
@@ -317,16 +366,18 @@ class Restorer:
             out.append(word[i])
         return "".join(out)
 
-    def read(self, text: str) -> tuple[str, list[str], list[str]]:
+    def read(self, text: str, points: np.ndarray | None = None) -> tuple[str, list[str], list[str]]:
         """The restored text, the spans that were replaced in it, and other readings of spans."""
         out, spans, others, done = [], [], [], 0
-        for a, b in suspicious(text, self.array):
-            got, other = self.span(text[a:b])
+        known, span = self.known, self.span
+        for a, b in suspicious(text, self.array, points):
+            own = text[a:b]
+            got, other = known.get(own) or span(own)
             if other != got:
                 others.append(other)
-            if got != text[a:b]:
+            if got != own:
                 out += [text[done:a], got]
-                spans.append(text[a:b])
+                spans.append(own)
                 done = b
         return "".join([*out, text[done:]]), spans, others
 
@@ -343,10 +394,14 @@ PREFIXES = (4, 5, 6, 7, 8)
 def fold(text: str) -> str:
     """Lower case, letters of a-z without their accents, as a decoded sign says them; other letters stay."""
     text = text.lower()
-    return text if text.isascii() else unicodedata.normalize("NFC", text).translate(BARE)
+    if text.isascii():
+        return text
+    c = np.frombuffer(unicodedata.normalize("NFC", text).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(c < 1 << 16, BARE[np.minimum(c, 0xFFFF)], c).tobytes().decode("utf-32-le", "surrogatepass")
 
 
-BARE = {c: chr(int(s) + 96) for c, s in enumerate(SYMBOL) if 0 < s < OTHER and c > 127}
+BARE = np.where((0 < SYMBOL) & (SYMBOL < OTHER) & (np.arange(1 << 16) > 127), SYMBOL + 96,
+                np.arange(1 << 16)).astype(np.uint32)
 
 
 def word_features(text: str) -> set[str]:
@@ -381,14 +436,15 @@ def joinable(features: Iterable[str]) -> ahocorasick.Automaton | None:
     return out
 
 
-def split_words(text: str, features: ahocorasick.Automaton | None) -> list[tuple[int, int]]:
+def split_words(text: str, features: ahocorasick.Automaton | None,
+                points: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Spans of two or more fragments whose letters and signs may say a feature; the decoder decides.
 
     A span begins with a fragment; it ends with one, or has the rest of the last one if a word said is a beginning too.
     """
     if features is None:
         return []
-    points = _points(text)
+    points = _points(text) if points is None else points
     says = SAYS[points]
     unit = np.flatnonzero(says)
     if not len(unit):
@@ -396,7 +452,7 @@ def split_words(text: str, features: ahocorasick.Automaton | None) -> list[tuple
     c = says[unit]
     new = np.concatenate([[True], c[1:] != c[:-1]])
     group = np.cumsum(new) - 1
-    letter = np.concatenate([[False], (KIND[points] & 1).astype(bool), [False]])
+    letter = np.concatenate([[False], KIND[points] == 1, [False]])
     first, last = np.full(group[-1] + 1, -1), np.full(group[-1] + 1, -1)
     at = np.flatnonzero(~letter[unit])          # no letter before it
     first[group[at]] = unit[at]
@@ -454,16 +510,18 @@ class Scorer:
                 out.add(word + " ")
         return out
 
-    def joined(self, text: str) -> set[str]:
+    def joined(self, text: str, points: np.ndarray | None = None) -> set[str]:
         """The features that fragments of the text say."""
-        said = [w for a, b in split_words(text, self.apart) for w in self.restorer.span(text[a:b])]
+        said = [w for a, b in split_words(text, self.apart, points) for w in self.restorer.span(text[a:b])]
         return self.found(" ".join(said)) - self.model.plain if said else set()
 
     def score(self, text: str | None) -> float:
         """1 minus the product of the features' clean probabilities; the base rate when none is there."""
-        restored, spans, others = self.restorer.read(text or "")
+        text = text or ""
+        points = _points(text)
+        restored, spans, others = self.restorer.read(text, points)
         found = self.found(restored)
-        found |= self.joined(text or "")
+        found |= self.joined(text, points)
         if spans or others:
             found |= self.found(" ".join([*spans, *others]))
         if not found:
@@ -594,15 +652,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 8_000, max_clean: i
     return model
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-          carry: Iterable[str] = ()) -> DataFrame:
-    """id, score double, predicted int (score >= 0.5) and the columns to ``carry``, for each row.
+ROWS = 512  # rows of a batch that are scored and passed on at once
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, score double and predicted int (score >= 0.5) for each row.
 
     Null and empty texts hold no feature and get the base rate. Rows are
     independent; an empty table stays empty.
     """
-    carry = list(carry)
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_t"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(carry)])
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("_t"))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 28**3 numbers and at most ``features`` words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -610,20 +669,32 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for b in batches:
             s = [scorer.score(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32()),
-                 *b.columns[2:]], [id_col, "score", "predicted", *b.schema.names[2:]])
+                [b.column(0), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32())],
+                [id_col, "score", "predicted"])
 
-    kinds = "".join(f", `_{i}` {rows.schema[f'_{i}'].dataType.simpleString()}" for i, _ in enumerate(carry))
-    out = rows.mapInArrow(run, f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, score double, "
-                               f"predicted int{kinds}")
-    return out.select(id_col, "score", "predicted", *[F.col(f"_{i}").alias(c) for i, c in enumerate(carry)])
+    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, score double, "
+                                f"predicted int")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows predicted toxic by a model fitted on the training folds of ``labels``."""
+    """``docs`` without the rows predicted toxic by a model fitted on the training folds of ``labels``.
+
+    Rows pass through the workers once, with the columns that they have (whatever their names), and come back
+    in slices of ``ROWS``, so that no task holds a second copy of a large batch. Null and empty texts stay;
+    an empty table stays empty; a text of any length is scored whole.
+    """
     model = fit(docs, training(labels, id_col), id_col=id_col, text_col=text_col)
-    kept = score(docs, model, id_col, text_col, carry=[c for c in docs.columns if c != id_col])
-    return kept.where("predicted = 0").select(*docs.columns)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    text = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(sent.value)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
+                yield b.filter(pa.array([scorer.score(t.as_py()) < 0.5 for t in b.column(text)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def training(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -1,7 +1,9 @@
+import math
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import toxicity as tox
 
@@ -39,6 +41,71 @@ def test_language_model_counts(spark):
     assert np.allclose(tox.language_model(docs), tox.log_model(2.0 * counts))
 
 
+def edges(span, i, plain=True):
+    """The steps of a lattice by their definition, looking around from each position anew."""
+    def short(i, way):
+        n = 0
+        while 0 <= i < len(span) and n <= tox.SHORT and not tox._between(span[i]):
+            n, i = n + 1, i + way
+        return n <= tox.SHORT
+
+    def outer(i, way, signs):
+        while 0 <= i < len(span) and not span[i].isspace():
+            if span[i] not in signs:
+                return False
+            i += way
+        return True
+
+    ch, run = span[i].lower(), 1
+    while i + run < len(span) and span[i + run].lower() == ch:
+        run += 1
+    s = int(tox.SYMBOL[ord(ch[0])]) if ord(ch[0]) < 1 << 16 else tox.OTHER * ch.isalpha()
+    if s:
+        return [(1, (s,), 0.0), *[(run, (s,), tox.REPEAT)] * (run > 1), *[(run, (s, s), 2 * tox.REPEAT)] * (run > 2)]
+    if ch not in tox.LEET:
+        run = 1
+        while i + run < len(span) and tox._between(span[i + run]):
+            run += 1
+        return [(run, (0,), tox.BREAK if short(i - 1, -1) and short(i + run, 1) else 0.0), (run, (), tox.DROP)]
+    out = [(1, (0,), tox.BREAK if ch == "*" else tox.KEEP)]
+    if plain and ch in tox.TRAILS and outer(i, 1, tox.TRAILS):
+        out = [(run, (0,), tox.TRAIL)]
+    elif plain and ch in tox.LEADS and outer(i, -1, tox.LEADS):
+        out = [(run, (0,), tox.LEAD)]
+    out += [(1, (), tox.DROP)] * (ch == "*")
+    for c in tox.LEET[ch]:
+        cost = tox.SUB + math.log(len(tox.LEET[ch]))
+        out.append((1, (ord(c) - 96,), cost))
+        if run > 1:
+            out += [(run, (ord(c) - 96,), cost + tox.REPEAT), (run, (ord(c) - 96,) * 2, cost + tox.REPEAT)]
+    return out
+
+
+def test_lattice_steps_follow_their_definition():
+    rng = random.Random(9)
+    for _ in range(400):
+        span = "".join(rng.choices("aabB01!!$**. \téİ日𝒳-", k=rng.randint(1, 14)))
+        for plain in (True, False):
+            lattice = tox.Lattice(span, plain)
+            assert [lattice.steps(i) for i in range(len(span))] == [edges(span, i, plain) for i in range(len(span))]
+
+
+def test_long_spans_are_settled_in_parts(monkeypatch):
+    rng = random.Random(10)
+    model = np.log(np.random.default_rng(1).dirichlet(np.ones(tox.K), tox.K * tox.K)).ravel().tolist()
+    spans = ["".join(rng.choices("aabbcd01!$*. -é", k=rng.randint(1, 120))) for _ in range(150)]
+    whole = [(tox.decode(s, model), tox.decode(s, model, True)) for s in spans]
+    monkeypatch.setattr(tox, "SETTLE", 3)
+    assert [(tox.decode(s, model), tox.decode(s, model, True)) for s in spans] == whole
+
+
+@pytest.mark.parametrize("text", ["i d i o t " * 20_000, "a" * 200_000, "!" * 100_000 + "a", "1d10t" * 20_000,
+                                  "s-c*u  m" * 20_000])
+def test_very_long_spans(model, text):
+    scorer = tox.Scorer(model)
+    assert 0 <= scorer.score(text) <= 1
+
+
 def brute_decode(span, model):
     """Every path through the lattice."""
     best = (float("inf"), "")
@@ -49,7 +116,7 @@ def brute_decode(span, model):
             end = cost - (model[(a * tox.K + b) * tox.K] if b else 0.0)
             best = min(best, (end, text))
             continue
-        for step, said, c in tox._edges(span, i):
+        for step, said, c in edges(span, i):
             x, y, total, t = a, b, cost + c, text
             for s in said:
                 if not (s == 0 and y == 0):
@@ -212,3 +279,18 @@ def test_fragments_common_in_clean_text_are_not_joined(spark):
     scorer = tox.Scorer(tox.fit(docs, labels))
     assert scorer.score("the garden and stone walks") >= 0.5
     assert scorer.score("the garden and sto ne walks") < 0.5
+
+
+def test_drop_toxic_keeps_columns_whatever_their_names(spark):
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, rng.choice(BAD) if i % 4 == 0 else None), i / 2, [i]) for i in range(400)]
+    rows += [(None, None, None, None), (1000, "", 0.5, []), (1001, sentence(rng), 0.1, None)] + [rows[4], rows[5]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score double, predicted array<int>").withColumns(
+        {"_t": F.col("doc_id"), "_0": F.lit("x"), "id": F.lit(1)})
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id bigint, toxic int")
+    out = tox.drop_toxic(docs, labels)
+    assert out.schema == docs.schema
+    got = sorted(map(str, out.collect()))
+    toxic = {i for i in range(400) if i % 4 == 0}
+    assert got == sorted(str(r) for r in docs.collect() if r.doc_id not in toxic)
+    assert tox.drop_toxic(docs.limit(0), labels).count() == 0
