@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.session import shared_dir
@@ -32,6 +32,22 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """``more`` and the whole row as one struct ``row``, so that no name of ours meets one of the input."""
+    return df.select(*more, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def one_row_per_key(docs: DataFrame, key: Column, keep: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each ``key`` that ``keep`` (a column ``k``) holds, with the columns of ``docs``.
+
+    Rows are numbered before the join: the limit runs below the exchange, so a
+    key that a third of all rows repeat sends one row per task.
+    """
+    numbered = packed(docs, key.alias("k")).withColumn(
+        "n", F.row_number().over(Window.partitionBy("k").orderBy("k"))).where("n = 1")
+    return numbered.join(keep, "k", "left_semi").select("row.*")
+
+
 def crc_bucket(id_col: Column, n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(n)

@@ -9,10 +9,10 @@ that only identifier lists move.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import cut, one_row_per_key
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 
@@ -72,7 +72,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     one space; null counts as empty. The smallest id of a group stays (null
     ids are larger than any other; if all are null keep_id is null and ``kept``
     is true for each of them). Rows that repeat the kept id are all marked
-    kept: the operator decides by id. An empty table gives no rows.
+    kept: the operator decides by id. Texts of any length are read whole; a row
+    holds 32 bytes per chunk of 512 to 4,096 characters. An empty table gives
+    no rows.
     """
     rows = cut(recipes(docs, id_col, text_col))
     groups = rows.groupBy("recipe").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -86,13 +88,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text repeats that of a smaller id; ids that repeat are kept once.
 
-    Of rows that share both text and id one stays. Columns are those of ``docs``.
+    Of rows that share both text and id one stays. Columns are those of ``docs``, whatever their names. Null
+    texts count as empty, a null id as larger than any other. Texts of any length are compared whole, by the
+    identifiers of their chunks. An empty table stays empty.
     """
     key = lambda i, sha: F.concat_ws("|", sha, F.coalesce(i.cast("string"), F.lit("~")))
     keep = (exact_groups(docs, id_col, text_col).where("kept")
-            .select(key(F.col(id_col), F.col("text_sha256")).alias("_key")).distinct())
+            .select(key(F.col(id_col), F.col("text_sha256")).alias("k")).distinct())
     sha = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
-    # one exchange of the texts serves the semi join and the numbering of rows that repeat an id
-    same = Window.partitionBy("_key").orderBy("_key")
-    return (docs.withColumn("_key", key(F.col(id_col), sha)).join(keep, "_key", "left_semi")
-            .withColumn("_n", F.row_number().over(same)).where("_n = 1").select(*docs.columns))
+    return one_row_per_key(docs, key(F.col(id_col), sha), keep)

@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import packed
+
 PIECE = 8.0             # a larger mean is the sum of independent pieces of at most this mean
 TERMS = 64              # terms of one piece's distribution; the mass beyond is below 2**-52
 MAX_BROADCAST = 10_000  # rates of up to this many sources are broadcast
@@ -89,21 +91,26 @@ def _running(terms: Column) -> Column:
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, default: float = 1.0, size: float = 1.0,
         seed: int = 42, partitions: int | None = None, keep_rate: bool = False,
-        id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """The mixture: each row once per copy, with ``copy`` (from 1), globally shuffled.
+        id_col: str = "doc_id", source_col: str = "source", copy_col: str | None = "copy") -> DataFrame:
+    """The mixture: each row once per copy, with its number (from 1) as ``copy_col``, globally shuffled.
 
     The shuffle deals rows by a hash of seed, id and copy and sorts each
     partition by that hash, which is a random order over the whole output in
-    one exchange. ``keep_rate`` leaves ``_rate`` and ``_copies`` in. ``copy`` and ``_``-columns of the input are replaced. Null
-    ids hash as one fixed text; an empty table stays empty.
+    one exchange. ``keep_rate`` adds ``_rate`` and ``_copies``; ``copy_col=None``
+    adds no number. Columns of the input keep their names and values, but for
+    one that has the name of a column added, which gives way. Null ids hash as
+    one fixed text; texts of any length move with their row; an empty table
+    stays empty.
     """
-    docs = docs.drop("copy", "_rate", "_copies", "_s", "_u", "_cdf", "_pieces")
-    out = (with_copies(docs, weights, default, size, seed, id_col, source_col)
+    rows = packed(docs, F.col(id_col).alias("id"), F.col(source_col).alias("source"))
+    out = (with_copies(rows, weights, default, size, seed, "id", "source")
            .where(F.col("_copies") > 0)
            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-           .withColumn("_order", F.md5(F.concat_ws("|", F.lit(f"order {seed}"),
-                                                   F.coalesce(F.col(id_col).cast("string"), F.lit("~")),
-                                                   F.col("copy").cast("string")).cast("binary"))))
-    out = out.repartition(partitions, "_order") if partitions else out.repartition("_order")
-    out = out.sortWithinPartitions("_order").drop("_order")
-    return out if keep_rate else out.drop("_rate", "_copies")
+           .withColumn("order", F.md5(F.concat_ws("|", F.lit(f"order {seed}"),
+                                                  F.coalesce(F.col("id").cast("string"), F.lit("~")),
+                                                  F.col("copy").cast("string")).cast("binary"))))
+    out = out.repartition(partitions, "order") if partitions else out.repartition("order")
+    added = {**({copy_col: "copy"} if copy_col else {}), **({"_rate": "_rate", "_copies": "_copies"} if keep_rate else {})}
+    return (out.sortWithinPartitions("order")
+            .select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added],
+                    *[F.col(own).alias(name) for name, own in added.items()]))

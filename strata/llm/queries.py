@@ -14,8 +14,8 @@ from strata.llm.common import WS, crc_bucket, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
-# Production mixture: a few sources weighted up or down, every other source at weight 1.
-MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5, "src3": 0.0}
+# Production mixture: a few sources weighted up or down, every other source at weight 1; no source is left out.
+MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5, "src3": 0.25}
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,10 +32,12 @@ def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per copy: doc_id, source, copy, rate, copies."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    out = mix.mix(docs, MIX_WEIGHTS, keep_rate=True)
-    return out.select("doc_id", "source", "copy", F.col("_copies").alias("copies"))
+    """One row per copy of a whole document: doc_id, lang, source, n_chars, copy, copies, and the SHA-256 of the
+    text that the shuffle brought."""
+    out = mix.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, keep_rate=True)
+    return out.select(
+        "doc_id", "lang", "source", "n_chars", "copy", F.col("_copies").alias("copies"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,13 +124,15 @@ terms AS (SELECT source, m, k, exp(-rate / m) * pow(rate / m, k) / gamma(k + 1)
           FROM pieces, (SELECT unnest(range(0, {mix.TERMS})) AS k)),
 cdf AS (SELECT source, m, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS p FROM terms),
 lists AS (SELECT source, m, list(p ORDER BY k) AS ps FROM cdf GROUP BY source, m),
-draws AS (SELECT d.doc_id, d.source, s.ps, unnest(range(1, s.m + 1)) AS j
+draws AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, sha256(coalesce(d.text, '')) AS text_sha256, s.ps,
+                 unnest(range(1, s.m + 1)) AS j
           FROM documents d JOIN lists s ON d.source IS NOT DISTINCT FROM s.source),
-numbers AS (SELECT doc_id, source, ps,
+numbers AS (SELECT doc_id, lang, source, n_chars, text_sha256, ps,
             CAST(('0x' || substr(md5('42|' || doc_id || '|' || j), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u FROM draws),
-copies AS (SELECT doc_id, source, CAST(sum(len(list_filter(ps, lambda p: p <= u))) AS BIGINT) AS copies
-           FROM numbers GROUP BY doc_id, source)
-SELECT doc_id, source, unnest(range(1, copies + 1)) AS copy, copies FROM copies
+copies AS (SELECT doc_id, lang, source, n_chars, text_sha256,
+                  CAST(sum(len(list_filter(ps, lambda p: p <= u))) AS BIGINT) AS copies
+           FROM numbers GROUP BY ALL)
+SELECT doc_id, lang, source, n_chars, text_sha256, unnest(range(1, copies + 1)) AS copy, copies FROM copies
 """
 
 OP9_SQL = r"""
@@ -175,7 +179,8 @@ nodes AS (SELECT seq[1:depth] AS k, depth, min(conv_id) AS conv_id, count(*) AS
                  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(seq) = depth), '') AS ends
           FROM members GROUP BY ALL),
 words AS (SELECT DISTINCT length(role) || ':' || role || text AS turn,
-                 len(regexp_extract_all(text, '[^ 	-]+')) AS n FROM r),
+                 len(regexp_extract_all(text, '[^ 	-
+]+')) AS n FROM r),
 kids AS (SELECT k[1:depth - 1] AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
 full_nodes AS (SELECT a.*, coalesce(kids.n, 0) AS n_children, coalesce((a.n_convs - 1) * words.n, 0) AS own
           FROM nodes a LEFT JOIN kids ON a.k = kids.k LEFT JOIN words ON a.depth > 0 AND words.turn = a.k[a.depth]),

@@ -20,10 +20,10 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import cut, one_row_per_key
 from strata.llm.components import components, split_join
 
 SEED = 42
@@ -253,7 +253,8 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 2, id_col: str =
     Null and empty texts have fingerprint 0 and link like any other. Null ids
     are never the least unless a component has no other id. Equal fingerprints
     are one node, so a text that a third of all rows share is searched once.
-    An empty table gives no rows.
+    A text of any length counts whole: its shingles are hashed as they come, and
+    only 64 sums are kept. An empty table gives no rows.
     """
     if not 0 <= bits <= 6:
         raise ValueError("bits must be between 0 and 6")
@@ -279,15 +280,14 @@ def near_dedup(docs: DataFrame, shingle: int = 3, bits: int = 2, id_col: str = "
     """``docs`` with one row of each near-duplicate group: that of the least id.
 
     Of rows that repeat this id with the same text one stays; columns are
-    those of ``docs``.
+    those of ``docs``, whatever their names. Null and empty texts are near
+    each other; texts of any length count whole; an empty table stays empty.
     """
     key = lambda i, sha: F.concat_ws("|", sha, F.coalesce(i.cast("string"), F.lit("~")))
     keep = (near_groups(docs, shingle, bits, id_col, text_col)
             .where(F.col(id_col).eqNullSafe(F.col("component_id")))
-            .select(key(F.col(id_col), F.col("text_sha")).alias("_key"), "root"))
+            .select(key(F.col(id_col), F.col("text_sha")).alias("k"), "root"))
     # rows of one id and one component but of different texts: the least text digest stays
-    keep = keep.groupBy("root").agg(F.min("_key").alias("_key")).select("_key")
+    keep = keep.groupBy("root").agg(F.min("k").alias("k")).select("k")
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    same = Window.partitionBy("_key").orderBy("_key")
-    return (docs.withColumn("_key", key(F.col(id_col), sha)).join(keep, "_key", "left_semi")
-            .withColumn("_n", F.row_number().over(same)).where("_n = 1").select(*docs.columns))
+    return one_row_per_key(docs, key(F.col(id_col), sha), keep)
