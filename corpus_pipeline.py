@@ -34,7 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that sources come near their target weights, in random order."""
-    return mix.mix(docs, MIX_WEIGHTS).select(*docs.columns)
+    return mix.mix(docs, MIX_WEIGHTS, copy_col=None)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
