@@ -13,12 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import safe_cast
-
-_N = "__rows"
+from strata.operators.dedupe import ROWS
 
 
 def _long(df: DataFrame, table: str) -> DataFrame:
@@ -33,27 +32,31 @@ def count_metric(df: DataFrame, table: str, metric: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(metric)).transform(lambda d: _long(d, table))
 
 
+def raw_checks(null_cols: Sequence[str] = (), negative_cols: Sequence[str] = ()) -> dict[str, Column]:
+    """Conditions on a raw row by metric name: nulls, and negative numbers (text parsed as double)."""
+    return {**{f"null_{c}": F.col(c).isNull() for c in null_cols},
+            **{f"negative_{c}": safe_cast(c, "double") < 0 for c in negative_cols}}
+
+
+def profile_metrics(profile: DataFrame, table: str, checks: Sequence[str], keyed: bool) -> DataFrame:
+    """Metrics from rows per raw key value that hold ``__rows`` and a count per check."""
+    wide = profile.agg(
+        F.coalesce(F.sum(ROWS), F.lit(0)).alias("raw_rows"),
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in checks],
+        *[F.count_if(F.col(ROWS) > 1).alias("duplicate_key_groups")] * keyed,
+    )
+    return _long(wide, table)
+
+
 def raw_profile(df: DataFrame, table: str, key: Sequence[str] | None,
                 null_cols: Sequence[str] = (), negative_cols: Sequence[str] = (),
                 processed: DataFrame | None = None) -> DataFrame:
     """Raw rows, nulls per column, negative numbers (text parsed as double),
     number of key values occurring more than once (null is a value), and the
     processed row count."""
-    per_row = [F.count(F.lit(1)).alias(_N)]
-    per_row += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_cols]
-    per_row += [F.count_if(safe_cast(c, "double") < 0).alias(f"negative_{c}") for c in negative_cols]
-    names = [f"null_{c}" for c in null_cols] + [f"negative_{c}" for c in negative_cols]
-
-    if key:
-        per_key = df.groupBy(*key).agg(*per_row)
-        wide = per_key.agg(
-            F.coalesce(F.sum(_N), F.lit(0)).alias("raw_rows"),
-            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
-            F.count_if(F.col(_N) > 1).alias("duplicate_key_groups"),
-        )
-    else:
-        wide = df.agg(*per_row).withColumnRenamed(_N, "raw_rows")
-    out = _long(wide, table)
+    checks = raw_checks(null_cols, negative_cols)
+    per_row = [F.count(F.lit(1)).alias(ROWS), *[F.count_if(c).alias(n) for n, c in checks.items()]]
+    out = profile_metrics(df.groupBy(*key).agg(*per_row) if key else df.agg(*per_row), table, list(checks), bool(key))
     if processed is not None:
         out = out.unionByName(count_metric(processed, table, "processed_rows"))
     return out

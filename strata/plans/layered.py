@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import RunConfig
@@ -114,12 +115,18 @@ def run_layered(spark: SparkSession, raw: dict[str, DataFrame] | None, store: La
     the run are published together at its end; a run that fails leaves the
     tables of the last one.
     """
-    with store.begin(spark) as tables:
-        return _run_layers(spark, raw, store, tables, cfg, names, parallelism, layers)
+    held: list[DataFrame] = []
+    try:
+        with store.begin(spark) as tables:
+            return _run_layers(spark, raw, store, tables, cfg, names, parallelism, layers, held)
+    finally:
+        for df in held:
+            df.unpersist()
 
 
 def _run_layers(spark: SparkSession, raw: dict[str, DataFrame] | None, home: LayerStore, store: StoreRun,
-                cfg: RunConfig, names: Iterable[str] | None, parallelism: int, layers: Iterable[str]) -> LayeredRun:
+                cfg: RunConfig, names: Iterable[str] | None, parallelism: int, layers: Iterable[str],
+                held: list[DataFrame]) -> LayeredRun:
     cfg = pin_run_time(cfg)
     run = LayeredRun(home, cfg)
     names = list(names or PROCESS)
@@ -138,16 +145,19 @@ def _run_layers(spark: SparkSession, raw: dict[str, DataFrame] | None, home: Lay
     processed: dict[str, DataFrame] = {}
     curated: dict[str, DataFrame] = {}
     if "process" in layers:
-        processed = timed("process_layer", lambda: write_layer(
-            spark, store, PROCESSED, {n: PROCESS[n](raw[n], cfg) for n in names}, parallelism))
-        # one raw read per table gives all its metrics; counters in the process
-        # scan would keep its filters from the source, and tasks that run again
-        # would count twice
-        for n in names:
-            if n in RAW_CHECKS:
-                spec = RAW_CHECKS[n]
-                parts.append(quality.raw_profile(raw[n], n, spec["key"], spec["nulls"],
-                                                 spec.get("negatives", ()), processed=processed[n]))
+        # a checked table is read once: one exchange gives the rows that stay and the counts of all rows.
+        # Both wait on local disks of the executors for the run; a part that is lost is computed again.
+        checked = [n for n in names if n in RAW_CHECKS]
+        checks = {n: quality.raw_checks(RAW_CHECKS[n]["nulls"], RAW_CHECKS[n].get("negatives", ())) for n in checked}
+        profiles = {n: PROCESS[n].profiled(raw[n], checks[n], RAW_CHECKS[n]["key"]).persist(StorageLevel.DISK_ONLY)
+                    for n in checked}
+        held += profiles.values()
+        processed = timed("process_layer", lambda: write_layer(spark, store, PROCESSED, {
+            n: PROCESS[n].from_profile(profiles[n], cfg) if n in profiles else PROCESS[n](raw[n], cfg) for n in names},
+            parallelism))
+        for n in checked:
+            parts.append(quality.profile_metrics(profiles[n], n, list(checks[n]), RAW_CHECKS[n]["key"] is not None)
+                         .unionByName(quality.count_metric(processed[n], n, "processed_rows")))
     if "curate" in layers:
         source = processed or {n: store.read(spark, PROCESSED, n) for n in names}
         curated = timed("curate_layer", lambda: write_layer(

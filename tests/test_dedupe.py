@@ -2,9 +2,11 @@ import contextlib
 import io
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import keep_first
+from tests.conftest import SF_SMALL
 
 
 def _rows(df):
@@ -60,3 +62,46 @@ def test_plan_limits_rows_before_the_shuffle(spark):
 def test_table_of_only_its_key(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("b", None)], "k string, n int")
     assert sorted(map(tuple, keep_first(df, ["k", "n"]).collect()), key=str) == [("a", 1), ("b", None)]
+
+
+@pytest.mark.parametrize("name", ["orders", "order_items", "customers", "products"])
+def test_one_exchange_gives_survivors_and_counts(spark, cfg, name):
+    """Equal to the window dedupe and to the raw profile, over the dirty raw views."""
+    from strata.operators import quality
+    from strata.plans.layered import RAW_CHECKS
+    from strata.plans.process import PROCESS
+    from strata.sources.star_views import raw_view
+    raw, spec = raw_view(spark, SF_SMALL, name), RAW_CHECKS[name]
+    checks = quality.raw_checks(spec["nulls"], spec.get("negatives", ()))
+    profile = PROCESS[name].profiled(raw, checks, spec["key"])
+    got, want = PROCESS[name].from_profile(profile, cfg), PROCESS[name](raw, cfg)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    metrics = quality.profile_metrics(profile, name, list(checks), spec["key"] is not None)
+    assert sorted(map(tuple, metrics.collect())) == sorted(map(tuple, quality.raw_profile(
+        raw, name, spec["key"], spec["nulls"], spec.get("negatives", ())).collect()))
+    plan, source = (df._jdf.queryExecution().executedPlan().toString() for df in (profile, raw))
+    assert plan.count("hashpartitioning(__raw_") == plan.count("partial_min") == 1
+    assert plan.count("Exchange") == source.count("Exchange") + 1 and plan.count("FileScan") == source.count("FileScan")
+
+
+def test_survivors_with_nulls_invalid_rows_and_retyped_keys(spark, cfg):
+    from strata.operators import quality
+    from strata.plans.process import PROCESS
+    cols = "order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value".split(", ")
+    rows = [("o", "1", "p", "s", None, "2.0", "1"), ("o", "01", "p", "s", None, "1.0", "1"),   # one typed key
+            ("o", "1", "p", "s", "2020-01-01", "2.0", "1"), ("o", "x", "p", "s", None, "1", "1"),
+            ("o", None, "p", "s", None, "1", "1"), (None, "1", "p", "s", None, "-1", "-2"), (None, "1", None, "s", None, "-1", None),
+            ("q", "2", "p", "s", None, "NaN", "0"), ("q", "2", "p", "s", None, "5", "0"), ("q", "3", "p", "s", None, "bad", "0")]
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    checks = quality.raw_checks(("order_id", "product_id"), ("price", "freight_value"))
+    profile = PROCESS["order_items"].profiled(raw, checks)
+    got = PROCESS["order_items"].from_profile(profile, cfg)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, PROCESS["order_items"](raw, cfg).collect()))
+    assert sorted((r.order_id, r.order_item_id, r.price) for r in got.collect()) == [("o", 1, 2.0), ("q", 2, 5.0)]
+    m = {r.metric: r.value for r in quality.profile_metrics(profile, "t", list(checks), True).collect()}
+    assert m == {"raw_rows": 10, "null_order_id": 2, "null_product_id": 1, "negative_price": 2, "negative_freight_value": 1,
+                 "duplicate_key_groups": 3}
+    empty = PROCESS["order_items"].profiled(raw.limit(0), checks)
+    assert PROCESS["order_items"].from_profile(empty, cfg).count() == 0
+    assert {r.value for r in quality.profile_metrics(empty, "t", list(checks), True).collect()} == {0}
