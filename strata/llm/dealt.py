@@ -46,7 +46,7 @@ from strata.session import shared_dir
 UNIT_BYTES = 8 << 20      # text of one unit (a longer text is a unit of its own)
 BUCKET_BYTES = 16 << 20   # text for each bucket
 BLOCK = 1 << 20           # symbols hashed at a time
-HOT = 20_000              # segments under one anchor that may meet in one task
+HOT = 20_000              # segments under one anchor, equal ones of a unit counted once, that may meet in one task
 PLACE = np.uint64(BLOCK - 1)
 
 
@@ -67,14 +67,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
-    """A 64-bit hash of each run of k values."""
+def gram_hashes(values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of the values times powers, and a 64-bit hash of each run of k values."""
     if not _POWERS:
         _POWERS.extend(_powers())
     power, back = _POWERS
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * power[:len(values)], out=total[1:])
-    return mix((total[k:] - total[:-k]) * back[:len(values) - k + 1])
+    return total, mix((total[k:] - total[:-k]) * back[:len(values) - k + 1])
 
 
 def window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -112,12 +112,17 @@ class Unit:
     def __init__(self, number: int, kind: Kind, ids: list, texts: list):
         self.number, self.kind, self.ids = number, kind, ids
         self.docs = [kind.prepare((t or "").encode("utf-8")) for t in texts]
-        self.doc, self.first, self.last, self.hash = self._segments()
-        self.anchors, self.inverse, self.counts = np.unique(self.hash, return_inverse=True, return_counts=True)
-        self.several = self.counts > 1
+        self.doc, self.first, self.last, self.hash, self.content = self._segments()
+        self.anchors, self.inverse, counts = np.unique(self.hash, return_inverse=True, return_counts=True)
+        self.several = counts > 1
+        # how many different contents (by a hash) the unit would send under each anchor
+        order = np.lexsort((self.content, self.inverse))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(self.inverse[order]) != 0) | (self.content[order][1:] != self.content[order][:-1])
+        self.counts = np.bincount(self.inverse[order][new], minlength=len(self.anchors))
 
     def _segments(self) -> tuple[np.ndarray, ...]:
-        """Text number, first and last window start, and anchor hash of each segment."""
+        """Text number, first and last window start, anchor hash and content hash of each segment."""
         window, step = self.kind.window, BLOCK // 2
         pieces = [(d, at, min(step, len(doc) - window + 1 - at))
                   for d, doc in enumerate(self.docs) for at in range(0, len(doc) - window + 1, step)]
@@ -132,7 +137,7 @@ class Unit:
         if held:
             found.append(self._block(held))
         if not found:
-            return np.array([], np.int64), np.array([], np.int64), np.array([], np.int64), np.array([], np.uint64)
+            return (*(np.array([], np.int64) for _ in range(3)), *(np.array([], np.uint64) for _ in range(2)))
         return tuple(np.concatenate(c) for c in zip(*found))
 
     def _block(self, pieces: list[tuple[int, int, int]]) -> tuple[np.ndarray, ...]:
@@ -140,7 +145,7 @@ class Unit:
         d, at, n = (np.array(c) for c in zip(*pieces))
         values = np.concatenate([self.docs[i].values()[a:a + m + window - 1] for i, a, m in pieces])
         starts = np.cumsum(n + window - 1) - (n + window - 1)
-        hashes = gram_hashes(values, gram)
+        total, hashes = gram_hashes(values, gram)
         place = np.arange(len(hashes), dtype=np.uint64)
         # the leftmost of equals: the place breaks ties
         owner = (window_min((hashes & ~PLACE) | place, window - gram + 1) & PLACE).astype(np.int64)
@@ -150,7 +155,8 @@ class Unit:
         cuts = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(piece) != 0)) + 1
         a, b = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(own)]]) - 1
         shift = (at - starts)[piece[a]]
-        return d[piece[a]], own[a] + shift, own[b] + shift, hashes[anchor[a]]
+        content = mix((total[own[b] + window] - total[own[a]]) * _POWERS[1][own[a]]) + (own[b] - own[a]).astype(np.uint64)
+        return d[piece[a]], own[a] + shift, own[b] + shift, hashes[anchor[a]], content
 
     def _weigh(self, weights: list[int], e: int, d: int) -> None:
         """Note one more occurrence, in text ``d``, of the content numbered ``e``."""
@@ -219,17 +225,8 @@ def units(kind: Kind, batches: Iterator[pa.RecordBatch]) -> Iterator[Unit]:
         yield Unit(number, kind, ids, texts)
 
 
-def bucket_keys(spark: SparkSession, n: int) -> np.ndarray:
-    """A key for each of n buckets, such that repartitioning by it gives each bucket a partition of its own."""
-    ids = spark.range(16 * n + 64).select(F.col("id").cast("int").alias("k"))
-    rows = ids.groupBy(F.pmod(F.hash("k"), F.lit(n)).alias("p")).agg(F.min("k").alias("k")).collect()
-    keys = np.arange(n) + 16 * n + 64  # for a partition that no key met
-    keys[[r.p for r in rows]] = [r.k for r in rows]
-    return keys
-
-
-def _bucket(hashes: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    return buckets[(mix(hashes + np.uint64(0x632BE59BD9B4E019)) % np.uint64(len(buckets))).astype(np.int64)]
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(hashes + np.uint64(0x632BE59BD9B4E019)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -287,7 +284,7 @@ class Replies:
         return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
-def _met(unit: Unit, replies: Replies, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _met(unit: Unit, replies: Replies, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Of the unit's anchors: met and few enough to bring their segments together; hot."""
     met = np.zeros(len(unit.anchors), bool)
     hot = met.copy()
@@ -312,7 +309,7 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/dealt-{uuid.uuid4().hex}"
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = bucket_keys(spark, max(1, -(-total // BUCKET_BYTES)))
+    buckets = max(1, -(-total // BUCKET_BYTES))
 
     def announce(batches):
         task = TaskContext.get().partitionId()
@@ -334,10 +331,11 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
             for r, n, more in zip(rows, held, several):
                 n[more] = np.frombuffer(r["counts"], np.int64)
             _, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-            # how many segments of all units have the hash
+            # whether segments of several places have the hash, and how many would be sent under it
+            places = np.bincount(inverse, 1 + np.concatenate(several))
             counts = np.bincount(inverse, np.concatenate(held))
             at = np.cumsum([len(p) for p in parts])[:-1]
-            met, hot = np.split(counts[inverse] > 1, at), np.split(counts[inverse] > HOT, at)
+            met, hot = np.split(places[inverse] > 1, at), np.split(counts[inverse] > HOT, at)
             yield pa.RecordBatch.from_pylist(
                 [_reply(r, r["hashes"], np.concatenate([x, y])) for r, x, y in zip(rows, met, hot)], REPLY_SCHEMA)
 
@@ -424,7 +422,8 @@ def covered(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> tuple
                 runs[d] += [(a + x, a + y) for x, y in _runs(here)]
             yield finish(u, runs)
 
-    by_bucket = lambda df: df.repartition(len(buckets), "bucket").sortWithinPartitions("bucket", "task", "unit")
+    # a bucket is a partition of its own
+    by_bucket = lambda df: df.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "task", "unit")
     save = lambda df, name: df.repartition("task").write.partitionBy("task").parquet(f"{folder}/{name}")
     save(by_bucket(docs.mapInArrow(announce, "bucket int, task int, unit int, hashes binary, several binary, counts binary"))
          .mapInArrow(answer, REPLY), "met")

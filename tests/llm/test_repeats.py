@@ -134,7 +134,40 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("n", [1, 7, 52])
 def test_each_bucket_has_its_partition(spark, n):
     from pyspark.sql import functions as F
-    keys = dealt.bucket_keys(spark, n).tolist()
-    rows = (spark.createDataFrame([(k,) for k in keys], "bucket int").repartition(n, "bucket")
+    rows = (spark.createDataFrame([(k,) for k in range(n)], "bucket int").repartitionById(n, "bucket")
             .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert len(set(keys)) == rows == n
+    assert rows == n
+    hashes = np.arange(1000, dtype=np.uint64) * np.uint64(2654435761)
+    assert set(dealt._bucket(hashes, n).tolist()) == set(range(n))
+
+
+def test_hot_is_what_would_be_sent(spark):
+    """Copies within a unit are one content: an anchor is hot by the segments that units would send under it."""
+    text = "".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz ", k=200))
+    unit = dealt.Unit(0, suffix_kind(), list(range(500)), [text] * 500)
+    assert unit.several.all() and (unit.counts == 1).all()
+    other = [f"{text} and {i} own words that follow it here" for i in range(500)]
+    assert dealt.Unit(0, suffix_kind(), list(range(500)), other).counts.max() == 500
+
+
+def suffix_kind():
+    return dealt.Kind(40, 10, suffix.Text, suffix.resolve, False)
+
+
+def test_planted_passages_by_byte_length(spark):
+    """400 bytes and more are removed, every byte of them and no other; 399 bytes and less stay."""
+    rng = random.Random(12)
+    filler = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    lengths = [50, 200, 390, 398, 399, 400, 401, 402, 450, 800, 5000]
+    rows, want = [], {}
+    for k, n in enumerate(lengths):
+        passage = f"{k:02d}" + filler(n - 2)
+        for copy in range(3):
+            # the bytes around the copies differ, so the repeat is not longer than the passage
+            rows.append((10 * k + copy, filler(300) + "ABC"[copy] + passage + "XYZ"[copy] + filler(300)))
+            want[10 * k + copy] = (n if n >= 400 else 0, int(n >= 400))
+    rows.append((999, filler(2000)))
+    want[999] = (0, 0)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4, "doc_id")
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix.repeated_bytes(docs).collect()}
+    assert got == want
