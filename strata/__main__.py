@@ -26,7 +26,7 @@ from strata.plans.layered import LAYER_JOB_PARALLELISM, LAYERS, run_layered
 from strata.specs import ENTITIES
 from strata.session import build_session
 from strata.sources.csv import read_raw_drop
-from strata.sources.layers import LayerStore
+from strata.sources.layers import BY_ORDER, LayerStore
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -45,6 +45,10 @@ def main(argv: list[str] | None = None) -> None:
                    help="comma-separated subset of process,curate,marts; others are read from the warehouse")
     p.add_argument("--tables", default=",".join(ENTITIES),
                    help="comma-separated entities for the process / curate layers")
+    p.add_argument("--buckets", type=int, default=0,
+                   help="write curated orders, order_items and reviews in this many buckets by order_id "
+                        "(not for drops in which one order holds much of the rows)")
+    p.add_argument("--balance", action="store_true", help="split hot and merge small partitions before each write")
     a = p.parse_args(argv)
     layers = [x for x in a.layers.split(",") if x]
     if "process" in layers and not a.drop:
@@ -53,7 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(app_name="strata-layered-run")
     cfg = RunConfig(record_source=a.record_source, load_ts=a.load_ts, as_of=a.as_of)
     raw = read_raw_drop(spark, a.drop) if "process" in layers else None
-    run = run_layered(spark, raw, LayerStore(a.warehouse), cfg,
+    store = LayerStore(a.warehouse, buckets=BY_ORDER, n_buckets=a.buckets, balance=a.balance)
+    run = run_layered(spark, raw, store, cfg,
                       names=[x for x in a.tables.split(",") if x],
                       parallelism=a.parallelism, layers=layers)
     print(json.dumps({"warehouse": a.warehouse, "load_ts": str(run.cfg.load_ts),

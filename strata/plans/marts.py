@@ -22,13 +22,14 @@ Plan choices (same results as joining everything first, fewer/lighter shuffles):
 
 Curated tables are unique on their keys, so the marts' own "dedupe before
 join" of orders / items / sellers / customers is a no-op on them and is only
-run with ``dedupe_inputs=True`` (for inputs of unknown shape). The reviews
+run with ``dedupe_inputs=True`` (for inputs of unknown shape), as is their
+trimming of ids and texts. The reviews
 side is *not* unique per order and is always reduced to one review per order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import CURATED_PREFIX, RunConfig
@@ -43,14 +44,15 @@ def _lineage(mart: str, cfg: RunConfig):
     return lineage(f"{CURATED_PREFIX}.{mart}", cfg)
 
 
-def latest_review_per_order(reviews: DataFrame) -> DataFrame:
+def _ids(trim: bool, *cols: str) -> list[Column]:
+    """Id and text columns. The curated layer has trimmed them: as they are, they keep the buckets of a bucketed
+    table, and joins on them need no exchange."""
+    return [trim_text(c).alias(c) if trim else F.col(c) for c in cols]
+
+
+def latest_review_per_order(reviews: DataFrame, trim: bool = False) -> DataFrame:
     """One review per order: latest answer first, then highest review id."""
-    r = reviews.select(
-        trim_text("order_id").alias("order_id"),
-        F.col("review_score"),
-        F.col("review_answer_timestamp"),
-        trim_text("review_id").alias("review_id"),
-    )
+    r = reviews.select(*_ids(trim, "order_id", "review_id"), "review_score", "review_answer_timestamp")
     r = keep_first(r, ["order_id"], order=[
         F.col("review_answer_timestamp").desc_nulls_last(),
         F.col("review_id").desc_nulls_last(),
@@ -62,20 +64,15 @@ def latest_review_per_order(reviews: DataFrame) -> DataFrame:
 def seller_performance(orders: DataFrame, order_items: DataFrame, sellers: DataFrame,
                        reviews: DataFrame, cfg: RunConfig,
                        dedupe_inputs: bool = False) -> DataFrame:
-    o = orders.select(trim_text("order_id").alias("order_id"),
-                      F.col("order_purchase_timestamp"))
-    items = order_items.select(
-        trim_text("order_id").alias("order_id"),
-        trim_text("order_item_id").alias("order_item_id"),
-        trim_text("seller_id").alias("seller_id"),
-        F.col("price"), F.col("freight_value"),
-    )
-    s = sellers.select(*[trim_text(c).alias(c) for c in ("seller_id", "seller_city", "seller_state")])
+    trim = dedupe_inputs
+    o = orders.select(*_ids(trim, "order_id"), "order_purchase_timestamp")
+    items = order_items.select(*_ids(trim, "order_id", "order_item_id", "seller_id"), "price", "freight_value")
+    s = sellers.select(*_ids(trim, "seller_id", "seller_city", "seller_state"))
     if dedupe_inputs:
         o = keep_first(o, ["order_id"])
         items = keep_first(items, ["order_id", "order_item_id"])
         s = keep_first(s, ["seller_id"])
-    r = latest_review_per_order(reviews)
+    r = latest_review_per_order(reviews, trim)
 
     # 1. (order, seller) grain. Every measure is additive or merges (distinct
     #    line positions as bit masks), so Spark pre-aggregates map-side: a hot
@@ -124,20 +121,18 @@ def seller_performance(orders: DataFrame, order_items: DataFrame, sellers: DataF
 
 def customer_rfm(orders: DataFrame, order_items: DataFrame, customers: DataFrame,
                  cfg: RunConfig, dedupe_inputs: bool = False) -> DataFrame:
+    trim = dedupe_inputs
     # not-null checks on the source columns (trim keeps nullness): pushable
     o = (orders.filter(not_null("order_id", "customer_id"))
-         .select(trim_text("order_id").alias("order_id"),
-                 trim_text("customer_id").alias("customer_id"),
-                 F.col("order_purchase_date")))
+         .select(*_ids(trim, "order_id", "customer_id"), "order_purchase_date"))
     item_totals = (
         order_items.filter(not_null("order_id", "order_item_id"))
-        .select(trim_text("order_id").alias("order_id"), F.col("price"))
+        .select(*_ids(trim, "order_id"), "price")
         .groupBy("order_id")
         .agg(*money_parts("price", "value"))
     )
     c = customers.filter(not_null("customer_id")).select(
-        *[trim_text(x).alias(x) for x in
-          ("customer_id", "customer_unique_id", "customer_city", "customer_state")])
+        *_ids(trim, "customer_id", "customer_unique_id", "customer_city", "customer_state"))
     if dedupe_inputs:
         o = keep_first(o, ["order_id"])
         c = keep_first(c, ["customer_id"])
@@ -166,16 +161,12 @@ def customer_rfm(orders: DataFrame, order_items: DataFrame, customers: DataFrame
 
 def daily_sales(orders: DataFrame, order_items: DataFrame, cfg: RunConfig,
                 dedupe_inputs: bool = False) -> DataFrame:
+    trim = dedupe_inputs
     o = orders.filter(not_null("order_id")).select(
-        trim_text("order_id").alias("order_id"),
-        F.to_date("order_purchase_date").alias("order_date"),
-        trim_text("customer_id").alias("customer_id"))
+        *_ids(trim, "order_id", "customer_id"), F.to_date("order_purchase_date").alias("order_date"))
     if dedupe_inputs:
         o = keep_first(o, ["order_id"])
-    items = order_items.filter(not_null("order_id")).select(
-        trim_text("order_id").alias("order_id"),
-        trim_text("order_item_id").alias("order_item_id"),
-        F.col("price"))
+    items = order_items.filter(not_null("order_id")).select(*_ids(trim, "order_id", "order_item_id"), "price")
     # 1. one main row per order with items (a matched order is one order) and one per further 64 positions
     per_order = distinct.with_slots(items, "order_item_id").groupBy("order_id", *distinct.KEYS).agg(
         *money_parts(distinct.measure("price"), "price"), distinct.merged())

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,10 @@ ANALYTICS = "analytics_layer"
 
 SUCCESS = "_SUCCESS"
 RUNS = "_runs"  # folder of the publications
+LAYOUT = "_layout.json"  # how a version is bucketed, beside its files
 KEEP = 2        # published versions left of a table: the new one, and the one that readers may still hold
+# Curated tables that the marts join on the order: see ``LayerStore.buckets``.
+BY_ORDER = {f"{CURATED}/{t}": ("order_id",) for t in ("orders", "order_items", "reviews")}
 UNPUBLISHED_HOURS = 72.0  # versions that no run published go when older; must exceed the longest run
 
 
@@ -43,8 +47,16 @@ def _stamp_time(name: str) -> float | None:
 
 @dataclass(frozen=True)
 class LayerStore:
+    """``buckets``: table -> key columns whose versions are written in ``n_buckets`` buckets, so that joins and
+    aggregates on these columns need no exchange. A bucket is one task's work: leave a table out if one key
+    holds much of it. ``balance`` splits hot partitions and merges small ones before a write, at the price of an
+    exchange; a bucketed write has one of its own."""
+
     root: str
     unpublished_hours: float = UNPUBLISHED_HOURS
+    buckets: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    n_buckets: int = 0
+    balance: bool = False
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -62,6 +74,22 @@ class LayerStore:
         fs, at = self._fs(spark, f"{path}/{SUCCESS}")
         return fs.exists(at)
 
+    def _get(self, spark: SparkSession, path: str) -> dict:
+        fs, at = self._fs(spark, path)
+        stream = fs.open(at)
+        try:
+            return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _put(self, spark: SparkSession, path: str, content: dict) -> None:
+        fs, at = self._fs(spark, path)
+        stream = fs.create(at)
+        try:
+            stream.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+        finally:
+            stream.close()
+
     # -- publications ----------------------------------------------------------
     def _publications(self, spark: SparkSession) -> list[tuple[str, dict[str, str]]]:
         """(name, {layer/table: version}) of each publication, oldest first."""
@@ -69,13 +97,7 @@ class LayerStore:
         for name in self._names(spark, f"{self.root}/{RUNS}"):
             if not name.endswith(".json"):
                 continue
-            fs, at = self._fs(spark, f"{self.root}/{RUNS}/{name}")
-            stream = fs.open(at)
-            try:
-                text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            finally:
-                stream.close()
-            out.append((name, json.loads(text)))
+            out.append((name, self._get(spark, f"{self.root}/{RUNS}/{name}")))
         return out
 
     def published(self, spark: SparkSession) -> dict[str, str]:
@@ -94,11 +116,7 @@ class LayerStore:
                 raise FileNotFoundError(f"version {version} of {table} is not finished")
         name = _stamp("r")
         fs, draft = self._fs(spark, f"{self.root}/{RUNS}/{name}.draft")
-        stream = fs.create(draft)
-        try:
-            stream.write(bytearray(json.dumps(versions, sort_keys=True).encode()))
-        finally:
-            stream.close()
+        self._put(spark, f"{self.root}/{RUNS}/{name}.draft", versions)
         if not fs.rename(draft, self._fs(spark, f"{self.root}/{RUNS}/{name}.json")[1]):
             raise OSError(f"publication {name} could not be put in place under {self.root}")
         self.clean(spark, versions)
@@ -144,10 +162,35 @@ class LayerStore:
     def write_version(self, df: DataFrame, layer: str, table: str) -> str:
         """Write a version that nobody reads yet; returns its name."""
         version = _stamp("v")
-        (df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-         .parquet(f"{self.path(layer, table)}/{version}"))
+        folder = f"{self.path(layer, table)}/{version}"
+        mark = ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        keys = self.buckets.get(f"{layer}/{table}") if self.n_buckets else None
+        if not keys:
+            (df.hint("rebalance") if self.balance else df).write.option(*mark).parquet(folder)
+            return version
+        # a task per bucket, so a file per bucket; the table's entry in the catalog goes, its files stay
+        spark, name = df.sparkSession, f"strata_{uuid.uuid4().hex}"
+        (df.repartition(self.n_buckets, *keys).write.format("parquet").option(*mark).option("path", folder)
+         .bucketBy(self.n_buckets, *keys).sortBy(*keys).saveAsTable(name))
+        spark.sql(f"DROP TABLE {name}")
+        self._put(spark, f"{folder}/{LAYOUT}", {"keys": list(keys), "buckets": self.n_buckets})
         return version
 
+    def read_version(self, spark: SparkSession, layer: str, table: str, version: str) -> DataFrame:
+        """The rows of a version, known to be bucketed if they are."""
+        folder = f"{self.path(layer, table)}/{version}"
+        plain = spark.read.parquet(folder)
+        fs, at = self._fs(spark, f"{folder}/{LAYOUT}")
+        if not fs.exists(at):
+            return plain
+        layout, name = self._get(spark, f"{folder}/{LAYOUT}"), f"strata_{uuid.uuid4().hex}"
+        keys = ", ".join(f"`{k}`" for k in layout["keys"])
+        spark.sql(f"CREATE TABLE {name} ({plain.schema.toDDL()}) USING parquet CLUSTERED BY ({keys}) "
+                  f"SORTED BY ({keys}) INTO {layout['buckets']} BUCKETS LOCATION '{folder}'")
+        df = spark.table(name)  # resolved to its files here
+        spark.sql(f"DROP TABLE {name}")
+        return df
+
     def current(self, spark: SparkSession, layer: str, table: str) -> str:
         """The folder of the published version."""
         version = self.published(spark).get(f"{layer}/{table}")
@@ -162,7 +205,7 @@ class LayerStore:
         return f"{self.path(layer, table)}/{version}"
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.parquet(self.current(spark, layer, table))
+        return self.read_version(spark, layer, table, self.current(spark, layer, table).rpartition("/")[2])
 
     def begin(self, spark: SparkSession) -> "StoreRun":
         """A run over the tables as they are now; see ``StoreRun``."""
@@ -191,7 +234,7 @@ class StoreRun:
         version = (self.base | self.written).get(f"{layer}/{table}")
         if version is None:
             raise FileNotFoundError(f"no published version of {layer}.{table} under {self.store.root}")
-        return spark.read.parquet(f"{self.store.path(layer, table)}/{version}")
+        return self.store.read_version(spark, layer, table, version)
 
     def publish(self) -> None:
         self.store.publish(self.spark, self.written)

@@ -63,7 +63,7 @@ def test_driver_program_runs_a_drop(spark):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run(
         [sys.executable, "-m", "strata", "--drop", drop, "--warehouse", wh,
-         "--load-ts", "2024-01-01T00:00:00", "--as-of", "2002-01-01"],
+         "--load-ts", "2024-01-01T00:00:00", "--as-of", "2002-01-01", "--buckets", "3", "--balance"],
         cwd=root, capture_output=True, text=True, timeout=600, check=True)
     report = json.loads(out.stdout.strip().splitlines()[-1])
     assert set(report["seconds"]) >= {"process_layer", "curate_layer", "mart_layer", "dq_metrics"}

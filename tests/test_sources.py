@@ -3,6 +3,7 @@ import uuid
 
 from strata.session import scratch_path
 from strata.sources.csv import read_raw_csv, write_raw_csv
+from tests.conftest import SF_SMALL
 from strata.sources.layers import ANALYTICS, CURATED, RUNS, LayerStore
 from strata.specs import REVIEWS, SELLERS
 
@@ -163,3 +164,82 @@ def test_only_finished_versions_can_be_published(spark):
     with pytest.raises(FileNotFoundError):
         store.publish(spark, {f"{ANALYTICS}/t": "v00000000000000000001-00000000"})
     assert store.read(spark, ANALYTICS, "t").count() == 4
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, cfg):
+    """Orders, items and reviews bucketed by order: the order joins and aggregates of the marts read them as
+    they lie, with the same results."""
+    from strata.catalog import curated
+    from strata.plans.marts import customer_rfm, daily_sales
+    from strata.sources.layers import BY_ORDER
+    plain = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+    store = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex), buckets=BY_ORDER, n_buckets=4)
+    names = ("orders", "order_items", "reviews", "customers")
+    with plain.begin(spark) as a, store.begin(spark) as b:
+        for n in names:
+            df = curated(spark, SF_SMALL, n)
+            a.write(df, CURATED, n)
+            b.write(df, CURATED, n)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("strata_")]
+    t, u = ({n: s.read(spark, CURATED, n) for n in names} for s in (store, plain))
+    for n in names:
+        assert t[n].schema == u[n].schema and t[n].exceptAll(u[n]).count() == u[n].exceptAll(t[n]).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = t["orders"].join(t["order_items"].groupBy("order_id").count(), "order_id").join(t["reviews"], "order_id", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        for mart in (lambda x: daily_sales(x["orders"], x["order_items"], cfg),
+                     lambda x: customer_rfm(x["orders"], x["order_items"], x["customers"], cfg)):
+            got, want = mart(t), mart(u)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+            at_order = lambda df: df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(order_id")
+            assert at_order(want) >= 2 and at_order(got) == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_balanced_write_splits_a_hot_partition(spark):
+    from pyspark.sql import functions as F
+    key = F.when(F.col("id") % 10 < 9, F.lit(0)).otherwise(F.col("id"))
+    hot = spark.range(200_000).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(8, "k")
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        sizes = []
+        for balance in (False, True):
+            store = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex), balance=balance)
+            folder = store.write(hot, CURATED, "t")
+            fs, at = store._fs(spark, folder)
+            sizes.append([s.getLen() for s in fs.listStatus(at) if s.getPath().getName().endswith(".parquet")])
+            assert store.read(spark, CURATED, "t").count() == 200_000
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert max(sizes[0]) > 0.85 * sum(sizes[0])          # one file holds the hot key
+    assert max(sizes[1]) < 0.3 * sum(sizes[1]) and len(sizes[1]) > 4
+
+
+def test_counts_of_written_tables_read_footers_only(spark):
+    """The counts of layers and marts read no data page: they hold over files whose pages are overwritten."""
+    import glob
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+    from strata.operators import quality
+    store = LayerStore(scratch_path(spark, "layers", uuid.uuid4().hex))
+    df = spark.range(300_000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    folder = store.write(df.coalesce(2), CURATED, "t").removeprefix("file:")
+    for path in glob.glob(f"{folder}/part-*.parquet"):
+        os.remove(os.path.join(folder, f".{os.path.basename(path)}.crc"))
+        with open(path, "r+b") as f:
+            f.seek(-8, os.SEEK_END)
+            footer = 8 + int.from_bytes(f.read(4), "little")
+            f.seek(4)
+            f.write(bytes(os.path.getsize(path) - footer - 4))
+    table = store.read(spark, CURATED, "t")
+    assert quality.row_counts({"t": table}).first().value == 300_000
+    with pytest.raises(Exception):
+        table.agg(F.max("v")).collect()
