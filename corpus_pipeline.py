@@ -18,8 +18,20 @@ from strata.llm.queries import BPE_FILE, MIX_WEIGHTS
 from strata.session import scratch_folder
 
 
+ROWS_PER_BATCH = 1_000  # rows that go to a Python worker at once
+
+
+def _short_batches(spark: SparkSession) -> None:
+    """Texts are long: Spark's default of 10,000 rows a batch holds hundreds of MB outside an executor's heap, for
+    each task once on the way out and once on the way back, and keeps them for the stages after. Holds for the session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= ROWS_PER_BATCH:
+        spark.conf.set(name, str(ROWS_PER_BATCH))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the scorer rejects go; it learns from ``docs`` and the training folds of ``labels``."""
+    _short_batches(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -29,6 +41,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays (three-word shingles, two bits)."""
+    _short_batches(spark)
     return simhash.near_dedup(docs, shingle=3, bits=2)
 
 
@@ -39,6 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and the token ids of each row."""
+    _short_batches(spark)
     return bpe.round_trip(docs, BPE_FILE, public_tokenizers.PATTERN, keep_ids=True)
 
 
