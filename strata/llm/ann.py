@@ -15,6 +15,8 @@ vectors of a block to the same length.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -127,40 +129,58 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, share: float =
     data = rows.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1).drop("_n")
     distinct = asked.groupBy("v").agg(F.min("id").alias("q"))
     n_slices = max(1, -(-asked.count() // QUERIES))
-    left = data.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("block"),
-                       F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))).alias("slice"), "id", "v")
-    right = distinct.select(F.size("v").alias("dim"),
-                            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block"),
-                            F.pmod(F.xxhash64("q"), F.lit(n_slices)).cast("int").alias("slice"), "q", "v")
-
-    def matrix(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
-        v = t.column("v").combine_chunks()
-        return t.column(name).to_numpy(), v.flatten().to_numpy().reshape(len(v), -1)
-
-    def search(a: pa.Table, b: pa.Table) -> pa.Table:
+    # a part is one block of rows and one slice of the queries, and a partition of its own
+    part = lambda block, piece: (block * F.lit(n_slices) + piece).cast("int").alias("part")
+    left = data.select(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("block"),
+                       F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))).alias("slice"), "id", "v").select(
+        part(F.col("block"), F.col("slice")), F.size("v").alias("dim"), F.lit(0).alias("asks"), "id", "v")
+    right = distinct.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block"),
+                            F.pmod(F.xxhash64("q"), F.lit(n_slices)).alias("slice"), F.col("q").alias("id"), "v").select(
+        part(F.col("block"), F.col("slice")), F.size("v").alias("dim"), F.lit(1).alias("asks"), "id", "v")
+    dealt = left.union(right).repartitionById(n_blocks * n_slices, "part").sortWithinPartitions("part", "dim", "asks", "id")
+
+    def search(ids: np.ndarray, x: np.ndarray, asked_ids: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
         out_q, out_id, out_s = [], [], []
-        if a.num_rows and b.num_rows:
-            ids, x = matrix(a, "id")
-            order = np.argsort(ids)
-            ids, x = ids[order], np.ascontiguousarray(x[order])
-            asked_ids, y = matrix(b, "q")
-            forest = Forest(x, trees, bits)
-            for at in range(0, len(y), 256):
-                for q, vector, own in zip(asked_ids[at:at + 256], y[at:at + 256],
-                                          forest.search(y[at:at + 256], k + 1, share)):
-                    # row by row in one order of addition, so that equal vectors get equal scores
-                    score = (x[own] * vector).sum(axis=1)
-                    best = np.lexsort([ids[own], -score])[:k + 1]
-                    out_q.append(np.full(len(best), q))
-                    out_id.append(ids[own][best])
-                    out_s.append(score[best])
-        cat = lambda parts, kind: np.concatenate(parts) if parts else np.array([], kind)
-        return pa.table({"q": pa.array(cat(out_q, np.int64), pa.int64()), "id": pa.array(cat(out_id, np.int64), pa.int64()),
-                         "score": pa.array(cat(out_s, np.float64), pa.float64())})
-
-    keys = ["dim", "block", "slice"]
-    found = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-             .applyInArrow(search, "q bigint, id bigint, score double"))
+        forest = Forest(x, trees, bits)
+        for at in range(0, len(y), 256):
+            for q, vector, own in zip(asked_ids[at:at + 256], y[at:at + 256],
+                                      forest.search(y[at:at + 256], k + 1, share)):
+                # row by row in one order of addition, so that equal vectors get equal scores
+                score = (x[own] * vector).sum(axis=1)
+                best = np.lexsort([ids[own], -score])[:k + 1]
+                out_q.append(np.full(len(best), q))
+                out_id.append(ids[own][best])
+                out_s.append(score[best])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (out_q, out_id, out_s)],
+                                          ["q", "id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by part and dimension, those that ask behind the others."""
+        key, held = None, ([], [], [], [])
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if held[0] and held[2]:
+                yield search(*(np.concatenate(h) for h in held))
+
+        for b in batches:
+            keys = np.column_stack([b.column(0).to_numpy(), b.column(1).to_numpy()])
+            asks, ids = b.column(2).to_numpy(), b.column(3).to_numpy()
+            ends = np.concatenate([np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1, [len(keys)]])
+            flat, at = b.column(4).flatten().to_numpy(), 0
+            for first, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+                if key is not None and tuple(keys[first]) != key:
+                    yield from close()
+                    held = ([], [], [], [])
+                key = tuple(keys[first])
+                v = flat[at:at + (end - first) * key[1]].reshape(-1, key[1])
+                at += (end - first) * int(key[1])
+                for side, own in ((0, asks[first:end] == 0), (2, asks[first:end] == 1)):
+                    if own.any():
+                        held[side].append(ids[first:end][own])
+                        held[side + 1].append(v[own])
+        yield from close()
+
+    found = dealt.mapInArrow(run, "q bigint, id bigint, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     lists = (found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
              .groupBy("q").agg(F.array_sort(F.collect_list(F.struct("n", "id", "score"))).alias("near")))

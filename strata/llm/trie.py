@@ -265,7 +265,7 @@ def prefix_trie(seqs: DataFrame, shards: int | None = None) -> DataFrame:
 
     dealt = (folded.select("path", "words", "n", F.col("g").alias("conv"), "ends")
              .mapInArrow(deal, "path binary, words array<int>, n bigint, conv bigint, ends string, shard int"))
-    found = cut(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "path").mapInArrow(build, FOUND))
+    found = cut(dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "path").mapInArrow(build, FOUND))
     parts = found.where("skeleton IS NOT NULL").groupBy("skeleton").agg(
         F.min("conv_id").alias("conv_id"), F.max("depth").alias("depth"), F.sum("n_convs").alias("n_convs"),
         F.sum("n_children").alias("n_children"), F.sum("n_leaves").alias("n_leaves"),
