@@ -21,6 +21,7 @@ import struct
 import uuid
 import zipfile
 from collections.abc import Iterator
+from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -58,9 +59,14 @@ def record_id(page_id: str | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, page_id or '')}>"
 
 
-def _header_text(value: str) -> str:
-    return "".join(c if c.isprintable() else "%" + "%".join(f"{b:02X}" for b in c.encode("utf-8", "surrogatepass"))
-                   for c in value)
+def _escaped(value: str, keep: str = "") -> str:
+    """The value for one header line: what is no printable character, a blank or a per cent sign, in per cents."""
+    return "".join(c if c in keep or c.isprintable() and c not in "% " else
+                   "".join(f"%{b:02X}" for b in c.encode("utf-8", "surrogatepass")) for c in value)
+
+
+def _unescaped(value: str | None) -> str | None:
+    return None if value is None else unquote_to_bytes(value).decode("utf-8", "surrogatepass")
 
 
 def make_record(page_id: str | None, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
@@ -72,12 +78,16 @@ def make_record(page_id: str | None, url: str | None, payload: bytes, digest: st
              "Content-Type: application/http;msgtype=response", f"WARC-Payload-Digest: sha256:{digest}",
              f"Content-Length: {len(block)}"]
     if page_id is not None:
-        lines.append(f"WARC-Page-ID: {page_id}")
+        lines.append(f"WARC-Page-ID: {_escaped(page_id)}")
     if url is not None:
-        lines.append(f"WARC-Target-URI: {_header_text(url)}")
+        # a URL stands as it is, per cents included; one that a header can't hold comes a second time, reversibly
+        shown = _escaped(url, "% ").strip()
+        lines.append(f"WARC-Target-URI: {shown}")
+        if shown != url:
+            lines.append(f"WARC-Target-URI-Escaped: {_escaped(url)}")
     if refers_to is not None:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}",
-                  f"WARC-Refers-To-Page: {refers_to}"]
+                  f"WARC-Refers-To-Page: {_escaped(refers_to)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -95,8 +105,9 @@ def parse_record(data: bytes) -> dict:
     block = rest[:int(warc["content-length"])]
     _, http, payload = _headers(block)
     kind = warc["warc-type"]
-    return {"page_id": warc.get("warc-page-id"), "url": warc.get("warc-target-uri"), "record_type": kind,
-            "refers_to": warc.get("warc-refers-to-page"), "payload": None if kind == "revisit" else payload,
+    url = _unescaped(warc.get("warc-target-uri-escaped")) or warc.get("warc-target-uri")
+    return {"page_id": _unescaped(warc.get("warc-page-id")), "url": url, "record_type": kind,
+            "refers_to": _unescaped(warc.get("warc-refers-to-page")), "payload": None if kind == "revisit" else payload,
             "payload_digest": warc.get("warc-payload-digest", "").rpartition(":")[2] or None,
             "payload_bytes": int(http.get("content-length", len(payload)))}
 

@@ -115,3 +115,16 @@ def test_archives_hold_what_they_say(spark):
 
 def test_empty_table(spark):
     assert warc.package_round_trip(spark.createDataFrame([], "page_id bigint, html string, url string")).count() == 0
+
+
+def test_headers_hold_any_id_and_url():
+    odd = ["a\r\nWARC-Type: x", "50%41", " blank ", "é\x00日", "", "p:q"]
+    urls = ["http://a/%20b?x=%41", "http://a/b c", " lead", "line\r\nWARC-Type: evil", "é", "tab\there", ""]
+    for page in odd:
+        for url in urls:
+            data = warc.make_record(page, url, b"<p>", "ab", None)
+            r = warc.parse_record(data)
+            assert (r["page_id"], r["url"], r["record_type"], r["payload"]) == (page, url, "response", b"<p>")
+            r = warc.parse_record(warc.make_record("7", url, b"<p>", "ab", page))
+            assert (r["refers_to"], r["url"], r["record_type"]) == (page, url, "revisit")
+    assert b"WARC-Target-URI: http://a/%20b?x=%41\r\n" in warc.make_record("1", urls[0], b"", "ab", None)
