@@ -13,6 +13,7 @@ from tests.llm.test_bpe import reference  # noqa: F401  (fixture)
 from tests.llm.test_licenses import brute as brute_scan, digest
 from tests.llm.test_periodic import brute as brute_runs_of, brute_tail
 from tests.llm.test_repeats import brute_bytes, brute_words
+from tests.llm.test_toxicity import BAD as BAD_WORDS, WORDS as CLEAN_WORDS
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
 
@@ -88,3 +89,38 @@ def test_op13(spark, docs):
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op13_periodic_runs"](spark, SF_SMALL).collect()}
     assert got == {i: brute_runs_of(brute_tail(i, t)) for i, t, _ in docs}
     assert sum(r[0] > 0 for r in got.values()) > 0
+
+
+def test_op7_finds_planted_words_in_rows_held_out(spark, tmp_path):
+    """Whole query on planted words, plain and hidden: labels are learned from the other folds only."""
+    import random
+    import zlib
+    rng = random.Random(21)
+    hide = [lambda w: w, lambda w: w.replace("i", "1").replace("o", "0"), lambda w: " ".join(w),
+            lambda w: w[0] + w[1] * 3 + w[2:], lambda w: w.replace("s", "$") + "!"]
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = i % 8 == 0
+        words = rng.choices(CLEAN_WORDS, k=rng.randint(5, 60))
+        if toxic:
+            # hidden words are learned from plain ones: half of all are plain
+            word = rng.choice(BAD_WORDS)
+            words.insert(rng.randrange(len(words)), word if rng.random() < 0.5 else rng.choice(hide)(word))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    rows += [(3000, None), (3001, ""), (3002, " ".join(CLEAN_WORDS))]
+    at = f"file:{tmp_path}"
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{at}/documents.parquet")
+    # wrong labels in the fold held out: learning from them would show
+    wrong = [(i, 1 - y) if zlib.crc32(str(i).encode()) % 5 == 0 else (i, y) for i, y in labels]
+    spark.createDataFrame(wrong, "doc_id bigint, toxic int").write.parquet(f"{at}/labels.parquet")
+    got = {r.doc_id: r for r in QUERIES["op7_toxicity"](spark, at).collect()}
+    assert got.keys() == {i for i, _ in rows}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
+    held = [(got[i].score, y) for i, y in labels if got[i].held_out]
+    toxic, clean = [s for s, y in held if y], [s for s, y in held if not y]
+    assert len(toxic) > 50 and sum(s >= 0.5 for s in toxic) >= 0.95 * len(toxic)
+    assert sum(s >= 0.5 for s in clean) <= 0.01 * len(clean)
+    assert sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean) >= 0.97 * len(toxic) * len(clean)
+    assert all(got[i].predicted == 0 for i in (3000, 3001, 3002))
