@@ -158,10 +158,12 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
-# crc32 of decimal digits, bit by bit; equal turns are equal texts of role length, role and text
+# crc32 of decimal digits, bit by bit; equal turns are equal texts of role length, role and text; rows with the same
+# turn are in the order of their digests, as in the operator
 OP11_SQL = r"""
 WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
-                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(
+                      length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
            FROM conversations WHERE conv_id IS NOT NULL),
 ids AS (SELECT conv_id, conv_id - conv_id % 20 AS base,
                xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(

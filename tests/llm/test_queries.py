@@ -124,3 +124,19 @@ def test_op7_finds_planted_words_in_rows_held_out(spark, tmp_path):
     assert sum(s >= 0.5 for s in clean) <= 0.01 * len(clean)
     assert sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean) >= 0.97 * len(toxic) * len(clean)
     assert all(got[i].predicted == 0 for i in (3000, 3001, 3002))
+
+
+def test_op11_with_ties_nulls_and_missing_bases_matches_sql(spark, tmp_path):
+    import random
+    rng = random.Random(5)
+    rows = [(c, rng.choice([None, 0, 1, 1, 2, 7]), rng.choice([None, "user", "é"]), rng.choice([None, "", "a b", "ü  x", "long " * 50]))
+            for c in range(400) if c % 60 for _ in range(rng.choice([1, 1, 2, 3, 9]))]
+    rows += rows[:200] + [(None, 1, "user", "lost")]
+    at = f"file:{tmp_path}"
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").coalesce(1).write.parquet(f"{at}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    cur = con.execute(ORACLE["op11_conversation_trie"])
+    want = rows_of(cur.fetchall(), [c[0] for c in cur.description])
+    df = QUERIES["op11_conversation_trie"](spark, at)
+    assert rows_of([tuple(r) for r in df.collect()], df.columns) == want and len(want) > 500
