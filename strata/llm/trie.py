@@ -20,6 +20,7 @@ import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,16 +52,36 @@ def sequences(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",
 
     Order is by turn, null first; rows with the same turn by digest. Null
     roles and texts count as empty. Rows without an id belong to no
-    conversation. An empty table gives no rows.
+    conversation. An empty table gives no rows. Turns are sorted over the
+    whole cluster and meet as packed pieces, one per batch that holds some.
     """
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD))
     rows = turns.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("conv_id"),
-        F.struct(F.col(turn_col).alias("turn"), turn_digest(F.col(role_col), F.col(text_col)).alias("digest"),
-                 words.alias("words")).alias("t"))
-    return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t")).select(
-        "conv_id", F.transform("t", lambda t: F.struct(t["digest"].alias("digest"), t["words"].alias("words")))
-        .alias("turns"))
+        F.col(id_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"),
+        turn_digest(F.col(role_col), F.col(text_col)).alias("digest"), words.cast("int").alias("words"))
+    kind = rows.schema["turn"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Neighbouring turns of a conversation as one row; ``n`` counts on, for pieces that begin alike."""
+        n = 0
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            first = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1]) if len(ids) else np.array([], int)
+            ends = pa.array(np.append(first, len(ids)), pa.int32())
+            piece = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(
+                [b.column(2), b.column(3)], ["digest", "words"]))
+            at = pa.array(first)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(at), b.column(1).take(at), b.column(2).take(at),
+                 pa.array(np.arange(n, n + len(first)), pa.int64()), piece], ["conv_id", "turn", "digest", "n", "piece"])
+            n += len(first)
+
+    # sorted by the whole cluster: a conversation that holds a third of all turns comes in packed pieces
+    order = ("conv_id", "turn", "digest")
+    pieces = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        pack, f"conv_id bigint, turn {kind}, digest binary, n bigint, piece array<struct<digest:binary,words:int>>")
+    return (pieces.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "digest", "n", "piece"))).alias("t"))
+            .select("conv_id", F.flatten(F.transform("t", lambda t: t["piece"])).alias("turns")))
 
 
 class Skeleton:

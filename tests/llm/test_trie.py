@@ -94,3 +94,19 @@ def test_member_lists_come_in_pieces(spark, monkeypatch):
     df = spark.range(1000).select((F.col("id") % 3 * 100).alias("g"), F.col("id").alias("conv_id"))
     got = {r.g: r.ends for r in trie.member_digests(df).collect()}
     assert got == {g * 100: hashlib.sha256(",".join(map(str, range(g, 1000, 3))).encode()).hexdigest() for g in range(3)}
+
+
+def test_a_conversation_that_holds_most_turns(spark):
+    """Its turns lie in many partitions and batches; repeated turns tie."""
+    rng = random.Random(6)
+    rows = [(7, rng.choice([None, *range(300)]), "u", rng.choice("abc")) for _ in range(6000)] + [(c, 0, "u", "x") for c in range(6)]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        seqs = trie.sequences(spark.createDataFrame(rows, SCHEMA).repartition(5))
+        got = {r.conv_id: [(bytes(t.digest), t.words) for t in r.turns] for r in seqs.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sha = lambda r, t: hashlib.sha256(f"{len(r)}:{r}{t}".encode()).digest()[:16]
+    want = sorted(((turn is not None, turn or 0), sha(r, t)) for c, turn, r, t in rows if c == 7)
+    assert [d for d, _ in got[7]] == [d for _, d in want] and len(got) == 7
