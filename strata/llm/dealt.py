@@ -31,6 +31,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -113,13 +114,25 @@ class Unit:
         self.number, self.kind, self.ids = number, kind, ids
         self.docs = [kind.prepare((t or "").encode("utf-8")) for t in texts]
         self.doc, self.first, self.last, self.hash, self.content = self._segments()
-        self.anchors, self.inverse, counts = np.unique(self.hash, return_inverse=True, return_counts=True)
-        self.several = counts > 1
-        # how many different contents (by a hash) the unit would send under each anchor
-        order = np.lexsort((self.content, self.inverse))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(self.inverse[order]) != 0) | (self.content[order][1:] != self.content[order][:-1])
-        self.counts = np.bincount(self.inverse[order][new], minlength=len(self.anchors))
+        self.anchors, self.inverse = np.unique(self.hash, return_inverse=True)
+
+    @cached_property
+    def several(self) -> np.ndarray:
+        """Whether the unit has more than one segment under each anchor."""
+        return np.bincount(self.inverse, minlength=len(self.anchors)) > 1
+
+    @cached_property
+    def counts(self) -> np.ndarray:
+        """How many different contents (by a hash) the unit would send under each anchor."""
+        out = np.ones(len(self.anchors), np.int64)
+        own = np.flatnonzero(self.several[self.inverse])  # elsewhere it is one
+        anchor, content = self.inverse[own], self.content[own]
+        order = np.lexsort((content, anchor))
+        anchor, content = anchor[order], content[order]
+        new = np.ones(len(own), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+        found = np.bincount(anchor[new], minlength=len(out))
+        return np.where(found > 0, found, out)
 
     def _segments(self) -> tuple[np.ndarray, ...]:
         """Text number, first and last window start, anchor hash and content hash of each segment."""
