@@ -146,10 +146,10 @@ def _run_layers(spark: SparkSession, raw: dict[str, DataFrame] | None, home: Lay
     curated: dict[str, DataFrame] = {}
     if "process" in layers:
         # a checked table is read once: one exchange gives the rows that stay and the counts of all rows.
-        # Both wait on local disks of the executors for the run; a part that is lost is computed again.
+        # Both wait on the executors (in memory, beyond it on disk) for the run; a part that is lost is computed again.
         checked = [n for n in names if n in RAW_CHECKS]
         checks = {n: quality.raw_checks(RAW_CHECKS[n]["nulls"], RAW_CHECKS[n].get("negatives", ())) for n in checked}
-        profiles = {n: PROCESS[n].profiled(raw[n], checks[n], RAW_CHECKS[n]["key"]).persist(StorageLevel.DISK_ONLY)
+        profiles = {n: PROCESS[n].profiled(raw[n], checks[n], RAW_CHECKS[n]["key"]).persist(StorageLevel.MEMORY_AND_DISK)
                     for n in checked}
         held += profiles.values()
         processed = timed("process_layer", lambda: write_layer(spark, store, PROCESSED, {
