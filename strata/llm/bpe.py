@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 CACHE_ENTRIES = 700_000   # distinct pre-tokens whose ids one Python worker keeps
 CACHE_CHARS = 48          # longer pre-tokens are encoded each time
 SLICE = 200_000           # pre-tokens handled at a time
+TOGETHER = 500            # pre-tokens that share a queue: its lists stay in the processor's cache
 ROWS = 1_000              # documents handled at a time
 
 
@@ -46,7 +47,7 @@ class Codec:
         self.low, self.mid, self.top = [0] * ((size >> 6) + 1), [0] * ((size >> 12) + 1), 0
         self.buckets: dict[int, list[int]] = {}
         self.two = np.array([ranks.get(bytes((i >> 8, i & 255)), -1) for i in range(1 << 16)])
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}  # tuples: the collector need not walk them
 
     def push(self, rank: int, pos: int) -> None:
         bucket = self.buckets.get(rank)
@@ -83,7 +84,7 @@ class Codec:
         positions.sort()
         return rank, positions
 
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """The ids of each pre-token.
 
         All of them share one list and one queue, so a bucket is found once for
@@ -95,59 +96,69 @@ class Codec:
         data = b"".join(pieces)
         n = len(data)
         if not n:
-            return [[] for _ in pieces]
+            return [()] * len(pieces)
         lengths = np.array([len(p) for p in pieces])
         ends = np.cumsum(lengths)
-        owner = np.repeat(np.arange(len(pieces)), lengths)
+        starts = ends - lengths
         raw = np.frombuffer(data, np.uint8).astype(np.int64)
         first = np.full(n, -1)
         first[:-1] = self.two[raw[:-1] << 8 | raw[1:]]
         first[ends[lengths > 0] - 1] = -1
         order = np.argsort(first, kind="stable")
         order = order[np.searchsorted(first[order], 0):]
-        starts = np.flatnonzero(np.diff(first[order], prepend=-1))
-        for group in np.split(order, starts[1:]) if len(order) else []:
+        edges = np.flatnonzero(np.diff(first[order], prepend=-1))
+        for group in np.split(order, edges[1:]) if len(order) else []:
             self.open(int(first[group[0]]), group.tolist())
-        pair, owner = first.tolist(), owner.tolist()
+        pair = first.tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        stop, start = ends.tolist(), (ends - lengths).tolist()
-        rank_of, push = self.ranks.get, self.push
+        head = bytearray(n + 1)  # 1 where a pre-token begins, and at the end
+        for at in (*starts.tolist(), n):
+            head[at] = 1
+        rank_of, bucket_of = self.ranks.get, self.buckets.get
         while self.top:
             rank, positions = self.pop()
-            held = -1
+            held = 0  # positions before this one wait
             for i in positions:
                 if pair[i] != rank:
                     continue  # stale
-                own = owner[i]
-                if own == held:
-                    push(rank, i)
+                if i < held:
+                    self.push(rank, i)
                     continue
                 j = after[i]
                 after[i] = k = after[j]
                 pair[j] = -1
-                if k < stop[own]:
+                if head[k]:
+                    pair[i] = -1
+                else:
                     before[k] = i
                     pair[i] = r = rank_of(data[i:after[k]], -1)
                     if r >= 0:
-                        push(r, i)
+                        bucket = bucket_of(r)
+                        if bucket is None:
+                            self.open(r, [i])
+                        else:
+                            bucket.append(i)
                         if r < rank:
-                            held = own
-                else:
-                    pair[i] = -1
-                if i > start[own]:
+                            held = head.index(1, k)
+                if not head[i]:
                     p = before[i]
                     pair[p] = r = rank_of(data[p:k], -1)
                     if r >= 0:
-                        push(r, p)
+                        bucket = bucket_of(r)
+                        if bucket is None:
+                            self.open(r, [p])
+                        else:
+                            bucket.append(p)
                         if r < rank:
-                            held = own
+                            held = head.index(1, k)
         out = []
-        for i, end in zip(start, stop):
+        for i, end in zip(starts.tolist(), ends.tolist()):
             ids = []
             while i < end:
-                ids.append(self.ranks[data[i:after[i]]])
-                i = after[i]
-            out.append(ids)
+                k = after[i]
+                ids.append(rank_of(data[i:k]))
+                i = k
+            out.append(tuple(ids))
         return out
 
     def learn(self, pieces: Iterable[str]) -> list[str]:
@@ -162,11 +173,12 @@ class Codec:
             data = p.encode("utf-8")
             rank = self.ranks.get(data)
             if rank is not None:
-                self.known[p] = [rank]
+                self.known[p] = (rank,)
             else:
                 rest.append(p)
                 rest_bytes.append(data)
-        self.known.update(zip(rest, self.merge(rest_bytes)))
+        for at in range(0, len(rest), TOGETHER):
+            self.known.update(zip(rest[at:at + TOGETHER], self.merge(rest_bytes[at:at + TOGETHER])))
         return [p for p in rest if len(p) > CACHE_CHARS]
 
     def pieces(self, text: str) -> Iterator[list[str]]:

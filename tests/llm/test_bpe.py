@@ -67,6 +67,23 @@ def test_slices_and_cache_bounds(monkeypatch, reference):
         assert own.encode(t) == reference.encode_ordinary(t)
 
 
+def test_new_pieces_share_queues_in_small_groups(monkeypatch, reference):
+    with open(BPE_FILE, "rb") as f:
+        own = bpe.Codec(bpe.load_ranks(f.read()), public_tokenizers.PATTERN)
+    sizes, merge = [], own.merge
+    monkeypatch.setattr(own, "merge", lambda pieces: sizes.append(len(pieces)) or merge(pieces))
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choices("thaneriosdlé", k=rng.randint(5, 15))) for _ in range(3_000))
+    assert own.encode(text) == reference.encode_ordinary(text)
+    assert sum(sizes) > 2_000 and max(sizes) <= 500
+
+
+def test_pieces_of_no_bytes_and_one_byte(codec):
+    assert codec.merge([b"", b"t", b"", b"the", b"the", b""]) == [(), (codec.ranks[b"t"],), (),
+                                                                  *[(codec.ranks[b"the"],)] * 2, ()]
+    assert codec.merge([]) == [] and codec.merge([b""]) == [()]
+
+
 def test_round_trip_and_columns(spark, reference):
     rows = [(1, "hello there", "x"), (1, "hello there", "x"), (None, "é", None), (3, None, "y"), (4, "", "z"),
             (5, "long " * 5000, "q")]
