@@ -9,7 +9,7 @@ bundle has the largest cosine with its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,8 @@ DIM = 2_048
 N = 3
 SEED = 42
 BLOCK = 1 << 18          # characters of one text handled at a time
-GRAMS = 6_000            # n-gram vectors that one Python worker keeps (4 bytes a dimension)
+GRAMS = 12_000           # n-gram vectors that one Python worker keeps (4 bytes a dimension)
+TEXTS = 64               # blocks of texts bundled by one product
 LANGUAGES = 10_000       # prototypes that may be sent to the workers
 
 
@@ -32,6 +33,7 @@ class Encoder:
         self.letters: dict[int, np.ndarray] = {}
         self.rows: dict[int, int] = {}
         self.kept = np.empty((GRAMS, dim), np.float32)
+        self.taken = np.empty((GRAMS // 4, dim), np.float32)
 
     def letter(self, point: int) -> np.ndarray:
         got = self.letters.get(point)
@@ -71,7 +73,7 @@ class Encoder:
             yield np.unique(code, return_counts=True)
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
-        """The rows of ``kept`` that hold these n-grams (at most GRAMS at once)."""
+        """The vectors of these n-grams (at most GRAMS // 4 at once), until the next call."""
         missing = [c for c in codes.tolist() if c not in self.rows]
         if len(self.rows) + len(missing) > GRAMS:
             self.rows.clear()
@@ -79,15 +81,47 @@ class Encoder:
         for c in missing:
             self.rows[c] = at = len(self.rows)
             self.kept[at] = self.gram(c)
-        return self.kept[[self.rows[c] for c in codes.tolist()]]
+        rows = [self.rows[c] for c in codes.tolist()]
+        return np.take(self.kept, rows, axis=0, out=self.taken[:len(rows)], mode="clip")
 
     def bundle(self, text: str) -> np.ndarray:
-        out = np.zeros(self.dim)
-        for codes, counts in self.codes(text):
-            for at in range(0, len(codes), GRAMS // 2):
-                out += counts[at:at + GRAMS // 2].astype(np.float32) @ self.vectors(codes[at:at + GRAMS // 2])
+        return self.bundles([text])[0]
+
+    def bundles(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """The bundle of each text.
+
+        Up to TEXTS blocks share one product of their counts by the vectors of
+        the n-grams that any of them has, so a vector is fetched once for all.
+        Counts of a block are below 2**24: single precision is exact.
+        """
+        out: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+        for text in texts:
+            out.append(np.zeros(self.dim))
+            for codes, counts in self.codes(text):
+                held.append((out[-1], codes, counts))
+                size += len(codes)
+                if len(held) == TEXTS or size >= BLOCK:
+                    self._add(held)
+                    held, size = [], 0
+        if held:
+            self._add(held)
         return out
 
+    def _add(self, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        block = np.repeat(np.arange(len(held)), [len(codes) for _, codes, _ in held])
+        counts = np.concatenate([k for _, _, k in held])
+        codes, place = np.unique(np.concatenate([c for _, c, _ in held]), return_inverse=True)
+        step = GRAMS // 4
+        for at in range(0, len(codes), step):
+            part = codes[at:at + step]
+            own = (place >= at) & (place < at + step)
+            times = np.zeros((len(held), len(part)), np.float32)
+            times[block[own], place[own] - at] = counts[own]
+            for (out, _, _), v in zip(held, times @ self.vectors(part)):
+                out += v
+
 
 _LETTER: np.ndarray | None = None
 
@@ -124,8 +158,8 @@ def prototypes(docs: DataFrame, dim: int = DIM, n: int = N, seed: int = SEED, te
             for lang, grams in counts.items():
                 codes, total = np.array(list(grams)), np.array(list(grams.values()), np.float64)
                 out = sums.setdefault(lang, np.zeros(dim))
-                for at in range(0, len(codes), GRAMS // 2):
-                    out += total[at:at + GRAMS // 2] @ encoder.vectors(codes[at:at + GRAMS // 2])
+                for at in range(0, len(codes), GRAMS // 4):
+                    out += total[at:at + GRAMS // 4] @ encoder.vectors(codes[at:at + GRAMS // 4])
             counts.clear()
 
         for b in batches:
@@ -171,17 +205,15 @@ def identify(docs: DataFrame, model: DataFrame, dim: int = DIM, n: int = N, seed
         names, matrix = sent.value
         encoder = Encoder(dim, n, seed)
         for b in batches:
-            langs, scores = [], []
-            for t in b.column(1):
-                text = t.as_py() or ""
-                lang, score = "und", 0.0
-                if names and has_letter(text):
-                    v = encoder.bundle(text)
+            langs, scores = ["und"] * b.num_rows, [0.0] * b.num_rows
+            for at in range(0, b.num_rows if names else 0, TEXTS):
+                part = b.column(1).slice(at, TEXTS)
+                for i, (t, v) in enumerate(zip(part, encoder.bundles(t.as_py() or "" for t in part)), at):
+                    if not has_letter(t.as_py() or ""):
+                        continue
                     cosine = matrix @ v / max(float(np.linalg.norm(v)), 1e-300)
                     best = int(np.argmax(cosine))
-                    lang, score = names[best], min(max(float(cosine[best]), 0.0), 1.0)
-                langs.append(lang)
-                scores.append(score)
+                    langs[i], scores[i] = names[best], min(max(float(cosine[best]), 0.0), 1.0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              [id_col, "lang_pred", "score"])
 

@@ -34,6 +34,28 @@ def test_bundle_in_blocks_and_bounded_cache(monkeypatch):
     assert (whole @ parts) / np.linalg.norm(whole) / np.linalg.norm(parts) > 0.97
 
 
+def test_texts_share_the_fetched_vectors(monkeypatch):
+    """A vector is fetched once for the texts of a group, and each text gets the bundle it has alone."""
+    rng = random.Random(6)
+    texts = ["", "12 3", *(language(rng, ["the", "an", "ing", "é"]) for _ in range(60)), "word " * 300]
+    e, fetched = langid.Encoder(dim=64), []
+    vectors = e.vectors
+    monkeypatch.setattr(e, "vectors", lambda codes: fetched.append(len(codes)) or vectors(codes))
+    got = [v.tolist() for v in e.bundles(texts)]
+    assert got == [brute_bundle(t, e).tolist() for t in texts]
+    assert sum(fetched) == len({c for t in texts for codes, _ in e.codes(t) for c in codes.tolist()})
+
+
+@pytest.mark.parametrize("grams,block,together", [(20, 50, 3), (40, 1 << 18, 7), (12_000, 30, 64)])
+def test_bundles_in_slices(monkeypatch, grams, block, together):
+    texts = ["the quick brown fox jumps over the lazy dog " * k for k in range(12)]
+    monkeypatch.setattr(langid, "BLOCK", block)
+    alone = [langid.Encoder(dim=64).bundle(t).tolist() for t in texts]
+    monkeypatch.setattr(langid, "GRAMS", grams)
+    monkeypatch.setattr(langid, "TEXTS", together)
+    assert [v.tolist() for v in langid.Encoder(dim=64).bundles(texts)] == alone
+
+
 def language(rng, syllables):
     return " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(rng.randint(3, 60)))
 
